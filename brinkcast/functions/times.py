@@ -6,7 +6,7 @@ integers throughout, so a post exactly on a boundary lands on the right side.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +67,11 @@ def epoch_micros(t: datetime | str) -> int:
     return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
 
 
+def from_epoch(us: int) -> datetime:
+    """The UTC time of epoch microseconds."""
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=us)
+
+
 def time_literal(t: datetime | str, dtype: str = "timestamp_ntz") -> Column:
     return from_micros(F.lit(epoch_micros(t)), dtype)
 

@@ -46,24 +46,29 @@ def valence_panes(posts: DataFrame, minutes: int = 15) -> DataFrame:
     """
     us = micros(F.col("published_at"))
     pane = pane_floor(us, minutes * MINUTE)
-    own, level = F.col("is_primary"), F.col("valence_level")
-    labelled = level.isNotNull()
-    item = F.col("item_id").isNotNull() if "item_id" in posts.columns else F.lit(True)
     return (
         posts.where(F.col("published_at").isNotNull())
         .groupBy(pane.alias("pane"), (us == pane).alias("on_edge"))
-        .agg(
-            F.count_if(~own & labelled).alias("eco_n"),
-            F.coalesce(F.sum(F.when(~own, level.cast("long"))), F.lit(0)).alias("eco_sum"),
-            F.count_if(own & labelled).alias("primary_n"),
-            F.coalesce(F.sum(F.when(own, level.cast("long"))), F.lit(0)).alias("primary_sum"),
-            F.max(F.when(own, level)).cast("int").alias("primary_max"),
-            F.count_if(own).alias("primary_posts"),
-            F.count_if(own & item).alias("primary_items"),
-        )
+        .agg(*pane_measures(posts))
     )
 
 
+def pane_measures(posts: DataFrame) -> list[Column]:
+    """The additive measures of a pane (and one maximum)."""
+    own, level = F.col("is_primary"), F.col("valence_level")
+    labelled = level.isNotNull()
+    item = F.col("item_id").isNotNull() if "item_id" in posts.columns else F.lit(True)
+    return [
+        F.count_if(~own & labelled).alias("eco_n"),
+        F.coalesce(F.sum(F.when(~own, level.cast("long"))), F.lit(0)).alias("eco_sum"),
+        F.count_if(own & labelled).alias("primary_n"),
+        F.coalesce(F.sum(F.when(own, level.cast("long"))), F.lit(0)).alias("primary_sum"),
+        F.max(F.when(own, level)).cast("int").alias("primary_max"),
+        F.count_if(own).alias("primary_posts"),
+        F.count_if(own & item).alias("primary_items"),
+    ]
+
+
 def _closing(minutes: int) -> Column:
     """Grid point that closes the pane in (point - step, point]."""
     step = F.lit(minutes * MINUTE)
