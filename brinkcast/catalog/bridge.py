@@ -129,12 +129,14 @@ DUCKDB: dict[str, str] = {
           least(0.99e0, greatest(0.01e0, 1 / (1 + exp(-((eco_mean_6h - primary_mean_24h) - 1.25e0 + 0.1e0 * (primary_posts_6h - 2)))))) as c3_prob,
           least(0.95e0, greatest(0.02e0, 1 - exp(-2e0 * greatest(primary_posts_6h / 6e0, 0.01e0)))) as c4_prob
         from features""",
-    # Two models: the simple predictor, and one whose scores are cut to tenths
-    # (ties, bin borders) and that does not give c4.
+    # Two models: the simple predictor, stored at nine decimals (``exp`` differs in
+    # the last bit between engines, and equal scores must be equal on both), and
+    # one whose scores are cut to tenths (ties, bin borders) without c4.
     "predictions": """
         select h as made_at, h as window_start, h + interval 2 hours as window_end,
-               'baseline-soft-001' as model_version, c1_value, c2_3_prob, c2_4_prob, c2_5_prob, c2_6_prob,
-               c3_prob, c4_prob, feature_hash
+               'baseline-soft-001' as model_version, round(c1_value, 9) as c1_value, round(c2_3_prob, 9) as c2_3_prob,
+               round(c2_4_prob, 9) as c2_4_prob, round(c2_5_prob, 9) as c2_5_prob, round(c2_6_prob, 9) as c2_6_prob,
+               round(c3_prob, 9) as c3_prob, round(c4_prob, 9) as c4_prob, feature_hash
         from hashed
         union all
         select h, h, h + interval 2 hours, 'tenths-001', floor(c1_value), floor(c2_3_prob * 10) / 10,

@@ -68,7 +68,8 @@ def panes_of(spark: SparkSession, d: str) -> DataFrame:
 
 
 def predictions_from(panes: DataFrame, spark: SparkSession) -> DataFrame:
-    """Forecasts of the simple predictor, and of one that only gives tenths."""
+    """Forecasts of the simple predictor, at nine decimals, and of one that only
+    gives tenths."""
     rows = P.prediction_rows(WN.features_from_panes(panes, spine_of(spark)))
     tenth = lambda c: (F.floor(F.col(c) * 10) / 10).alias(c)
     cols = [
@@ -78,8 +79,8 @@ def predictions_from(panes: DataFrame, spark: SparkSession) -> DataFrame:
         F.lit(None).cast("double").alias("c4_prob"),
     ]
     keep = ["made_at", "window_start", "window_end", "feature_hash"]
-    names = [*keep, "model_version", "c1_value", *scores.PROB_COLUMNS]
-    return rows.select(*names).unionByName(rows.select(*keep, *cols))
+    stored = [F.round(c, 9).alias(c) for c in ("c1_value", *scores.PROB_COLUMNS)]
+    return rows.select(*keep, "model_version", *stored).unionByName(rows.select(*keep, *cols))
 
 
 # -- labels ------------------------------------------------------------------

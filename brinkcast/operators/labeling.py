@@ -25,20 +25,19 @@ LABEL_SCHEMA = (
 def _call_labeler(labeler: Callable[[str], dict[str, Any]], text: str):
     """Run the labeler over batches of texts; a failure marks its row only."""
 
+    fields = ["label_key", "level", "target_type", "target_name", "rationale", "confidence", "error"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for key, value in zip(batch["label_key"], batch[text]):
-                row = {"label_key": key, "error": None}
+                row = {"label_key": key}
                 try:
                     row.update(labeler(value))
                 except Exception as exc:  # counted, not fatal
                     row["error"] = type(exc).__name__
                 rows.append(row)
-            yield pd.DataFrame(
-                rows,
-                columns=["label_key", "level", "target_type", "target_name", "rationale", "confidence", "error"],
-            ).astype({"level": "Int32", "confidence": "float64"})
+            yield pd.DataFrame({f: pd.Series([r.get(f) for r in rows], dtype="object") for f in fields})
 
     return run
 
