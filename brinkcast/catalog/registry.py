@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from brinkcast.catalog import core, scoring, storing, streams  # noqa: F401
+from brinkcast.catalog import core, extras, learned, scoring, storing, streams  # noqa: F401
 from brinkcast.catalog.core import CASES  # noqa: F401

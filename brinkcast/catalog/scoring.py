@@ -253,7 +253,7 @@ def _(spark, d):
     return r9(M.brier_score(scored_of(spark, d), BY), "brier")
 
 
-def test_windows(spark, d):
+def split_of(spark, d):
     """Scored windows of the whole grid, split in the middle."""
     panes = panes_of(spark, d)
     windows = WN.ecosystem_from_panes(WN.outcomes_from_panes(panes, windows_of(spark)), panes)
@@ -265,7 +265,7 @@ FIGURES = ("auc_pr", "ece", "mae", "base_rate")
 
 @case("a19_target_metrics", f"select score_set, target, n, {r9sql(*FIGURES)} from test_metrics where n > 0")
 def _(spark, d):
-    windows, panes = test_windows(spark, d)
+    windows, panes = split_of(spark, d)
     models = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark))
     long = BT._long(B.baseline_probs(windows)).unionByName(
         BT._long(models.withColumnRenamed("model_version", "score_set"))
@@ -275,7 +275,7 @@ def _(spark, d):
 
 @case("a20_score_sets", f"select score_set, n_test, target, n, {r9sql(*FIGURES)} from test_metrics")
 def _(spark, d):
-    windows, panes = test_windows(spark, d)
+    windows, panes = split_of(spark, d)
     return r9(BT.score_sets(windows, predictions_from(panes, spark)), *FIGURES)
 
 
@@ -312,7 +312,7 @@ _RATES = ("rate_3", "rate_4", "rate_5", "rate_6", "jump_rate", "posts_rate")
 
 @case("a09_marginal_rates", f"select {r9sql(*_RATES)} from rates")
 def _(spark, d):
-    windows, _panes = test_windows(spark, d)
+    windows, _panes = split_of(spark, d)
     return r9(B.marginal_rates(windows.where("not is_test")), *_RATES)
 
 
@@ -348,7 +348,7 @@ _BASE = ("c2_3_prob", "c2_4_prob", "c2_5_prob", "c2_6_prob", "c3_prob", "c4_prob
 
 @case("f07_baseline_probs", f"select window_start, score_set, {r9sql(*_BASE)} from base")
 def _(spark, d):
-    windows, _panes = test_windows(spark, d)
+    windows, _panes = split_of(spark, d)
     return r9(B.baseline_probs(windows).select("window_start", "score_set", *_BASE), *_BASE)
 
 

@@ -122,5 +122,40 @@ def ladder_level(text: Column, phrases: dict[int, list[str]]) -> Column:
     return (F.lit(0) if rung is None else rung.otherwise(0)).cast("int")
 
 
+def caps_ratio(text: Column) -> Column:
+    """Share of capital letters among all letters; 0 without letters."""
+    letters = F.regexp_count(text, F.lit(r"\p{L}"))
+    return F.when(letters > 0, F.regexp_count(text, F.lit(r"\p{Lu}")).cast("double") / letters).otherwise(0.0)
+
+
+def punctuation_density(text: Column) -> Column:
+    """Exclamation and question marks per character; 0 for an empty text."""
+    n = F.length(text)
+    return F.when(n > 0, F.regexp_count(text, F.lit("[!?]")).cast("double") / n).otherwise(0.0)
+
+
+def intensifier_density(clean: Column, words: list[str]) -> Column:
+    """Share of tokens of a normalized text that are on the caller's word list."""
+    tokens = F.split(F.lower(clean), " ")
+    hits = F.size(F.filter(tokens, lambda t: t.isin(*words)))
+    n = token_count(clean)
+    return F.when(n > 0, hits.cast("double") / n).otherwise(0.0)
+
+
+def entity_hits(text: Column, aliases: dict[str, list[str]]) -> Column:
+    """Sorted canonical names whose alias occurs in the text, each once.
+
+    ``aliases`` is the caller's short dictionary of watched entities.
+    """
+    low = F.lower(text)
+    found = []
+    for name in sorted(aliases):
+        hit = F.lit(False)
+        for alias in aliases[name]:
+            hit = hit | F.contains(low, F.lit(alias.lower()))
+        found.append(F.when(hit, F.lit(name)))
+    return F.array_compact(F.array(*found))
+
+
 def _literal_regex(sep: str) -> str:
     return "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"

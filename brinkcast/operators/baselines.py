@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brinkcast.functions.scores import step_baseline
-from brinkcast.functions.times import micros
-from brinkcast.operators.ordered import previous_value, time_rank
+from brinkcast.operators.ordered import last_at_or_before, previous_value, time_rank
 from brinkcast.schemas import THRESHOLDS
 
 ORDER = ("window_start", "window_end")
@@ -35,31 +34,13 @@ def previous_v_max(windows: DataFrame, min_gap: bool = False) -> DataFrame:
     """
     if not min_gap:
         return previous_value(windows, "window_start", ["window_end"], "v_max", "prev_v_max")
-    # Ends and starts on one time line: each start sees the last end at or before it.
-    ends = windows.select(
-        F.col("window_end").alias("t"), F.lit(0).alias("kind"), "window_start", "window_end",
-        F.struct("v_max").alias("seen"),
+    ended = windows.select(
+        "window_end", F.col("window_start").alias("from_start"), F.col("v_max").alias("prev_v_max")
     )
-    starts = windows.select(
-        F.col("window_start").alias("t"), F.lit(1).alias("kind"), "window_start", "window_end",
-        F.lit(None).cast("struct<v_max:int>").alias("seen"),
+    seen = last_at_or_before(windows, "window_start", ended, "window_end", ["from_start", "prev_v_max"])
+    return windows.join(seen.select("window_start", "prev_v_max"), "window_start").select(
+        *windows.columns, "prev_v_max"
     )
-    line = ends.withColumn("seen", F.col("seen").cast("struct<v_max:int>")).unionByName(starts)
-    from pyspark.sql import Window as W
-
-    line = line.withColumn("_day", F.to_date("t"))
-    tie = ["t", "kind", "window_start", "window_end"]
-    upto = W.partitionBy("_day").orderBy(*tie).rowsBetween(W.unboundedPreceding, 0)
-    days = line.where("kind = 0").groupBy("_day").agg(F.max_by("seen", F.struct(*tie)).alias("last"))
-    all_days = line.select("_day").distinct().join(days, "_day", "left")
-    earlier = W.orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
-    carry = all_days.select("_day", F.last("last", ignorenulls=True).over(earlier).alias("carry"))
-    seen = (
-        line.withColumn("here", F.last("seen", ignorenulls=True).over(upto))
-        .where("kind = 1").join(carry, "_day")
-        .select("window_start", "window_end", F.coalesce("here", "carry")["v_max"].alias("prev_v_max"))
-    )
-    return windows.join(seen, list(ORDER))
 
 
 def default_split_point(windows: DataFrame) -> DataFrame:
@@ -113,12 +94,26 @@ def baseline_probs(windows: DataFrame) -> DataFrame:
     return test.select(*keep, F.explode(sets).alias("s")).select(*keep, "s.*")
 
 
+def month_split(
+    windows: DataFrame, now: Column, train: int = 24, validation: int = 6, test: int = 2
+) -> DataFrame:
+    """Add ``split`` by whole months back from ``now``: train from 24 to 6 months,
+    validation from 6 to 2, test the last 2; other windows are left out."""
+
+    def back(months: int) -> Column:
+        return F.expr(f"interval {months} months")
+
+    start = F.col("window_start")
+    split = (
+        F.when((start >= now - back(train)) & (start < now - back(validation)), "train")
+        .when((start >= now - back(validation)) & (start < now - back(test)), "validation")
+        .when((start >= now - back(test)) & (start < now), "test")
+    )
+    return windows.withColumn("split", split).where("split is not null")
+
+
 def chrono_holdout(df: DataFrame, ts: str, tie: list[str], fraction: float = 0.2) -> DataFrame:
     """Add ``is_holdout``: the last ceil(fraction * n) rows in time order."""
     ranked = time_rank(df, ts, tie, "_rank", "_n")
     held = F.ceil(F.col("_n") * F.lit(fraction))
     return ranked.select(*df.columns, (F.col("_rank") > F.col("_n") - held).alias("is_holdout"))
-
-
-def minutes_between(a: Column, b: Column) -> Column:
-    return (micros(b) - micros(a)).cast("double") / F.lit(60_000_000.0)

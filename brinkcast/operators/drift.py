@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brinkcast.operators.ordered import exact_quantiles
@@ -67,3 +68,39 @@ def psi(
         F.coalesce("na", F.lit(0)).alias("n_actual"),
         F.coalesce(total, F.lit(0.0)).alias("psi"),
     )
+
+
+def feature_psi(
+    expected: DataFrame, actual: DataFrame, features: list[str], bins: int = 10, edges: list[float] | None = None
+) -> DataFrame:
+    """Covariate drift: the index of every feature, one row per ``feature``."""
+
+    def long(df: DataFrame) -> DataFrame:
+        cells = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
+        return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+    return psi(long(expected), long(actual), "value", ["feature"], bins, edges)
+
+
+def label_drift(labels: DataFrame, ts: str, level: str, levels: tuple[int, ...] = (0, 1, 2, 3, 4, 5, 6)) -> DataFrame:
+    """Per month: share of each level, and the stability index of the month against
+    all months before it (NULL for the first).  Counts are cut to months first."""
+    counts = labels.groupBy(F.trunc(F.col(ts).cast("date"), "MM").alias("month")).agg(
+        F.count(level).alias("n"), *[F.count_if(F.col(level) == k).alias(f"n_{k}") for k in levels]
+    )
+    before = W.orderBy("month").rowsBetween(W.unboundedPreceding, -1)
+    rows = counts.select(
+        "*", F.sum("n").over(before).alias("h"), *[F.sum(f"n_{k}").over(before).alias(f"h_{k}") for k in levels]
+    )
+    size = len(levels)
+    terms = []
+    for k in levels:
+        now = (F.col(f"n_{k}") + 1).cast("double") / (F.col("n") + size)
+        past = (F.col(f"h_{k}") + 1).cast("double") / (F.col("h") + size)
+        terms.append((now - past) * F.ln(now / past))
+    return rows.select(
+        "month",
+        "n",
+        *[(F.col(f"n_{k}").cast("double") / F.col("n")).alias(f"share_{k}") for k in levels],
+        reduce(lambda a, b: a + b, terms).alias("psi"),
+    )

@@ -22,6 +22,7 @@ def score_counts(df: DataFrame, by: list[str], prob: str = "prob", label: str =
         F.count_if(y > 0).alias("pos"),
         F.sum(y.cast("double")).alias("label_sum"),
         F.sum(F.abs(p - y.cast("double"))).alias("abs_err"),
+        F.sum((p - y.cast("double")) * (p - y.cast("double"))).alias("sq_err"),
     )
 
 
@@ -135,7 +136,15 @@ def target_metrics(
     if edges is None:
         edges = balanced_edges(scored, "prob")
     key = [*by, "target"]
-    counts = score_counts(scored, key)
+    return metrics_of_counts(score_counts(scored, key), key, bins, edges).drop("brier")
+
+
+def metrics_of_counts(
+    counts: DataFrame, key: list[str], bins: int = 10, edges: list[float] | None = None
+) -> DataFrame:
+    """The same from score counts (see :func:`score_counts`), plus ``brier``."""
+    if edges is None:
+        edges = balanced_edges(counts, "score")
     ranked = running_totals(counts, key, "score", ["n", "pos"], edges, descending=True)
     step = F.when(F.col("total_pos") > 0, F.col("pos").cast("double") / F.col("total_pos") * _precision())
     binned = ranked.groupBy(*key, bin_of(F.col("score"), bin_edges(bins)).alias("bin")).agg(
@@ -143,6 +152,7 @@ def target_metrics(
         F.sum("pos").alias("pos"),
         F.sum("label_sum").alias("label_sum"),
         F.sum("abs_err").alias("abs_err"),
+        F.sum("sq_err").alias("sq_err"),
         (F.sum(F.col("score") * F.col("n")) / F.sum("n")).alias("confidence"),
         (F.sum("pos").cast("double") / F.sum("n")).alias("accuracy"),
         F.sum(step).alias("ap"),
@@ -154,6 +164,7 @@ def target_metrics(
         _ece().alias("ece_all"),
         (F.sum("abs_err") / F.sum("n")).alias("mae_all"),
         (F.sum("label_sum") / F.sum("n")).alias("base_rate"),
+        (F.sum("sq_err") / F.sum("n")).alias("brier"),
     )
     binary = F.col("target") != "c1"
     mixed = binary & (F.col("pos") > 0) & (F.col("pos") < F.col("n"))
@@ -164,7 +175,80 @@ def target_metrics(
         F.when(mixed, F.col("ece_all")).alias("ece"),
         F.when(~binary, F.col("mae_all")).alias("mae"),
         "base_rate",
+        "brier",
+    )
+
+
+def ranking_metrics(
+    df: DataFrame,
+    by: list[str] | None = None,
+    prob: str = "prob",
+    label: str = "label",
+    min_precision: float = 0.8,
+    edges: list[float] | None = None,
+) -> DataFrame:
+    """Area under ROC, best F1 with its threshold, and the largest recall whose
+    precision is at least ``min_precision``; NULL or 0 where undefined."""
+    by = by or []
+    ranked = _ranked(df, by, prob, label, edges)
+    pos, neg = F.col("total_pos"), F.col("total_n") - F.col("total_pos")
+    own_neg = F.col("n") - F.col("pos")
+    above = (F.col("cum_n") - F.col("n")) - (F.col("cum_pos") - F.col("pos"))
+    below = neg - above - own_neg
+    wins = F.col("pos") * (below.cast("double") + own_neg.cast("double") / 2)
+    f1 = F.lit(2.0) * F.col("cum_pos") / (F.col("cum_n") + pos)
+    recall = F.col("cum_pos").cast("double") / pos
+    return ranked.groupBy(*by).agg(
+        F.sum("n").alias("n"),
+        (F.sum(F.when((pos > 0) & (neg > 0), wins / pos / neg))).alias("auc_roc"),
+        F.coalesce(F.max(f1), F.lit(0.0)).alias("best_f1"),
+        F.max_by("score", F.struct(f1, "score")).alias("best_threshold"),
+        F.coalesce(F.max(F.when((pos > 0) & (_precision() >= min_precision), recall)), F.lit(0.0)).alias(
+            "recall_at_precision"
+        ),
+    )
+
+
+def spearman(
+    df: DataFrame, x: str, y: str, by: list[str] | None = None, edges_x: list[float] | None = None,
+    edges_y: list[float] | None = None,
+) -> DataFrame:
+    """Rank correlation with mean ranks for ties.
+
+    Ranks are found per distinct value and brought back to the distinct pairs.
+    """
+    by = by or []
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = rows.groupBy(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).agg(
+        F.count("*").alias("n")
+    )
+
+    def ranks(column: str, edges: list[float] | None, name: str) -> DataFrame:
+        if edges is None:
+            edges = balanced_edges(pairs, column)
+        counts = pairs.groupBy(*by, column).agg(F.sum("n").alias("n"))
+        out = running_totals(counts, by, column, ["n"], edges)
+        rank = F.col("cum_n") - F.col("n") + (F.col("n") + 1).cast("double") / 2
+        return out.select(*by, column, rank.alias(name))
+
+    ranked = pairs.join(ranks("_x", edges_x, "rx"), [*by, "_x"]).join(ranks("_y", edges_y, "ry"), [*by, "_y"])
+    n = F.col("n").cast("double")
+
+    def total(c: Column) -> Column:
+        return F.sum(n * c)
+
+    sums = ranked.groupBy(*by).agg(
+        F.sum("n").alias("n"),
+        total(F.col("rx")).alias("sx"),
+        total(F.col("ry")).alias("sy"),
+        total(F.col("rx") * F.col("rx")).alias("sxx"),
+        total(F.col("ry") * F.col("ry")).alias("syy"),
+        total(F.col("rx") * F.col("ry")).alias("sxy"),
     )
+    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
+    return sums.select(*by, "n", F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx) / F.sqrt(vy)).alias("rho"))
 
 
 def histogram(

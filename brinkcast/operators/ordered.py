@@ -133,7 +133,9 @@ def lookback_stats(
 
     A difference of two running totals, S(at) - S(at - hours), so the work is
     linear in values and points; no value meets every point of its interval.
-    Values are first summed per microsecond.  A bucket is one second (at most a
+    Give whole numbers (or decimals) as values: their totals are exact, while
+    differences of long floating sums are not.  Values are first summed per
+    microsecond.  A bucket is one second (at most a
     million distinct times), seconds roll up to days, days to the calendar.
     Returns one row per distinct ``at``; no value gives 0 and 0.
     """
@@ -199,6 +201,38 @@ def lookback_stats(
     )
 
 
+def last_at_or_before(
+    points: DataFrame, at: str, values: DataFrame, ts: str, payload: list[str], found: str = "last_at"
+) -> DataFrame:
+    """The newest value at or before each distinct time, with its own time.
+
+    Values sharing a time count once (the largest payload).  Looked up within a
+    second; what a second lacks is carried from the seconds before it in the
+    day, and from the days before.
+    """
+    dtype = ts_type(points, at)
+    own = values.where(F.col(ts).isNotNull()).select(micros(F.col(ts)).alias("us"), F.struct(*payload).alias("p"))
+    own = own.groupBy("us").agg(F.max("p").alias("p")).select("us", F.lit(0).alias("kind"), F.struct("us", "p").alias("v"))
+    probes = points.select(micros(F.col(at)).alias("us")).distinct().select(
+        "us", F.lit(1).alias("kind"), F.lit(None).cast(own.schema["v"].dataType).alias("v")
+    )
+    rows = own.unionByName(probes).withColumn("sec", pane_floor(F.col("us"), SECOND))
+    upto = W.partitionBy("sec").orderBy("us", "kind").rowsBetween(W.unboundedPreceding, 0)
+    local = rows.withColumn("here", F.last("v", ignorenulls=True).over(upto)).where("kind = 1")
+    secs = rows.groupBy("sec").agg(F.max("v").alias("v")).withColumn("day", pane_floor(F.col("sec"), DAY))
+    earlier = W.partitionBy("day").orderBy("sec").rowsBetween(W.unboundedPreceding, -1)
+    by_sec = secs.select("sec", "day", F.last("v", ignorenulls=True).over(earlier).alias("in_day"))
+    days = secs.groupBy("day").agg(F.max("v").alias("v"))
+    before = W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)
+    by_day = days.select("day", F.last("v", ignorenulls=True).over(before).alias("carried"))
+    hit = F.coalesce("here", "in_day", "carried")
+    return local.join(by_sec, "sec").join(by_day, "day").select(
+        from_micros(F.col("us"), dtype).alias(at),
+        from_micros(hit["us"], dtype).alias(found),
+        *[hit["p"][c].alias(c) for c in payload],
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
