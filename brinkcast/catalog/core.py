@@ -13,7 +13,7 @@ from brinkcast.functions import keys, scores, text, times, vectors
 from brinkcast.operators import annotations as A
 from brinkcast.operators import predictions as P
 from brinkcast.operators import windows as WN
-from brinkcast.session import ensure_checkpoint_dir
+from brinkcast.operators.ordered import stored
 
 SPINE = ("2024-01-02 00:00:00", "2024-01-29 00:00:00")
 
@@ -63,8 +63,7 @@ def windows_of(spark: SparkSession) -> DataFrame:
 
 def panes_of(spark: SparkSession, d: str) -> DataFrame:
     """The pane table, stored once: forecasts and outcomes are both read off it."""
-    ensure_checkpoint_dir(spark)
-    return WN.valence_panes(posts_of(spark, d)).checkpoint()
+    return stored(WN.valence_panes(posts_of(spark, d)))
 
 
 def predictions_from(panes: DataFrame, spark: SparkSession) -> DataFrame:
@@ -79,8 +78,9 @@ def predictions_from(panes: DataFrame, spark: SparkSession) -> DataFrame:
         F.lit(None).cast("double").alias("c4_prob"),
     ]
     keep = ["made_at", "window_start", "window_end", "feature_hash"]
-    stored = [F.round(c, 9).alias(c) for c in ("c1_value", *scores.PROB_COLUMNS)]
-    return rows.select(*keep, "model_version", *stored).unionByName(rows.select(*keep, *cols))
+    nines = [F.round(c, 9).alias(c) for c in ("c1_value", *scores.PROB_COLUMNS)]
+    rows = stored(rows.select(*keep, "model_version", "c1_value", *scores.PROB_COLUMNS))
+    return rows.select(*keep, "model_version", *nines).unionByName(rows.select(*keep, *cols))
 
 
 # -- labels ------------------------------------------------------------------
@@ -352,7 +352,7 @@ def _(spark, d):
 
     panes = panes_of(spark, d)
     rows = WN.ecosystem_from_panes(WN.outcomes_from_panes(panes, windows_of(spark)), panes)
-    rows = previous_v_max(rows)
+    rows = previous_v_max(stored(rows))
     step = scores.step_baseline
     return rows.select(
         "window_start",

@@ -23,7 +23,7 @@ from brinkcast.operators import drift as D
 from brinkcast.operators import metrics as M
 from brinkcast.operators import predictions as P
 from brinkcast.operators import windows as WN
-from brinkcast.operators.ordered import exact_quantiles
+from brinkcast.operators.ordered import exact_quantiles, stored
 from brinkcast.plans import backtest as BT
 from brinkcast.sources.files import skipped_labels
 
@@ -257,7 +257,7 @@ def split_of(spark, d):
     """Scored windows of the whole grid, split in the middle."""
     panes = panes_of(spark, d)
     windows = WN.ecosystem_from_panes(WN.outcomes_from_panes(panes, windows_of(spark)), panes)
-    return BT.split_windows(windows.checkpoint(), None), panes
+    return BT.split_windows(stored(windows), None), panes
 
 
 FIGURES = ("auc_pr", "ece", "mae", "base_rate")
@@ -279,6 +279,11 @@ def _(spark, d):
     return r9(BT.score_sets(windows, predictions_from(panes, spark)), *FIGURES)
 
 
+def outcomes_of(spark, d):
+    """Stored outcomes of every grid window."""
+    return stored(WN.window_outcomes(posts_of(spark, d, True), windows_of(spark)))
+
+
 def report_of(spark, d):
     """The backtest over stored outcomes and forecasts, ecosystem context from posts."""
     panes = panes_of(spark, d)
@@ -318,7 +323,7 @@ def _(spark, d):
 
 @case("f02_previous_v_max", "select window_start, window_end, v_max, prev_v_max from numbered")
 def _(spark, d):
-    out = WN.window_outcomes(posts_of(spark, d, True), windows_of(spark))
+    out = outcomes_of(spark, d)
     return B.previous_v_max(out.select("window_start", "window_end", "v_max"))
 
 
@@ -328,13 +333,13 @@ def _(spark, d):
        left join outcomes p on p.window_end = o.window_start""",
 )
 def _(spark, d):
-    out = WN.window_outcomes(posts_of(spark, d, True), windows_of(spark))
+    out = outcomes_of(spark, d)
     return B.previous_v_max(out.select("window_start", "window_end", "v_max"), min_gap=True)
 
 
 @case("f03_default_split_point", "select max(train_until) as train_until from splitted")
 def _(spark, d):
-    return B.default_split_point(WN.window_outcomes(posts_of(spark, d, True), windows_of(spark)))
+    return B.default_split_point(outcomes_of(spark, d))
 
 
 @case("f06_chronological_split", "select window_start, window_end, train_until, is_test from splitted")
@@ -358,7 +363,7 @@ def _(spark, d):
          as is_holdout from outcomes""",
 )
 def _(spark, d):
-    out = WN.window_outcomes(posts_of(spark, d, True), windows_of(spark))
+    out = outcomes_of(spark, d)
     return B.chrono_holdout(out, "window_start", ["window_end"]).select("window_start", "is_holdout")
 
 
@@ -375,7 +380,7 @@ def _(spark, d):
 
 @case("t03_outcomes_in_order", "select window_start, window_end, v_max, n_posts, had_jump from outcomes")
 def _(spark, d):
-    out = WN.window_outcomes(posts_of(spark, d, True), windows_of(spark))
+    out = outcomes_of(spark, d)
     return P.outcomes_in_order(out, "2024-01-02", "2024-01-30").drop("v_recent")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,38 +23,63 @@ def level_cells(pairs: DataFrame, by: list[str] | None = None, a: str = "llm_lev
     )
 
 
-def kappa_of_cells(cells: DataFrame, by: list[str] | None = None, name: str = "kappa") -> DataFrame:
-    """Unweighted kappa from cell counts; 0 when undefined (no pair, or one class)."""
+def agreement_of_cells(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Kappa, MAE and bias per group from cell counts, in one flow.
+
+    Cells where a level is missing count as ``n_skipped`` only.  Kappa is
+    unweighted, and 0 when undefined (no pair, or one class).
+    """
     by = by or []
-    same = F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(F.lit(0))
-    sides = F.explode(
-        F.array(
-            F.struct(F.col("a").alias("level"), F.col("n").alias("na"), F.lit(0).cast("long").alias("nb"), same.cast("long").alias("ok")),
-            F.struct(F.col("b").alias("level"), F.lit(0).cast("long").alias("na"), F.col("n").alias("nb"), F.lit(0).cast("long").alias("ok")),
+    zero = F.lit(0).cast("long")
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    n, gap = F.col("n"), (F.col("a") - F.col("b")).cast("long")
+
+    def side(level: str, **sums: Column) -> Column:
+        names = ("na", "nb", "same", "gap", "abs_gap", "skipped")
+        return F.struct(
+            F.col(level).cast("int").alias("level"),
+            *[F.coalesce(sums.get(k, zero), zero).cast("long").alias(k) for k in names],
         )
-    ).alias("side")
+
+    sides = F.array(
+        side(
+            "a",
+            na=F.when(both, n),
+            same=F.when(both & (F.col("a") == F.col("b")), n),
+            gap=gap * n,
+            abs_gap=F.abs(gap) * n,
+            skipped=F.when(~both, n),
+        ),
+        side("b", nb=F.when(both, n)),
+    )
     margins = (
-        cells.select(*by, sides).select(*by, "side.*").groupBy(*by, "level")
-        .agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"), F.sum("ok").alias("ok"))
+        cells.select(*by, F.explode(sides).alias("side")).select(*by, "side.*").groupBy(*by, "level")
+        .agg(*[F.sum(c).alias(c) for c in ("na", "nb", "same", "gap", "abs_gap", "skipped")])
     )
     out = margins.groupBy(*by).agg(
-        F.sum("na").cast("double").alias("n"),
-        F.sum("ok").cast("double").alias("ok"),
+        *[F.sum(c).cast("double").alias(c) for c in ("na", "same", "gap", "abs_gap", "skipped")],
         F.sum(F.col("na").cast("double") * F.col("nb").cast("double")).alias("cross"),
     )
-    po = F.col("ok") / F.col("n")
-    pe = F.col("cross") / (F.col("n") * F.col("n"))
-    value = F.when(pe < 1.0, (po - pe) / (F.lit(1.0) - pe))
+    total = F.col("na")
+    po, pe = F.col("same") / total, F.col("cross") / (total * total)
+    some = total > 0
+
+    def known(x: Column) -> Column:
+        return F.coalesce(F.when(some, x), F.lit(0.0))
+
     return out.select(
         *by,
-        F.coalesce(F.col("n"), F.lit(0.0)).cast("long").alias("n"),
-        F.coalesce(value, F.lit(0.0)).alias(name),
+        F.coalesce(total, F.lit(0.0)).cast("long").alias("n"),
+        F.coalesce("skipped", F.lit(0.0)).cast("long").alias("n_skipped"),
+        known(F.when(pe < 1.0, (po - pe) / (F.lit(1.0) - pe))).alias("kappa"),
+        known(F.col("abs_gap") / total).alias("mae"),
+        known(F.col("gap") / total).alias("bias"),
     )
 
 
 def cohens_kappa(pairs: DataFrame, by: list[str] | None = None, a: str = "llm_level", b: str = "human_level") -> DataFrame:
     """Unweighted kappa per group: ``n``, ``kappa``."""
-    return kappa_of_cells(level_cells(pairs, by, a, b), by)
+    return agreement_of_cells(level_cells(pairs, by, a, b), by).select(*(by or []), "n", "kappa")
 
 
 def ordinal_mae(pairs: DataFrame, by: list[str] | None = None, a: str = "llm_level", b: str = "human_level") -> DataFrame:
@@ -71,10 +94,6 @@ def signed_bias(pairs: DataFrame, by: list[str] | None = None, a: str = "llm_lev
     return pairs.groupBy(*(by or [])).agg(F.coalesce(F.avg(gap), F.lit(0.0)).alias("bias"))
 
 
-def _level_rows(df: DataFrame, levels: tuple[int, ...]) -> DataFrame:
-    return df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x) for x in levels])).alias("level"))
-
-
 def confusion_matrix(pairs: DataFrame, levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """Machine levels down, human levels across, zero cells kept, totals in a
     ``total`` column and a row named ``total``."""
@@ -110,45 +129,34 @@ def level_diagnostics(pairs: DataFrame, level: int = 4, levels: tuple[int, ...]
     )
 
 
-def _joined(parts: list[Column]) -> Column:
-    return F.array_compact(F.array(*parts))
-
-
 def validation_report(pairs: DataFrame) -> DataFrame:
     """One row: counts, agreement figures, failures and the decision."""
     scopes = F.explode(
         F.when(F.col("b") >= HIGH_LEVEL, F.array(F.lit("all"), F.lit("high"))).otherwise(F.array(F.lit("all")))
     )
-    cells = level_cells(pairs)
-    kappas = kappa_of_cells(cells.withColumn("scope", scopes), ["scope"])
-    gap = F.col("a") - F.col("b")
-    weighted = cells.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_paired"),
-        F.coalesce(F.sum(F.when(F.col("b") >= HIGH_LEVEL, F.col("n"))), F.lit(0)).alias("n_high_levels"),
-        F.sum(F.abs(gap) * F.col("n")).cast("double").alias("abs_gap"),
-        F.sum(gap * F.col("n")).cast("double").alias("gap"),
-    ).withColumn("k", F.lit(0))
-    by_scope = kappas.agg(
-        F.max(F.when(F.col("scope") == "all", F.col("kappa"))).alias("all_kappa"),
-        F.max(F.when(F.col("scope") == "high", F.col("kappa"))).alias("high_kappa"),
-    ).withColumn("k", F.lit(0))
+    scoped = level_cells(pairs).withColumn("scope", scopes)
+    figures = agreement_of_cells(scoped, ["scope"])
+
+    def of(scope: str, column: str, default) -> Column:
+        return F.coalesce(F.max(F.when(F.col("scope") == scope, F.col(column))), F.lit(default))
+
     n = F.col("n_paired")
     enough = F.col("n_high_levels") >= 2
-    row = weighted.join(by_scope, "k").select(
-        "n_paired",
-        "n_high_levels",
-        F.coalesce("all_kappa", F.lit(0.0)).alias("kappa_global"),
-        F.when(enough, F.coalesce("high_kappa", F.lit(0.0))).otherwise(0.0).alias("kappa_high_levels"),
-        F.when(n > 0, F.col("abs_gap") / n).otherwise(0.0).alias("mae_ordinal"),
-        F.when(n > 0, F.col("gap") / n).otherwise(0.0).alias("signed_bias"),
-    )
-    checks = _joined(
-        [
+    row = figures.agg(
+        of("all", "n", 0).alias("n_paired"),
+        of("high", "n", 0).alias("n_high_levels"),
+        of("all", "kappa", 0.0).alias("kappa_global"),
+        of("high", "kappa", 0.0).alias("kappa_high_levels"),
+        of("all", "mae", 0.0).alias("mae_ordinal"),
+        of("all", "bias", 0.0).alias("signed_bias"),
+    ).withColumn("kappa_high_levels", F.when(enough, F.col("kappa_high_levels")).otherwise(0.0))
+    checks = F.array_compact(
+        F.array(
             F.when(F.col("kappa_global") < KAPPA_MIN, F.lit(f"kappa_global<{KAPPA_MIN}")),
             F.when(enough & (F.col("kappa_high_levels") < KAPPA_HIGH_MIN), F.lit(f"kappa_levels_4_6<{KAPPA_HIGH_MIN}")),
             F.when(F.col("mae_ordinal") >= MAE_MAX, F.lit(f"mae_ordinal>={MAE_MAX}")),
             F.when(F.abs("signed_bias") >= BIAS_MAX, F.lit(f"abs_bias>={BIAS_MAX}")),
-        ]
+        )
     )
     row = row.withColumn("failures", F.when(n == 0, F.array(F.lit("empty_dataset"))).otherwise(checks))
     failed = F.size("failures")
@@ -164,15 +172,7 @@ def audit_summary(labels: DataFrame) -> DataFrame:
         F.col("llm_level").try_cast("int").alias("llm_level"),
         F.col("human_level").try_cast("int").alias("human_level"),
     )
-    usable = F.col("llm_level").isNotNull() & F.col("human_level").isNotNull()
-    counts = read.agg(
-        F.count_if(usable).alias("n"),
-        F.count_if(~usable).alias("n_skipped"),
-        F.coalesce(F.avg(F.when(usable, F.abs(F.col("llm_level") - F.col("human_level")).cast("double"))), F.lit(0.0)).alias("mae"),
-        F.coalesce(F.avg(F.when(usable, (F.col("llm_level") - F.col("human_level")).cast("double"))), F.lit(0.0)).alias("bias"),
-    ).withColumn("k", F.lit(0))
-    kappa = cohens_kappa(read.where(usable)).select("kappa", F.lit(0).alias("k"))
-    return counts.join(kappa, "k").select("n", "n_skipped", "kappa", "mae", "bias")
+    return agreement_of_cells(level_cells(read)).select("n", "n_skipped", "kappa", "mae", "bias")
 
 
 def mismatches(pairs: DataFrame, texts: DataFrame | None = None, case: int = 4, width: int = 140) -> DataFrame:

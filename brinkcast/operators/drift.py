@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brinkcast.operators.ordered import exact_quantiles
+from brinkcast.operators.ordered import quantiles_of_counts, stored
 
 
 def psi(
@@ -37,8 +37,9 @@ def psi(
         )
 
     probs = [i * (1.0 / bins) for i in range(1, bins)]
-    borders = exact_quantiles(expected, value, probs, by, "q", edges).drop("n")
-    rows = side(expected, "e").unionByName(side(actual, "a"))
+    own = stored(side(expected, "e"))
+    borders = quantiles_of_counts(own.drop("side"), "x", probs, by, "q", edges).drop("n")
+    rows = own.unionByName(side(actual, "a"))
     if by:
         rows = rows.join(borders, by, "left")
     else:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from brinkcast.functions.times import HOUR, MINUTE, from_micros, micros, pane_ceil, time_literal
 from brinkcast.operators.annotations import items_with_latest
-from brinkcast.operators.ordered import last_at_or_before, lookback_stats, ts_type
+from brinkcast.operators.ordered import last_at_or_before, lookback_stats, stored, ts_type
 from brinkcast.operators.windows import features_at
 
 SPANS = (1, 6, 24)
@@ -185,6 +185,7 @@ def post_gaps(primary: DataFrame) -> DataFrame:
 def hazard_rows(primary: DataFrame, spine: DataFrame, hours: int = 2) -> DataFrame:
     """Discrete-time rows for the presence target: minutes since the last post, mean
     gap and posts of the last day, and whether a post follows in [h, h + hours)."""
+    primary = stored(primary.select("published_at").where(F.col("published_at").isNotNull()).distinct())
     gaps = post_gaps(primary).where(F.col("gap_us").isNotNull())
     recent = lookback_stats(spine, "h", gaps, "published_at", "gap_us", 24, "mean_gap_24h", "n_gaps_24h")
     recent = recent.withColumn("mean_gap_24h", F.col("mean_gap_24h") / MINUTE)

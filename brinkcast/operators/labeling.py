@@ -14,6 +14,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from brinkcast.functions.keys import label_cache_key
 from brinkcast.functions.text import excerpt
 from brinkcast.operators.annotations import valid_label
+from brinkcast.operators.ordered import stored
 from brinkcast.operators.writes import join_label_cache
 
 LABEL_SCHEMA = (
@@ -60,7 +61,8 @@ def label_batch(
     """
     rows = df.withColumn(text, excerpt(F.col(text), max_chars)).where(F.col(text) != "")
     _, misses = join_label_cache(rows, cache, model, version, text)
-    fresh = misses.mapInPandas(_call_labeler(labeler, text), LABEL_SCHEMA)
+    # Stored: answers and cache entries both read it, the labeler must run once.
+    fresh = stored(misses.mapInPandas(_call_labeler(labeler, text), LABEL_SCHEMA))
     fields = ["level", "target_type", "target_name", "rationale", "confidence"]
     new_entries = fresh.where(F.col("error").isNull() & valid_label()).select("label_key", *fields)
     known = cache.select("label_key", *fields, F.lit(None).cast("string").alias("error"))

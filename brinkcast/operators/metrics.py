@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brinkcast.functions.scores import BINARY_TARGETS, bin_edges, bin_of
-from brinkcast.operators.ordered import balanced_edges, running_totals
+from brinkcast.operators.ordered import balanced_edges, running_totals, stored
 
 
 def score_counts(df: DataFrame, by: list[str], prob: str = "prob", label: str = "label") -> DataFrame:
@@ -28,9 +28,10 @@ def score_counts(df: DataFrame, by: list[str], prob: str = "prob", label: str =
 
 def _ranked(df: DataFrame, by: list[str], prob: str, label: str, edges: list[float] | None) -> DataFrame:
     """Distinct scores with true and all positives at or above each (inclusive)."""
-    if edges is None:
-        edges = balanced_edges(df, prob)
     counts = score_counts(df, by, prob, label).select(*by, "score", "n", "pos")
+    if edges is None:
+        counts = stored(counts)
+        edges = balanced_edges(counts, "score")
     return running_totals(counts, by, "score", ["n", "pos"], edges, descending=True)
 
 
@@ -47,8 +48,8 @@ def average_precision(
 ) -> DataFrame:
     """Step-sum average precision over distinct scores; 0 for a single class.
 
-    ``edges`` are inner score borders for spreading the work; by default they
-    are found with one sketch pass over the score column.
+    ``edges`` are inner score borders for spreading the work; by default the
+    counts per score are stored once and the borders found from them.
     """
     by = by or []
     ranked = _ranked(df, by, prob, label, edges)
@@ -133,8 +134,6 @@ def target_metrics(
     only.  ``scored`` has the group columns, ``target``, ``prob``, ``label``.
     One pass counts per distinct score; all figures come from those counts.
     """
-    if edges is None:
-        edges = balanced_edges(scored, "prob")
     key = [*by, "target"]
     return metrics_of_counts(score_counts(scored, key), key, bins, edges).drop("brier")
 
@@ -144,6 +143,7 @@ def metrics_of_counts(
 ) -> DataFrame:
     """The same from score counts (see :func:`score_counts`), plus ``brier``."""
     if edges is None:
+        counts = stored(counts)
         edges = balanced_edges(counts, "score")
     ranked = running_totals(counts, key, "score", ["n", "pos"], edges, descending=True)
     step = F.when(F.col("total_pos") > 0, F.col("pos").cast("double") / F.col("total_pos") * _precision())
@@ -219,8 +219,10 @@ def spearman(
     """
     by = by or []
     rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    pairs = rows.groupBy(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).agg(
-        F.count("*").alias("n")
+    pairs = stored(
+        rows.groupBy(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).agg(
+            F.count("*").alias("n")
+        )
     )
 
     def ranks(column: str, edges: list[float] | None, name: str) -> DataFrame:

@@ -5,6 +5,10 @@ to a single task.  Here the order is cut into buckets first: each bucket is
 worked on by itself, and a second, small table of bucket totals carries the
 offsets.  The results are exact whatever the bucket borders are; borders only
 decide how even the work is.
+
+Buckets and offsets both read the ordered rows.  Where these come out of a large
+input they are checkpointed first (reduced to one row per distinct value), so
+that the input is read once.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brinkcast.functions.times import DAY, HOUR, from_micros, micros, pane_floor
+from brinkcast.session import ensure_checkpoint_dir
 
 SECOND = 1_000_000
 
@@ -29,6 +34,12 @@ def ts_type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Checkpoint: later passes read the rows back instead of deriving them again."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def balanced_edges(df: DataFrame, column: str, buckets: int = 64) -> list[float]:
     """Inner borders that split the column into about equal parts.
 
@@ -83,7 +94,8 @@ def time_rank(
 ) -> DataFrame:
     """Position (from 1) in time order over all rows, and the number of rows.
 
-    Ranked within each day; the table of days carries the offsets.
+    Ranked within each day; the table of days carries the offsets.  ``df`` is read
+    twice: give a stored one if it is costly to derive.
     """
     rows = df.withColumn("_day", F.to_date(ts))
     days = rows.groupBy("_day").agg(F.count("*").alias("_n"))
@@ -103,7 +115,10 @@ def time_rank(
 
 
 def previous_value(df: DataFrame, ts: str, tie: list[str], value: str, name: str) -> DataFrame:
-    """``value`` of the row just before in time order over all rows; NULL for the first."""
+    """``value`` of the row just before in time order over all rows; NULL for the first.
+
+    ``df`` is read twice: give a stored one if it is costly to derive.
+    """
     rows = df.withColumn("_day", F.to_date(ts))
     days = rows.groupBy("_day").agg(F.max_by(value, F.struct(ts, *tie)).alias("_last"))
     days = days.select("_day", F.lag("_last").over(W.orderBy("_day")).alias("_carry"))
@@ -159,7 +174,7 @@ def lookback_stats(
             F.lit(0).cast(stype).alias("s"),
         )
     )
-    rows = changes.unionByName(probes).withColumn("sec", pane_floor(F.col("us"), SECOND))
+    rows = stored(changes.unionByName(probes).withColumn("sec", pane_floor(F.col("us"), SECOND)))
     in_second = W.partitionBy("sec").orderBy("us").rangeBetween(W.unboundedPreceding, 0)
     local = rows.select(
         "sec",
@@ -216,7 +231,7 @@ def last_at_or_before(
     probes = points.select(micros(F.col(at)).alias("us")).distinct().select(
         "us", F.lit(1).alias("kind"), F.lit(None).cast(own.schema["v"].dataType).alias("v")
     )
-    rows = own.unionByName(probes).withColumn("sec", pane_floor(F.col("us"), SECOND))
+    rows = stored(own.unionByName(probes).withColumn("sec", pane_floor(F.col("us"), SECOND)))
     upto = W.partitionBy("sec").orderBy("us", "kind").rowsBetween(W.unboundedPreceding, 0)
     local = rows.withColumn("here", F.last("v", ignorenulls=True).over(upto)).where("kind = 1")
     secs = rows.groupBy("sec").agg(F.max("v").alias("v")).withColumn("day", pane_floor(F.col("sec"), DAY))
@@ -247,15 +262,28 @@ def exact_quantiles(
     rank picks its value; no group's values are gathered in one place.
     """
     by = by or []
-    clean = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
+    clean = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("x"))
+    counts = stored(clean.groupBy(*by, "x").agg(F.count("*").alias("n")))
+    return quantiles_of_counts(counts, "x", probs, by, name, edges)
+
+
+def quantiles_of_counts(
+    counts: DataFrame,
+    value: str,
+    probs: list[float],
+    by: list[str] | None = None,
+    name: str = "quantiles",
+    edges: list[float] | None = None,
+) -> DataFrame:
+    """The same from distinct values with their count ``n``."""
+    by = by or []
     if edges is None:
-        edges = balanced_edges(clean, "_x")
-    counts = clean.groupBy(*by, "_x").agg(F.count("*").alias("n"))
-    ranked = running_totals(counts, by, "_x", ["n"], edges)
+        edges = balanced_edges(counts, value)
+    ranked = running_totals(counts, by, value, ["n"], edges)
 
     def pick(rank):
         hit = (F.col("cum_n") - F.col("n") <= rank) & (rank < F.col("cum_n"))
-        return F.max(F.when(hit, F.col("_x")))
+        return F.max(F.when(hit, F.col(value)))
 
     aggs = [F.max("total_n").alias("_n")]
     for i, q in enumerate(probs):

@@ -188,40 +188,38 @@ def outcomes_from_panes(
     Borders must lie on the grid; windows may differ in length.
     """
     step = minutes * MINUTE
+    back = recent_hours * HOUR
     dtype = ts_type(windows, "window_start")
-    opened = panes.groupBy("pane").agg(
-        F.sum("primary_items").alias("posts"), F.max("primary_max").alias("top")
-    )
     keys = windows.select(
         micros(F.col("window_start")).alias("ws"), micros(F.col("window_end")).alias("we")
     ).distinct()
     wanted = keys.select(
-        "ws", "we", F.explode(F.sequence("ws", F.col("we") - F.lit(step), F.lit(step))).alias("pane")
+        "ws",
+        "we",
+        F.explode(F.sequence(F.col("ws") - F.lit(back), F.col("we") - F.lit(step), F.lit(step))).alias("pane"),
     )
-    inside = (
-        wanted.join(opened, "pane", "left").groupBy("ws", "we")
+    # A pane table row belongs to the window by its start, and to the preceding
+    # day by the grid point that closes it; both are judged in one pass.
+    inside = F.col("pane") >= F.col("ws")
+    close = _closing(minutes)
+    recent = (close > F.col("ws") - F.lit(back)) & (close <= F.col("ws"))
+    sums = (
+        wanted.join(panes.select("pane", "on_edge", "primary_items", "primary_max", "primary_sum", "primary_n"), "pane", "left")
+        .groupBy("ws", "we")
         .agg(
-            F.coalesce(F.sum("posts"), F.lit(0)).alias("n_posts"),
-            F.coalesce(F.max("top"), F.lit(-1)).alias("v_max"),
+            F.coalesce(F.sum(F.when(inside, F.col("primary_items"))), F.lit(0)).alias("n_posts"),
+            F.coalesce(F.max(F.when(inside, F.col("primary_max"))), F.lit(-1)).alias("v_max"),
+            F.sum(F.when(recent, F.col("primary_sum"))).alias("s"),
+            F.coalesce(F.sum(F.when(recent, F.col("primary_n"))), F.lit(0)).alias("n"),
         )
-        .withColumn("window_start", from_micros(F.col("ws"), dtype))
-        .withColumn("window_end", from_micros(F.col("we"), dtype))
     )
-    recent = lookback_from_panes(
-        panes,
-        windows,
-        "window_start",
-        {"s": ("primary_sum", recent_hours), "n": ("primary_n", recent_hours)},
-        minutes,
-    ).select("window_start", _mean(F.col("s"), F.col("n")).alias("v_recent"))
-    return inside.join(recent, "window_start").select(
-        "window_start",
-        "window_end",
+    return sums.select(
+        from_micros(F.col("ws"), dtype).alias("window_start"),
+        from_micros(F.col("we"), dtype).alias("window_end"),
         "v_max",
         "n_posts",
-        "v_recent",
-        had_jump(F.col("n_posts"), F.col("v_max"), F.col("v_recent")).alias("had_jump"),
-    )
+        _mean(F.col("s"), F.col("n")).alias("v_recent"),
+    ).withColumn("had_jump", had_jump(F.col("n_posts"), F.col("v_max"), F.col("v_recent")))
 
 
 def window_outcomes(

@@ -6,24 +6,24 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brinkcast.functions.scores import PROB_COLUMNS, window_targets
-from brinkcast.functions.times import time_literal
+from brinkcast.functions.times import from_micros, micros, time_literal
 from brinkcast.operators.baselines import (
     baseline_probs,
     chronological_split,
     default_split_point,
 )
 from brinkcast.operators.metrics import target_array, target_metrics
-from brinkcast.operators.ordered import UNIT_EDGES, ts_type
+from brinkcast.operators.ordered import UNIT_EDGES, stored, ts_type
 from brinkcast.operators.predictions import (
     align_predictions,
     in_period,
     with_outcome_context,
 )
 from brinkcast.operators.windows import ecosystem_at, ecosystem_from_panes
-from brinkcast.session import ensure_checkpoint_dir
 
 BASELINES = ("B1", "B2", "B3", "B4")
 
@@ -75,13 +75,13 @@ def score_sets(windows: DataFrame, predictions: DataFrame, edges: list[float] |
         "score_set",
         F.explode(F.when(F.col("is_model"), target_array(True)).otherwise(target_array(False))).alias("target"),
     )
-    # Every aligned row has all its targets (models) or at least c2_3 (baselines).
-    n_test = metrics.where("target = 'c2_3'").select("score_set", F.col("n").alias("n_test"))
-    out = spine.join(metrics, ["score_set", "target"], "left").join(n_test, "score_set", "left")
+    out = spine.join(metrics, ["score_set", "target"], "left")
     empty_rate = F.when(F.col("target") != "c1", F.lit(0.0))
+    # Every aligned row has c2_3, whatever else it lacks.
+    aligned = F.max(F.when(F.col("target") == "c2_3", F.col("n"))).over(W.partitionBy("score_set"))
     return out.select(
         "score_set",
-        F.coalesce("n_test", F.lit(0)).alias("n_test"),
+        F.coalesce(aligned, F.lit(0)).alias("n_test"),
         "target",
         F.coalesce("n", F.lit(0)).alias("n"),
         "auc_pr",
@@ -112,12 +112,18 @@ class BacktestReport:
 
 
 def split_windows(windows: DataFrame, train_until: datetime | str | None) -> DataFrame:
-    """Windows with ``train_until`` and ``is_test``; by default split in the middle."""
+    """Windows with ``train_until`` and ``is_test``; by default split in the middle.
+
+    The middle is looked up first (one value), so that both sides are plain
+    comparisons with a constant afterwards.
+    """
+    dtype = ts_type(windows, "window_end")
     if train_until is not None:
-        border: Column = time_literal(train_until, ts_type(windows, "window_end"))
+        border: Column = time_literal(train_until, dtype)
     else:
-        border = default_split_point(windows).scalar()
-    return chronological_split(windows.withColumn("train_until", border), F.col("train_until"))
+        found = default_split_point(windows).select(micros(F.col("train_until"))).first()[0]
+        border = from_micros(F.lit(found).cast("long"), dtype)
+    return chronological_split(windows.withColumn("train_until", border), border)
 
 
 def report_header(
@@ -178,11 +184,10 @@ def backtest_report(
     else:
         raise ValueError("give posts or panes")
     forecasts = in_period(predictions, since, until)
-    ensure_checkpoint_dir(windows.sparkSession)
-    windows = split_windows(windows.checkpoint(), train_until)
+    windows = stored(windows)
+    empty = windows.isEmpty()
+    windows = split_windows(windows, train_until)
     header = report_header(windows, since, until, train_until)
     metrics = score_sets(windows, forecasts)
     # A period without outcomes has a header and no score sets.
-    some = windows.select(F.lit(0).alias("k")).limit(1)
-    metrics = metrics.withColumn("k", F.lit(0)).join(some, "k", "left_semi").drop("k")
-    return BacktestReport(header, metrics)
+    return BacktestReport(header, metrics.limit(0) if empty else metrics)
