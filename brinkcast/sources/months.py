@@ -13,10 +13,10 @@ from brinkcast.functions.times import month_bounds
 def month_spine(spark: SparkSession, since: date | str, until: date | str) -> DataFrame:
     """First and last day of each month from ``since`` to ``until``, both included;
     empty when they are the wrong way round."""
-    lo = F.trunc(F.lit(str(since)).cast("date"), "MM")
-    hi = F.trunc(F.lit(str(until)).cast("date"), "MM")
-    one = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
-    months = one.select(F.explode(F.expr("sequence(lo, hi, interval 1 month)")).alias("month_start"))
+    lo, hi = (date.fromisoformat(str(d)[:10]) for d in (since, until))
+    n = (hi.year - lo.year) * 12 + hi.month - lo.month + 1
+    first = F.lit(lo.replace(day=1).isoformat()).cast("date")
+    months = spark.range(max(0, n)).select(F.add_months(first, F.col("id").cast("int")).alias("month_start"))
     return months.select("month_start", month_bounds(F.col("month_start"))[1].alias("month_end"))
 
 
