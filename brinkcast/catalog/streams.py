@@ -142,3 +142,30 @@ def _(spark, d):
         one = store.read(name).agg(F.lit(name).alias("name"), F.count("*").alias("n"))
         counts = one if counts is None else counts.unionByName(one)
     return counts
+
+
+@case(
+    "r04_late_data",
+    f"""select window_start, window_end, v_max, n_posts from (
+          select ws as window_start, ws + interval 2 hours as window_end, coalesce(max(valence_level), -1)::int as v_max,
+            count(item_id) as n_posts
+          from grid left join (select * from posts where is_primary) p on published_at >= ws and published_at < ws + interval 2 hours
+          group by ws)""",
+    closed=_CLOSED,
+    newest="""select max(time_bucket(interval 15 minutes, published_at)) as pane from raw_items
+        where published_at < (select last_pane + interval 15 minutes from closed)""",
+    grid="""select unnest(generate_series(first_pane, pane + interval 15 minutes - interval 2 hours, interval 15 minutes)) as ws
+        from closed, newest""",
+)
+def _(spark, d):
+    """After the stream has closed its windows every post arrives once more, at the
+    highest level: all but those of the open last pane are late."""
+    store, progress = _store(spark, "late")
+    folder = scratch(spark, "posts")
+    posts = posts_of(spark, d).withColumn("published_at", F.col("published_at").cast("timestamp"))
+    posts.write.parquet(f"{folder}/first")
+    stream_outcomes(_stream(spark, f"{folder}/*", posts.schema), store, progress).awaitTermination()
+    posts.withColumn("valence_level", F.lit(6)).write.parquet(f"{folder}/second")
+    stream_outcomes(_stream(spark, f"{folder}/*", posts.schema), store, progress).awaitTermination()
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    return store.read("outcomes").select(*times, "v_max", "n_posts")

@@ -138,17 +138,19 @@ def items_with_latest(
     ann: DataFrame,
     primary_only: bool = False,
 ) -> DataFrame:
-    """All posts with their newest level; posts without a label keep NULL.
+    """All posts with their newest level; posts without a label or item keep NULL.
 
-    With ``primary_only`` the source filter runs before the larger joins.
+    Items meet their labels first and posts meet the items last, so no join runs
+    on a key that is NULL for the posts without an item.  With ``primary_only``
+    the posts are cut to the source of interest before that.
     """
     src = with_primary(sources).select("source_id", "is_primary")
     if primary_only:
         src = src.where("is_primary")
     posts = raw.select("raw_item_id", "source_id", "published_at").join(src, "source_id")
-    posts = posts.join(items.select("item_id", "raw_item_id"), "raw_item_id", "left")
     labels = latest_annotation(ann).select("item_id", "valence_level")
-    return posts.join(labels, "item_id", "left").select(
+    labelled = items.select("item_id", "raw_item_id").join(labels, "item_id", "left")
+    return posts.join(labelled, "raw_item_id", "left").select(
         "raw_item_id", "item_id", "source_id", "published_at", "is_primary", "valence_level"
     )
 

@@ -98,7 +98,7 @@ def train_threshold(
     ensure_checkpoint_dir(windows.sparkSession)
     rows = windows.withColumn("label", (F.col("v_max") >= k).cast("double"))
     rows = chrono_holdout(rows, "window_start", ["window_end"], holdout)
-    train, held = rows.where("not is_holdout"), rows.where("is_holdout")
+    train, held = rows.where("not is_holdout"), rows.where("is_holdout").drop("is_holdout")
     assembled = VectorAssembler(inputCols=features, outputCol="_features").transform(train)
     fitted = GBTClassifier(
         featuresCol="_features",
@@ -115,9 +115,7 @@ def train_threshold(
     fit_part = score_part = scored
     if calibration_share is not None:
         parts = chrono_holdout(scored, "window_start", ["window_end"], 1.0 - calibration_share)
-        scored_cols = [c for c in parts.columns if c != "is_holdout"]
-        fit_part = parts.where("not is_holdout").select(*scored_cols)
-        score_part = parts.where("is_holdout").select(*scored_cols)
+        fit_part, score_part = parts.where("not is_holdout"), parts.where("is_holdout")
     isotonic = fit_isotonic(fit_part)
     judged = apply_isotonic(isotonic, score_part)
     ap = average_precision(judged, [], "calibrated").first()

@@ -94,11 +94,18 @@ def label_pending(
 
 
 def posts_between(store: TableStore, lo: datetime, hi: datetime) -> DataFrame:
-    """Posts of a time range with their newest level; older partitions are skipped."""
+    """Posts of a time range with their newest level.
+
+    Older partitions of the posts are skipped.  Items and labels are reduced to
+    those of the range before anything is ranked or joined: a small range is
+    broadcast, and the history is scanned but not shuffled.
+    """
     raw = store.since("raw_items", day_of(lo)).where(
         F.col("published_at").between(time_literal(lo, "timestamp"), time_literal(hi, "timestamp"))
     )
-    return items_with_latest(raw, store.read("items"), store.read("sources"), store.read("annotations"))
+    items = store.read("items").join(raw.select("raw_item_id"), "raw_item_id", "left_semi")
+    ann = store.read("annotations").join(items.select("item_id"), "item_id", "left_semi")
+    return items_with_latest(raw, items, store.read("sources"), ann)
 
 
 def predict(store: TableStore, now: datetime) -> int:
