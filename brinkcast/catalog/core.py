@@ -301,10 +301,20 @@ def _(spark, d):
     return feats.select("h", keys.feature_hash(F.col("h")).alias("feature_hash"))
 
 
-@case("p11_prediction_payload")
+@case(
+    "p11_prediction_payload",
+    f"select h as window_start, {r9sql('eco_mean_6h', 'primary_mean_24h', *_PROBS)}, eco_n_6h, primary_posts_6h from probs",
+)
 def _(spark, d):
+    """The payload, read back."""
     rows = P.prediction_rows(WN.features_at(posts_of(spark, d), spine_of(spark)))
-    return rows.select("window_start", "payload")
+    probs = ", ".join(f"{c} double" for c in _PROBS)
+    shape = (
+        "features struct<eco_mean_6h double, primary_mean_24h double, eco_n_6h long, primary_posts_6h long>, "
+        f"probs struct<{probs}>"
+    )
+    back = rows.select("window_start", F.from_json("payload", shape).alias("p"))
+    return r9(back.select("window_start", "p.features.*", "p.probs.*"), "eco_mean_6h", "primary_mean_24h", *_PROBS)
 
 
 @case(

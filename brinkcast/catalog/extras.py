@@ -345,7 +345,25 @@ def _(spark, d):
     return X.drift_alerts(_rolling(spark, d), ["model_version"])
 
 
-@case("x10_feature_psi")
+_QS = "[" + ", ".join(f"{i} * 0.1e0" for i in range(1, 10)) + "]"
+
+
+@case(
+    "x10_feature_psi",
+    """select feature, max(ne) as n_expected, max(na) as n_actual, round(sum((pa - pe) * ln(pa / pe)), 9) + 0e0 as psi from (
+         select feature, b, ne, na, (coalesce(e, 0) + 1)::double / (ne + 10) as pe, (coalesce(a, 0) + 1)::double / (na + 10) as pa
+         from (select feature, count(*) filter (early) as ne, count(*) filter (not early) as na from melted group by 1) n
+         join (select unnest(range(0, 10)) as b) bins on true
+         left join (select feature, """
+    + " + ".join(f"(value >= q[{i}])::int" for i in range(1, 10))
+    + f""" as b, count(*) filter (early) as e, count(*) filter (not early) as a
+               from melted join (select feature, quantile_cont(value, {_QS}) as q from melted where early group by 1) using (feature)
+               group by feature, b) c using (feature, b)) group by feature""",
+    melted="""select h < timestamp '2024-01-16' as early, unnest(['eco_mean_6h', 'eco_n_6h', 'primary_mean_24h', 'primary_n_24h',
+           'primary_posts_6h']) as feature,
+         unnest([eco_mean_6h, eco_n_6h::double, primary_mean_24h, primary_n_24h::double, primary_posts_6h::double]) as value
+       from features""",
+)
 def _(spark, d):
     feats = WN.features_from_panes(panes_of(spark, d), spine_of(spark))
     early = F.col("h") < time_literal("2024-01-16")

@@ -14,8 +14,10 @@ from brinkcast.catalog.core import (
     panes_of,
     predictions_from,
     r9,
+    r9sql,
     windows_of,
 )
+from brinkcast.catalog.scoring import report_of
 from brinkcast.functions.text import ladder_level
 from brinkcast.functions.times import time_literal
 from brinkcast.operators import annotations as A
@@ -469,10 +471,16 @@ def _(spark, d):
     return back.select("item_id", "llm_level", "llm_confidence", "stratum", "clean_text", "human_level")
 
 
-@case("s10_write_report_json")
-def _(spark, d):
-    from brinkcast.catalog.scoring import report_of
+_FIGURES = ("auc_pr", "ece", "mae", "base_rate")
+
 
+@case("s10_write_report_json", f"select score_set, n_test, target, n, {r9sql(*_FIGURES)} from test_metrics")
+def _(spark, d):
+    """The report, written and read back."""
     path = scratch(spark, "report")
-    files.write_report_json(report_of(spark, d).nested(), path)
-    return spark.read.json(path)
+    report = report_of(spark, d).nested()
+    files.write_report_json(report, path)
+    back = spark.read.schema(report.schema).json(path)
+    sets = back.select(F.explode("score_sets").alias("s")).select("s.*")
+    rows = sets.select("score_set", "n_test", F.explode("metrics").alias("m")).select("score_set", "n_test", "m.*")
+    return r9(rows, *_FIGURES)

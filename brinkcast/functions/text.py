@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The code points Python's ``str`` treats as white space.
-WHITESPACE = (
-    r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+# The code points Python's ``str`` treats as white space, the blank
+# itself set apart.
+_OTHER = r"\x09-\x0d\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WHITESPACE = f"[ {_OTHER}]"
+# A run that is not a single blank already, so most of a text is left untouched;
+# the look-ahead passes over printable ASCII quickly.
+UNEVEN = f"(?![!-~])(?:[{_OTHER}]{WHITESPACE}*| {WHITESPACE}+)"
 
 # Entities decoded after tags are gone; the ampersand comes last
 # so that an escaped entity is not decoded twice.
@@ -42,14 +45,16 @@ def normalize_text(text: Column, is_html: bool = False) -> Column:
     """Runs of Unicode white space become one blank, ends trimmed."""
     if is_html:
         text = strip_html(text)
-    return F.trim(F.regexp_replace(text, WHITESPACE + "+", " "))
+    return F.trim(F.regexp_replace(text, UNEVEN, " "))
 
 
 def token_count(clean: Column) -> Column:
-    """Number of blank-separated tokens of a normalized text."""
-    return F.when(clean == "", F.lit(0)).otherwise(
-        F.length(clean) - F.length(F.replace(clean, F.lit(" "), F.lit(""))) + 1
-    ).cast("int")
+    """Number of blank-separated tokens of a normalized text.
+
+    No branches: Spark then evaluates the text once for all three uses.
+    """
+    blanks = F.length(clean) - F.length(F.replace(clean, F.lit(" "), F.lit("")))
+    return (blanks + (clean != "").cast("int")).cast("int")
 
 
 def excerpt(text: Column, n: int = 4000) -> Column:
@@ -113,33 +118,43 @@ def ladder_level(text: Column, phrases: dict[int, list[str]]) -> Column:
     ``phrases`` maps a level to literal lower-case phrases; no match gives 0.
     """
     low = F.lower(text)
-    rung: Column | None = None
-    for level in sorted(phrases, reverse=True):
+    rungs = [F.lit(0)]
+    for level in sorted(phrases):
         hit = F.lit(False)
         for phrase in phrases[level]:
-            hit = hit | F.contains(low, F.lit(phrase.lower()))
-        rung = F.when(hit, level) if rung is None else rung.when(hit, level)
-    return (F.lit(0) if rung is None else rung.otherwise(0)).cast("int")
+            hit = F.contains(low, F.lit(phrase.lower())) | hit
+        rungs.append(F.when(hit, level).otherwise(0))
+    # The first match from the top is the largest level that matches.  Without
+    # branches the text is lowered once.
+    return F.greatest(F.lit(0), *rungs).cast("int")
+
+
+def _share(part: Column, whole: Column) -> Column:
+    """Ratio, 0 where there is nothing to divide by; each side evaluated once."""
+    return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
+
+
+def _matched(text: Column, pattern: str) -> Column:
+    """Number of characters inside matches of the pattern."""
+    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
 def caps_ratio(text: Column) -> Column:
     """Share of capital letters among all letters; 0 without letters."""
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    return F.when(letters > 0, F.regexp_count(text, F.lit(r"\p{Lu}")).cast("double") / letters).otherwise(0.0)
+    return _share(_matched(text, r"\p{Lu}+"), _matched(text, r"\p{L}+"))
 
 
 def punctuation_density(text: Column) -> Column:
     """Exclamation and question marks per character; 0 for an empty text."""
-    n = F.length(text)
-    return F.when(n > 0, F.regexp_count(text, F.lit("[!?]")).cast("double") / n).otherwise(0.0)
+    marks = F.length(text) - F.length(F.translate(text, "!?", ""))
+    return _share(marks, F.length(text))
 
 
 def intensifier_density(clean: Column, words: list[str]) -> Column:
     """Share of tokens of a normalized text that are on the caller's word list."""
-    tokens = F.split(F.lower(clean), " ")
-    hits = F.size(F.filter(tokens, lambda t: t.isin(*words)))
-    n = token_count(clean)
-    return F.when(n > 0, hits.cast("double") / n).otherwise(0.0)
+    listed = "|".join(_literal_regex(w.lower()) for w in words)
+    hits = F.regexp_count(F.lower(clean), F.lit(f"(?<![^ ])(?:{listed})(?![^ ])"))
+    return _share(hits, token_count(clean))
 
 
 def entity_hits(text: Column, aliases: dict[str, list[str]]) -> Column:
