@@ -41,14 +41,17 @@ def scratch(spark, name: str) -> str:
 
 @case(
     "w01_get_or_create_sources",
-    """select source_id, name, metadata from sources where source_id < 60
-       union all
-       select source_id, name, '{"primary":"maybe"}' from sources where source_id >= 60""",
+    """select source_id, name, case when source_id in (select source_id from raw_items where published_at < timestamp '2024-01-01 06:00:00')
+         then metadata else '{"primary":"maybe"}' end as metadata from sources""",
 )
 def _(spark, d):
+    """Feeds seen in the first six hours are known; then all of them come, with
+    changed metadata."""
     src = table(spark, d, "sources")
-    batch = src.where("source_id >= 40").withColumn("metadata", F.lit('{"primary":"maybe"}'))
-    return W.get_or_create_sources(src.where("source_id < 60"), batch)
+    seen = table(spark, d, "raw_items").where(F.col("published_at") < time_literal("2024-01-01 06:00:00"))
+    known = src.join(seen.select("source_id").distinct(), "source_id", "left_semi")
+    batch = src.withColumn("metadata", F.lit('{"primary":"maybe"}'))
+    return W.get_or_create_sources(known, batch)
 
 
 _NEW_RAW = """select * exclude (rn) from (select *, row_number() over (partition by source_id, external_id
@@ -126,15 +129,15 @@ def _(spark, d):
              union all select name, 1, 0, 0 from new_raw join sources using (source_id)
              union all select name, 0, 1, 0 from new_raw join sources using (source_id)
                join annotations on item_id = raw_item_id
-             union all select name, 0, 0, 1 from sources where source_id >= 98)
+             union all select name, 0, 0, 1 from flagged where is_primary)
        group by rollup (name)""",
     new_raw=_NEW_RAW,
 )
 def _(spark, d):
-    src = table(spark, d, "sources").select("source_id", "name")
+    src = A.with_primary(table(spark, d, "sources")).select("source_id", "name", "is_primary")
     raw = new_raw_of(spark, d).select("raw_item_id", "source_id").join(src, "source_id")
     ann = table(spark, d, "annotations").select(F.col("item_id").alias("raw_item_id"))
-    return W.ingest_summary(src, raw, raw.join(ann, "raw_item_id"), src.where("source_id >= 98"))
+    return W.ingest_summary(src, raw, raw.join(ann, "raw_item_id"), src.where("is_primary"))
 
 
 # -- forecasts as rows -------------------------------------------------------

@@ -35,7 +35,9 @@ def stream_ingest(
     """
 
     def write(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()  # read twice, and the state must not be
         store.append("raw_items", new_raw_items(store.read("raw_items"), batch))
+        batch.unpersist()
 
     return (
         drop_repeats(raw, delay)
@@ -63,12 +65,14 @@ def stream_ticks(
     """
 
     def cycle(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()  # every step of the cycle reads it
         at = now
         if at is None:
             newest = batch.agg(F.max(micros(F.col(clock)))).first()[0]
             at = None if newest is None else from_epoch(newest)
         if at is not None:
             run_tick(store, batch, at, phrases, primary=primary)
+        batch.unpersist()
 
     return (
         payload.writeStream.foreachBatch(cycle)

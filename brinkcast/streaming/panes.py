@@ -100,7 +100,9 @@ def write_outcomes(store: TableStore, hours: int = 2, minutes: int = 15) -> int:
 
 def _stream(posts, store, checkpoint, delay, minutes, then, trigger) -> StreamingQuery:
     def close(batch: DataFrame, _: int) -> None:
+        batch = batch.persist()  # read twice, and the state must not be
         store.append("panes", insert_absent(store.read("panes"), batch, ["pane", "on_edge"], ["pane"]))
+        batch.unpersist()
         for step in then:
             step(store)
 
