@@ -38,16 +38,19 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's own, else a fresh one.
+    """The shared folder for checkpoints: the one the cluster names.
 
-    Only a session that names none (a test on one machine) gets a temporary
-    folder; a cluster sets ``spark.checkpoint.dir`` to storage every executor
-    can read.
+    Only a session on one machine (tests, bench) gets a temporary folder where
+    it names none; on a cluster that would be a different folder on each
+    executor, so there it is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    folder = named or tempfile.mkdtemp(prefix="brinkcast-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="brinkcast-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
