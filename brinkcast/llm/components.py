@@ -33,6 +33,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
         before = state
         now = stored(_small_star(_large_star(now).distinct()).distinct(), "stars")

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brinkcast.llm.jaccard_join import jaccard_components
 from brinkcast.llm.language_id import held_out, identify, learn_profiles
 
+from brinkcast.llm.substring_dedup import remove_repeats
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,5 +21,18 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", held_out().alias("held_out"), "text"), profiles).drop("text")
 
 
-QUERIES = {"op3_language_id": op3_language_id}
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    "op3_language_id": op3_language_id,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op6_substring_dedup": op6_substring_dedup,
+}
 SQL: dict[str, str] = {}

@@ -1,11 +1,11 @@
 """Count-min sketch whose partition parts are merged by cell range.
 
 A task counts its hashes in cells and sends, per range of cells, the cells it
-hit (a cell hit more than once is sent twice: only "once" and "more" matter).
-Tasks that own a range add up what arrives, batch by batch, in one array of
-fixed size.  What remains is one bit a cell, "hit at least twice".  Its size is
-bounded by ``bits`` and ``depth`` whatever the input, so it can be broadcast; a
-crowded sketch only calls more hashes repeated, never fewer.
+hit as often as matters.  Tasks that own a range add up what arrives, batch by
+batch, in one array of fixed size.  The merged sketch holds one bit a cell ("hit
+at least twice") or, where counts are asked for, one byte a cell (up to 255).
+Its size is bounded by ``bits`` and ``depth`` whatever the input, so it can be
+broadcast; a crowded sketch only overestimates, so nothing repeated is lost.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame
 #: Odd multipliers, one for each row of the sketch.
 ROWS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 RANGE_BITS = 8
+MOST = 255
 
 
-def sketch_bits(hashes: int, per_hash: float, most: int) -> int:
+def sketch_bits(hashes: float, per_hash: float, most: int) -> int:
     """log2 of the cells of a row: ``per_hash`` cells for each hash, within bounds."""
     return int(min(most, max(16, np.ceil(np.log2(max(1.0, hashes * per_hash))))))
 
@@ -33,7 +34,7 @@ def cells_of(h: np.ndarray, bits: int, row: int) -> np.ndarray:
 def _packed(cells: np.ndarray) -> bytes:
     """Sorted cells as differences, in two bytes each where they fit."""
     gaps = np.diff(cells, prepend=np.uint64(0))
-    if len(gaps) and int(gaps.max()) < 65536:
+    if int(gaps.max()) < 65536:
         return b"2" + gaps.astype("<u2").tobytes()
     return b"4" + gaps.astype("<u4").tobytes()
 
@@ -43,21 +44,26 @@ def _unpacked(blob: bytes) -> np.ndarray:
 
 
 def merged_sketch(
-    df: DataFrame, hashes: Callable[[Iterable[pa.RecordBatch]], Iterator[np.ndarray]], bits: int, depth: int
+    df: DataFrame,
+    hashes: Callable[[Iterable[pa.RecordBatch]], Iterator[np.ndarray]],
+    bits: int,
+    depth: int = 1,
+    counts: bool = False,
 ) -> Sketch:
     """Sketch of all that ``hashes`` yields over the rows of ``df``, broadcast."""
-    inside = np.uint64(bits - RANGE_BITS)
+    inside = bits - RANGE_BITS
+    most = MOST if counts else 2
 
     def parts(batches):
         for h in hashes(batches):
             for row in range(depth):
                 cells = np.sort(cells_of(h, bits, row))
-                if len(cells) > 2:  # keep two of a kind
-                    cells = cells[np.concatenate(([True, True], cells[2:] != cells[:-2]))]
-                slots = (cells >> inside).astype(np.int64)
+                if len(cells) > most:  # no more of a kind than can matter
+                    cells = cells[np.concatenate((np.ones(most, bool), cells[most:] != cells[:-most]))]
+                slots = (cells >> np.uint64(inside)).astype(np.int64)
                 cuts = np.searchsorted(slots, np.arange((1 << RANGE_BITS) + 1))
                 used = np.flatnonzero(np.diff(cuts))
-                low = cells & np.uint64((1 << int(inside)) - 1)
+                low = cells & np.uint64((1 << inside) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(used + (row << RANGE_BITS), pa.int32()),
@@ -67,47 +73,53 @@ def merged_sketch(
                 )
 
     def merge(batches):
-        counts: dict[int, np.ndarray] = {}
+        tables: dict[int, np.ndarray] = {}
         for batch in batches:
             for slot, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if slot not in counts:
-                    counts[slot] = np.zeros((2, 1 << int(inside)), bool)
-                once, more = counts[slot]
-                cells = _unpacked(blob)
-                again = cells[1:][cells[1:] == cells[:-1]]
-                more[cells[once[cells]]] = True
-                more[again] = True
-                once[cells] = True
-        for slot, (_, more) in counts.items():
+                if slot not in tables:
+                    tables[slot] = np.zeros(1 << inside, np.uint8)
+                table = tables[slot]
+                cells, n = np.unique(_unpacked(blob), return_counts=True)
+                table[cells] = np.minimum(table[cells].astype(np.int64) + n, MOST)
+        for slot, table in tables.items():
+            packed = table if counts else np.packbits(table > 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([slot], pa.int32()), pa.array([np.packbits(more).tobytes()], pa.binary())], ["slot", "bits"]
+                [pa.array([slot], pa.int32()), pa.array([packed.tobytes()], pa.binary())], ["slot", "table"]
             )
 
     spark = df.sparkSession
     rows = (
         df.mapInArrow(parts, "slot int, cells binary")
         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slot")
-        .mapInArrow(merge, "slot int, bits binary")
+        .mapInArrow(merge, "slot int, table binary")
     )
-    size = 1 << int(inside) >> 3
-    table = np.zeros(depth << RANGE_BITS << (bits - RANGE_BITS) >> 3, np.uint8)
-    for slot, packed in rows.collect():  # depth * 2^bits bits in all
+    size = (1 << inside) // (1 if counts else 8)
+    table = np.zeros((depth << RANGE_BITS) * size, np.uint8)
+    for slot, packed in rows.collect():  # depth * 2^bits bits or bytes in all
         table[slot * size : (slot + 1) * size] = np.frombuffer(packed, np.uint8)
     return Sketch(spark.sparkContext.broadcast(table), bits, depth)
 
 
 class Sketch:
-    """Merged sketch; asks the broadcast table inside tasks."""
+    """A merged sketch; tasks look into the broadcast table."""
 
     def __init__(self, table, bits: int, depth: int):
         self.table, self.bits, self.depth = table, bits, depth
 
     def repeated(self, h: np.ndarray) -> np.ndarray:
-        """False only for hashes that occurred once."""
+        """False only for hashes that occurred once (sketch of bits)."""
         table = self.table.value
         out = np.ones(len(h), bool)
         for row in range(self.depth):
-            cell = cells_of(h, self.bits, row)
-            byte = table[(cell >> np.uint64(3)).astype(np.int64) + (row << self.bits >> 3)]
-            out &= ((byte >> (7 - (cell & np.uint64(7)).astype(np.uint8))) & 1).astype(bool)
+            cell = cells_of(h, self.bits, row).astype(np.int64)
+            byte = table[(cell >> 3) + (row << self.bits >> 3)]
+            out &= ((byte >> (7 - (cell & 7)).astype(np.uint8)) & 1).astype(bool)
+        return out
+
+    def estimates(self, h: np.ndarray) -> np.ndarray:
+        """At least the number of times that each hash occurred, up to 255 (sketch of counts)."""
+        table = self.table.value
+        out = np.full(len(h), MOST, np.uint8)
+        for row in range(self.depth):
+            np.minimum(out, table[cells_of(h, self.bits, row).astype(np.int64) + (row << self.bits)], out=out)
         return out
