@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from brinkcast.llm.jaccard_join import jaccard_components
 from brinkcast.llm.language_id import held_out, identify, learn_profiles
 
+from brinkcast.llm.packing import pack, token_pieces
+from brinkcast.llm.secrets import KINDS, listed, thresholds, with_evidence, with_spans
+from brinkcast.llm.storage import stored
 from brinkcast.llm.substring_dedup import remove_repeats
 
 
@@ -25,14 +28,35 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(table(spark, sf_dir, "documents"), tokenizer_file())
+    return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    evidence = stored(with_evidence(docs).drop("text"), "evidence")
+    found = with_spans(evidence, thresholds(evidence))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {i})) as long)").alias(f"n_{k}") for i, k in enumerate(KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op9_secret_scans": op9_secret_scans,
 }
 SQL: dict[str, str] = {}
