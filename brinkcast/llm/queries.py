@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brinkcast.llm.jaccard_join import jaccard_components
 from brinkcast.llm.language_id import held_out, identify, learn_profiles
 
+from brinkcast.llm.mixing import DOMAINS, TARGETS, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
 from brinkcast.llm.packing import pack, token_pieces
 from brinkcast.llm.secrets import KINDS, listed, thresholds, with_evidence, with_spans
 from brinkcast.llm.storage import stored
@@ -52,11 +53,21 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_domains(docs, labelled_domains(table(spark, sf_dir, "labels")))
+    rows = stored(with_posteriors(docs, model).drop("text"), "posteriors")
+    rated = with_rates(rows, fit_rates(rows, TARGETS))
+    shares = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)]
+    return rated.select("doc_id", "tokens", *shares, "rate")
+
+
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_secret_scans": op9_secret_scans,
+    "op10_mixing_sources": op10_mixing_sources,
 }
 SQL: dict[str, str] = {}
