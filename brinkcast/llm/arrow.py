@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,3 +28,17 @@ def with_columns_schema(df: DataFrame, extra: dict[str, T.DataType]) -> tuple[Da
     taken = {name.lower() for name in extra}
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
     return kept, T.StructType([*kept.schema.fields, *[T.StructField(n, t) for n, t in extra.items()]])
+
+
+def runs_of(batches: Iterable[pa.RecordBatch], key: int, found: Callable[[list[tuple]], Iterator]) -> Iterator:
+    """What ``found(rows)`` yields for each run of rows with one value in column ``key``."""
+    held, value = [], None
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if held and row[key] != value:
+                yield from found(held)
+                held = []
+            value = row[key]
+            held.append(row)
+    if held:
+        yield from found(held)

@@ -9,6 +9,7 @@ from brinkcast.llm.jaccard_join import jaccard_components
 from brinkcast.llm.language_id import held_out, identify, learn_profiles
 
 from brinkcast.llm.mixing import DOMAINS, TARGETS, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
+from brinkcast.llm.mtree import scaled, top_inner_products
 from brinkcast.llm.packing import pack, token_pieces
 from brinkcast.llm.secrets import KINDS, listed, thresholds, with_evidence, with_spans
 from brinkcast.llm.storage import stored
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", scaled("embedding").alias("v"))
+    return top_inner_products(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = learn_profiles(docs.where(~held_out() & F.col("doc_id").isNotNull()))
@@ -63,6 +69,7 @@ def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_exact_topk": op1_exact_topk,
     "op3_language_id": op3_language_id,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,

@@ -3,10 +3,15 @@ before it kept."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from brinkcast.llm.jaccard_join import jaccard_components
 from brinkcast.llm.language_id import UNKNOWN, identify, learn_profiles
-from brinkcast.llm.queries import table
+from brinkcast.llm.mixing import TARGETS, copies, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
+from brinkcast.llm.packing import pack, token_pieces
+from brinkcast.llm.queries import table, tokenizer_file
+from brinkcast.llm.secrets import find_secrets, redacted
 from brinkcast.llm.storage import stored
 
 
@@ -17,8 +22,45 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(f"lang_pred <> '{UNKNOWN}'").select(*docs.columns)
 
 
-STAGES = [("language", language)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id; of
+    rows that share an id one.  Rows without id stay."""
+    groups = jaccard_components(docs)
+    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))
+    kept = docs.join(gone, "doc_id", "left_anti").withColumn("_row", row)
+    return kept.where("_row = 1 or doc_id is null").select(*docs.columns)
 
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced and the length adapted."""
+    found = find_secrets(docs).withColumn("text", redacted("text", "spans"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their rate says, which is never for toxic ones."""
+    model = fit_domains(docs, labelled_domains(table(spark, sf_dir, "labels")))
+    judged = stored(with_posteriors(docs, model), "posteriors")
+    rated = with_rates(judged, fit_rates(judged.select("tokens", "posterior"), TARGETS))
+    often = F.explode(F.array_repeat(F.lit(0), copies()))
+    return rated.withColumn("_copy", often).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: every piece with its ids, sequence and place."""
+    return pack(token_pieces(docs, tokenizer_file()))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("secrets", secrets),
+    ("mixture", mixture),
+    ("packing", packing),
+]
+
+#: Models, shingle groups and packing are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
