@@ -11,6 +11,7 @@ from brinkcast.llm.language_id import held_out, identify, learn_profiles
 from brinkcast.llm.mixing import DOMAINS, TARGETS, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
 from brinkcast.llm.mtree import scaled, top_inner_products
 from brinkcast.llm.packing import pack, token_pieces
+from brinkcast.llm.quality import quality_filter
 from brinkcast.llm.secrets import KINDS, listed, thresholds, with_evidence, with_spans
 from brinkcast.llm.storage import stored
 from brinkcast.llm.substring_dedup import remove_repeats
@@ -51,6 +52,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return quality_filter(docs).drop("lang", "source")
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     evidence = stored(with_evidence(docs).drop("text"), "evidence")
@@ -74,6 +80,7 @@ QUERIES = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing_sources": op10_mixing_sources,
 }
