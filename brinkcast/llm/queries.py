@@ -15,6 +15,7 @@ from brinkcast.llm.quality import quality_filter
 from brinkcast.llm.secrets import KINDS, listed, thresholds, with_evidence, with_spans
 from brinkcast.llm.storage import stored
 from brinkcast.llm.substring_dedup import remove_repeats
+from brinkcast.llm.url_filter import filter_urls, thin_hosts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,47 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+#: Rules of the query: host, path, verdict.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rules = spark.sql("select * from values " + ", ".join(map(str, URL_RULES)) + " as rules(host, path, verdict)")
+    judged = filter_urls(pages.select("page_id", "url"), rules, thin_hosts(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+OP2_SQL = f"""
+with parsed as (
+  select page_id, coalesce(html, '') as html,
+    case when contains(url, '://') then translate(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end as host,
+    case when contains(url, '://') then regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's') else '' end as path
+  from pages
+), rules(h, p, v) as (values {", ".join(map(str, URL_RULES))}),
+fit as (
+  select page_id, h || p as rule, v,
+    row_number() over (partition by page_id order by length(h || p) desc, length(h) desc) as r
+  from parsed join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+), thin as (
+  select host from parsed where host <> '' group by host
+  having cast(sum(length(html)) as double) / count(*) * 2 < (select cast(sum(length(html)) as double) / count(*) from parsed)
+), listed as (
+  select distinct page_id from parsed p join thin t on p.host = t.host or ends_with(p.host, '.' || t.host)
+)
+select p.page_id, p.host, p.path, f.rule,
+  coalesce(f.v, case when l.page_id is not null then 'block' else 'allow' end) as verdict
+from parsed p left join fit f on f.page_id = p.page_id and f.r = 1 left join listed l on l.page_id = p.page_id
+"""
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = learn_profiles(docs.where(~held_out() & F.col("doc_id").isNotNull()))
@@ -76,6 +118,7 @@ def op10_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_url_filters": op2_url_filters,
     "op3_language_id": op3_language_id,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
@@ -84,4 +127,4 @@ QUERIES = {
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing_sources": op10_mixing_sources,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_url_filters": OP2_SQL}
