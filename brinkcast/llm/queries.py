@@ -16,6 +16,7 @@ from brinkcast.llm.secrets import KINDS, listed, thresholds, with_evidence, with
 from brinkcast.llm.storage import stored
 from brinkcast.llm.substring_dedup import remove_repeats
 from brinkcast.llm.url_filter import filter_urls, thin_hosts
+from brinkcast.llm.warc import archive_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +100,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_filter(docs).drop("lang", "source")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
+OP8_SQL = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+), q as (select *, max(page_id) over (partition by payload_digest) as largest from p)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and page_id <> largest then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id <> largest then largest end as refers_to
+from q
+"""
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     evidence = stored(with_evidence(docs).drop("text"), "evidence")
@@ -124,7 +140,8 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_warc": op8_warc,
     "op9_secret_scans": op9_secret_scans,
     "op10_mixing_sources": op10_mixing_sources,
 }
-SQL: dict[str, str] = {"op2_url_filters": OP2_SQL}
+SQL: dict[str, str] = {"op2_url_filters": OP2_SQL, "op8_warc": OP8_SQL}
