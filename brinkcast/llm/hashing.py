@@ -8,7 +8,7 @@ import xxhash
 #: Odd multipliers for two independent run hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Words kept in a task's table before it starts afresh.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 200_000
 
 
 class WordHashes(dict):

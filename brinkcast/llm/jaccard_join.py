@@ -40,6 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from brinkcast.llm.arrow import runs_of
 from brinkcast.llm.components import connected_components
 from brinkcast.llm.hashing import WordHashes, run_hashes
 from brinkcast.llm.sketch import merged_sketch, sketch_bits
@@ -69,14 +70,15 @@ def _key(words: list[bytes]) -> bytes:
 
 def _first_of_each(batch: pa.RecordBatch):
     """Ids and words of a batch, equal texts once (the smallest id)."""
-    firsts: dict[bytes, tuple[int, list[bytes]]] = {}
+    firsts: dict[bytes, tuple[int, bytes]] = {}
     for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
         words = _words(text)
         if words and doc is not None:
             key = _key(words)
             if key not in firsts or doc < firsts[key][0]:
-                firsts[key] = (doc, words)
-    return firsts.values()
+                firsts[key] = (doc, text)
+    for doc, text in firsts.values():  # words take far more memory than texts
+        yield doc, _words(text)
 
 
 def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -147,7 +149,7 @@ def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int) -
             if held:
                 yield np.concatenate(held)
 
-    counts = merged_sketch(sets, shingles, sketch_bits(total, 3, most_bits - 3), counts=True)
+    counts = merged_sketch(sets, shingles, sketch_bits(total, 1.5, most_bits - 3), counts=True)
 
     def tie(batches):
         holder: dict[int, int] = {}
@@ -244,20 +246,6 @@ def _clusters_within(ids: list[int], sets: list[np.ndarray], percent: int) -> li
     return links
 
 
-def _groups(batches, key: int, found):
-    """Calls ``found(rows)`` for each run of rows with one value in column ``key``."""
-    held, value = [], None
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if held and row[key] != value:
-                yield from found(held)
-                held = []
-            value = row[key]
-            held.append(row)
-    if held:
-        yield from found(held)
-
-
 def _links(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([a for a, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.int64())], ["a", "b"]
@@ -274,7 +262,7 @@ def _search_small(grouped: DataFrame, percent: int, parts: int) -> DataFrame:
         grouped.select("grp", "doc_id", "shingles")
         .repartition(parts, "grp")
         .sortWithinPartitions("grp")
-        .mapInArrow(lambda batches: _groups(batches, 0, found), "a long, b long")
+        .mapInArrow(lambda batches: runs_of(batches, 0, found), "a long, b long")
     )
 
 
@@ -298,7 +286,7 @@ def _search_blocks(queries: DataFrame, index: DataFrame, percent: int, parts: in
         both.select("block", "doc_id", "shingles", "asks")
         .repartition(parts, "block")
         .sortWithinPartitions("block")
-        .mapInArrow(lambda batches: _groups(batches, 0, found), "a long, b long")
+        .mapInArrow(lambda batches: runs_of(batches, 0, found), "a long, b long")
     )
 
 
