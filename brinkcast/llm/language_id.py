@@ -58,11 +58,10 @@ class Encoder:
         return self.letters[point]
 
     def symbols(self, text: str) -> np.ndarray:
-        """Code points of letters, 0 for gaps, one gap at either end."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        points = np.where(self.is_letter[points], points, 0)
-        points = np.concatenate(([0], points, [0])).astype(np.int64)
-        return points[np.concatenate(([True], (points[1:] != 0) | (points[:-1] != 0)))]
+        """Code points of letters, 0 for everything else."""
+        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        points[~self.is_letter[points]] = 0
+        return points
 
     def bundles(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """One vector for each text, and which texts have a letter."""
@@ -71,13 +70,14 @@ class Encoder:
         pending: list[tuple[int, np.ndarray]] = []
         held = 0
         for i, text in enumerate(texts):
-            for at in range(0, max(1, len(text)), CHARS):  # pieces of a long text overlap by two symbols
-                piece = self.symbols(text[max(0, at - 2) : at + CHARS])
-                if at:
-                    piece = piece[1:] if len(piece) > 1 else piece
-                if at + CHARS < len(text):
-                    piece = piece[:-1]
-                seen[i] |= bool((piece != 0).any())
+            piece = np.zeros(1, np.int64)  # a gap stands at either end
+            for at in range(0, max(1, len(text)), CHARS):  # two symbols go over to the next piece
+                parts = [piece[-2:], self.symbols(text[at : at + CHARS])]
+                if at + CHARS >= len(text):
+                    parts.append(np.zeros(1, np.int64))
+                piece = np.concatenate(parts)
+                piece = piece[np.concatenate(([True], (piece[1:] != 0) | (piece[:-1] != 0)))]
+                seen[i] |= bool(piece.any())
                 pending.append((i, piece))
                 held += len(piece)
                 if held >= CHARS:
