@@ -44,7 +44,7 @@ from brinkcast.llm.arrow import runs_of
 from brinkcast.llm.components import connected_components
 from brinkcast.llm.hashing import WordHashes, run_hashes
 from brinkcast.llm.sketch import merged_sketch, sketch_bits
-from brinkcast.llm.storage import stored
+from brinkcast.llm.storage import broadcast_if_small, stored
 
 #: Words held as arrays at a time while sets go to the sketch.
 WORDS = 1_000_000
@@ -331,13 +331,15 @@ def jaccard_components(
     classes = signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("first"))
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
     shipped = stored(_candidates(rows, total, k, percent, most_bits), "candidates")
-    sets = stored(shipped.join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sets")
+    # ids travel to find those that stand for their class; the sets stay where they are
+    standing = stored(shipped.select("doc_id").join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").distinct(), "standing")
+    sets = stored(shipped.join(broadcast_if_small(standing), "doc_id", "left_semi"), "sets")
     held = sets.agg(F.sum("n")).first()[0] or 0
     groups = connected_components(_candidate_ties(sets, held, percent, most_bits))
     grouped = sets.select("doc_id", "n").join(groups.toDF("doc_id", "grp"), "doc_id")
     totals = grouped.groupBy("grp").agg(F.sum("n").alias("total"))
-    grouped = stored(grouped.join(totals, "grp").select("doc_id", "grp", "total"), "groups")
-    members = sets.join(grouped, "doc_id")
+    grouped = stored(grouped.join(totals, "grp").select("doc_id", "grp", "total").distinct(), "groups")
+    members = sets.join(broadcast_if_small(grouped), "doc_id")
     small = _search_small(members.where(F.col("total") <= block_shingles), percent, parts)
     links = small
     if grouped.where(F.col("total") > block_shingles).limit(1).count():
