@@ -21,12 +21,11 @@ that ``targets`` names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import PipelineModel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -107,30 +106,36 @@ def with_posteriors(docs: DataFrame, model: PipelineModel | None, domains=DOMAIN
 
 @dataclass(frozen=True)
 class Rates:
-    """Steps that lead to the rates: errors of the domains' totals, as shares."""
+    """Steps that lead to the rates: errors of the domains' totals, as shares, and
+    how far each step is carried on."""
 
     errors: tuple[tuple[float, ...], ...]
+    momenta: tuple[float, ...]
     step: float
     pull: float
-    momentum: float
     totals: tuple[float, ...]
     targets: tuple[float, ...]
 
+    def _walk(self, posterior: np.ndarray):
+        """(rate, point of the next gradient, slope along the last move) of documents."""
+        rate = ahead = np.ones(len(posterior))
+        along = np.zeros(len(posterior))
+        for error, momentum in zip(self.errors, self.momenta):
+            slope = posterior @ np.array(error) + self.pull * (ahead - 1)
+            new = np.maximum(0, ahead - self.step * slope)
+            along = slope * (new - rate)
+            rate, ahead = new, new + momentum * (new - rate)
+        return rate, ahead, along
+
     def of(self, posterior: np.ndarray) -> np.ndarray:
         """Rates of documents, one row of ``posterior`` each."""
-        rate = ahead = np.ones(len(posterior))
-        for error in self.errors:
-            new = np.maximum(0, ahead - self.step * (posterior @ np.array(error) + self.pull * (ahead - 1)))
-            rate, ahead = new, new + self.momentum * (new - rate)
-        return rate
+        return self._walk(posterior)[0]
 
-    def ahead_of(self, posterior: np.ndarray) -> np.ndarray:
-        """The point at which the next gradient is taken."""
-        rate = ahead = np.ones(len(posterior))
-        for error in self.errors:
-            new = np.maximum(0, ahead - self.step * (posterior @ np.array(error) + self.pull * (ahead - 1)))
-            rate, ahead = new, new + self.momentum * (new - rate)
-        return ahead
+    def sums(self, posterior: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Expected tokens of each domain at the next point, and the slope of the
+        last move over all tokens."""
+        _, ahead, along = self._walk(posterior)
+        return np.append((tokens * ahead) @ posterior, tokens @ along)
 
 
 def _totals(rows: DataFrame, k: int, value) -> np.ndarray:
@@ -165,19 +170,22 @@ def fit_rates(
         rows, k, lambda p, t: np.concatenate([[t.sum()], t @ p, ((p * t[:, None]).T @ p).ravel()])
     )
     if not len(moments) or moments[0] == 0:
-        return Rates((), 1.0, pull, 0.0, (0.0,) * k, (0.0,) * k)
+        return Rates((), (), 1.0, pull, (0.0,) * k, (0.0,) * k)
     total, have, spread = moments[0], moments[1 : k + 1] / moments[0], moments[k + 1 :].reshape(k, k) / moments[0]
     weights = np.array([targets.get(d, 0.0) for d in domains], float)
     first = domains.index(next(iter(targets)))
     want = weights / weights[first] * have[first]
-    curved = np.linalg.eigvalsh(spread)
-    step = 1 / (curved[-1] + pull)
-    ratio = np.sqrt((max(curved[0], 0) + pull) * step)
-    fit = Rates((), float(step), pull, float((1 - ratio) / (1 + ratio)), tuple(have * total), tuple(want * total))
-    before = None
+    step = float(1 / (np.linalg.eigvalsh(spread)[-1] + pull))
+    fit = Rates((), (), step, pull, tuple(have * total), tuple(want * total))
+    before, t = None, 1.0
     for _ in range(steps):
-        now = _totals(rows, k, lambda p, t, f=fit: (t * f.ahead_of(p)) @ p) / total
-        fit = Rates((*fit.errors, tuple(now - want)), fit.step, pull, fit.momentum, fit.totals, fit.targets)
+        *now, along = _totals(rows, k, lambda p, n, f=fit: f.sums(p, n)) / total
+        now = np.array(now)
+        if along > 0:  # the last move went uphill: start the momentum afresh
+            t = 1.0
+        after = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        fit = replace(fit, errors=(*fit.errors, tuple(now - want)), momenta=(*fit.momenta, float((t - 1) / after)))
+        t = after
         if before is not None and np.abs(now - before).max() < enough:
             break
         before = now

@@ -221,11 +221,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     owned = (
         placed.join(reached.select("file", "start", F.lit(True).alias("record")), ["file", "start"], "left")
         .withColumn("owner", owner)
-        .join(cut.select("file", F.col("start").alias("owner"), "body", F.col("length").alias("whole")), ["file", "owner"])
-        .select("file", "split", "at", "start", "owner", "body", "whole")
+        .join(cut.select("file", F.col("start").alias("owner"), F.col("body").alias("skip"), F.col("length").alias("whole")), ["file", "owner"])
+        .select("file", "split", "at", "start", "owner", "skip", "whole")
     )
     segments = _segments(spark, path).mapInArrow(_located, "file string, split long, at long, segment binary")
-    pieces = segments.join(owned, ["file", "split", "at"]).select(F.struct("file", "owner").alias("record"), "start", "body", "whole", "segment")
+    pieces = segments.join(owned, ["file", "split", "at"]).select(F.struct("file", "owner").alias("record"), "start", "skip", "whole", "segment")
 
     def join(rows):
         rows = sorted(rows, key=lambda r: r[1])
