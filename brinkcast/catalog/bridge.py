@@ -94,7 +94,9 @@ DUCKDB: dict[str, str] = {
         from raw_items r join flagged s using (source_id) left join items i using (raw_item_id)
         left join latest l using (item_id)""",
     "spine": """
-        select unnest(generate_series(timestamp '2024-01-02', timestamp '2024-01-29', interval 15 minutes)) as h""",
+        select unnest(generate_series(lo::timestamp, hi::timestamp, interval 15 minutes)) as h
+        from (select date_trunc('day', min(published_at)) as lo,
+                     date_trunc('day', max(published_at)) + interval 1 day as hi from raw_items)""",
     "windows": "select h as window_start, h + interval 2 hours as window_end from spine",
     "features": """
         select h,
@@ -134,7 +136,7 @@ DUCKDB: dict[str, str] = {
     # one whose scores are cut to tenths (ties, bin borders) without c4.
     "predictions": """
         select h as made_at, h as window_start, h + interval 2 hours as window_end,
-               'baseline-soft-001' as model_version, round(c1_value, 9) as c1_value, round(c2_3_prob, 9) as c2_3_prob,
+               'trailing-mix-1' as model_version, round(c1_value, 9) as c1_value, round(c2_3_prob, 9) as c2_3_prob,
                round(c2_4_prob, 9) as c2_4_prob, round(c2_5_prob, 9) as c2_5_prob, round(c2_6_prob, 9) as c2_6_prob,
                round(c3_prob, 9) as c3_prob, round(c4_prob, 9) as c4_prob, feature_hash
         from hashed

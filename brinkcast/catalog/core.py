@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import datetime, timedelta
+from html.entities import name2codepoint
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,6 @@ from brinkcast.operators import predictions as P
 from brinkcast.operators import windows as WN
 from brinkcast.operators.ordered import stored
 
-SPINE = ("2024-01-02 00:00:00", "2024-01-29 00:00:00")
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -53,12 +53,25 @@ def posts_of(spark: SparkSession, d: str, primary_only: bool = False) -> DataFra
     return A.items_with_latest(t("raw_items"), t("items"), t("sources"), t("annotations"), primary_only)
 
 
-def spine_of(spark: SparkSession) -> DataFrame:
-    return times.grid_spine(spark, *SPINE)
+def span_of(spark: SparkSession, d: str) -> tuple[str, str]:
+    """First and last grid point: whole days around all posts."""
+    days = F.date_trunc("day", F.min("ts")), F.date_trunc("day", F.max("ts")) + F.make_dt_interval(F.lit(1))
+    row = given(spark, d, "events").agg(*[F.date_format(x, "yyyy-MM-dd HH:mm:ss") for x in days]).first()
+    return row[0], row[1]
+
+
+def period_of(spark: SparkSession, d: str) -> tuple[str, datetime]:
+    """A period that holds every window."""
+    first, last = span_of(spark, d)
+    return first, datetime.fromisoformat(last) + timedelta(hours=2)
+
+
+def spine_of(spark: SparkSession, d: str) -> DataFrame:
+    return times.grid_spine(spark, *span_of(spark, d))
 
 
-def windows_of(spark: SparkSession) -> DataFrame:
-    return times.window_spine(spark, *SPINE)
+def windows_of(spark: SparkSession, d: str) -> DataFrame:
+    return times.window_spine(spark, *span_of(spark, d))
 
 
 def panes_of(spark: SparkSession, d: str) -> DataFrame:
@@ -66,10 +79,10 @@ def panes_of(spark: SparkSession, d: str) -> DataFrame:
     return stored(WN.valence_panes(posts_of(spark, d)))
 
 
-def predictions_from(panes: DataFrame, spark: SparkSession) -> DataFrame:
+def predictions_from(panes: DataFrame, spark: SparkSession, d: str) -> DataFrame:
     """Forecasts of the simple predictor, at nine decimals, and of one that only
     gives tenths."""
-    rows = P.prediction_rows(WN.features_from_panes(panes, spine_of(spark)))
+    rows = P.prediction_rows(WN.features_from_panes(panes, spine_of(spark, d)))
     tenth = lambda c: (F.floor(F.col(c) * 10) / 10).alias(c)
     cols = [
         F.lit("tenths-001").alias("model_version"),
@@ -194,27 +207,27 @@ _MEANS = ("eco_mean_6h", "primary_mean_24h")
 
 @case("a02_ecosystem_stats", f"select h, {r9sql('eco_mean_6h')}, eco_n_6h from features")
 def _(spark, d):
-    return r9(WN.ecosystem_stats(posts_of(spark, d), spine_of(spark)), "eco_mean_6h")
+    return r9(WN.ecosystem_stats(posts_of(spark, d), spine_of(spark, d)), "eco_mean_6h")
 
 
 @case("a03_primary_stats", f"select h, {r9sql('primary_mean_24h')}, primary_n_24h from features")
 def _(spark, d):
-    return r9(WN.primary_stats(posts_of(spark, d, True), spine_of(spark)), "primary_mean_24h")
+    return r9(WN.primary_stats(posts_of(spark, d, True), spine_of(spark, d)), "primary_mean_24h")
 
 
 @case("a04_primary_post_count", "select h, primary_posts_6h from features")
 def _(spark, d):
-    return WN.primary_post_count(posts_of(spark, d, True), spine_of(spark))
+    return WN.primary_post_count(posts_of(spark, d, True), spine_of(spark, d))
 
 
 @case("a05_window_outcomes", f"select window_start, window_end, v_max, n_posts, {r9sql('v_recent')}, had_jump from outcomes")
 def _(spark, d):
-    return r9(WN.window_outcomes(posts_of(spark, d, True), windows_of(spark)), "v_recent")
+    return r9(WN.window_outcomes(posts_of(spark, d, True), windows_of(spark, d)), "v_recent")
 
 
 @case("a06_features_at", f"select h, {r9sql(*_MEANS)}, eco_n_6h, primary_n_24h, primary_posts_6h from features")
 def _(spark, d):
-    return r9(WN.features_at(posts_of(spark, d), spine_of(spark)), *_MEANS)
+    return r9(WN.features_at(posts_of(spark, d), spine_of(spark, d)), *_MEANS)
 
 
 @case(
@@ -235,7 +248,7 @@ def _(spark, d):
     f"select window_start, window_end, {r9sql('eco_mean_6h')}, eco_n_6h from windows join eco using (window_start)",
 )
 def _(spark, d):
-    return r9(WN.ecosystem_at(windows_of(spark), posts_of(spark, d)), "eco_mean_6h")
+    return r9(WN.ecosystem_at(windows_of(spark, d), posts_of(spark, d)), "eco_mean_6h")
 
 
 @case(
@@ -244,15 +257,16 @@ def _(spark, d):
          coalesce(max(valence_level) filter (published_at >= w.ws), -1)::int as v_max,
          round(coalesce(avg(valence_level::double) filter (published_at < w.ws), 0.0), 9) as v_recent,
          count(valence_level) filter (published_at >= w.ws) as n_posts
-       from (select unnest(generate_series(timestamp '2024-01-02 00:07:30', timestamp '2024-01-28 22:00:00',
-               interval 2 hours)) as ws) w
+       from (select unnest(generate_series(min(h) + interval 450 seconds, max(h) - interval 2 hours,
+               interval 2 hours)) as ws from spine) w
        left join (select * from posts where is_primary and valence_level is not null) p
          on published_at >= w.ws - interval 24 hours and published_at < w.ws + interval 2 hours
        group by w.ws""",
 )
 def _(spark, d):
     posts = posts_of(spark, d, True).where("valence_level is not null").withColumnRenamed("valence_level", "valence")
-    return r9(WN.tumbling_labels(posts, "2024-01-02 00:07:30", SPINE[1]), "v_recent")
+    first, last = span_of(spark, d)
+    return r9(WN.tumbling_labels(posts, datetime.fromisoformat(first) + timedelta(seconds=450), last), "v_recent")
 
 
 # -- scalar functions --------------------------------------------------------
@@ -291,13 +305,13 @@ _PROBS = ("c1_value", *scores.PROB_COLUMNS)
 
 @case("p09_features_to_probs", f"select h, {r9sql(*_PROBS)} from probs")
 def _(spark, d):
-    feats = WN.features_at(posts_of(spark, d), spine_of(spark))
+    feats = WN.features_at(posts_of(spark, d), spine_of(spark, d))
     return r9(scores.features_to_probs(feats).select("h", *_PROBS), *_PROBS)
 
 
 @case("p10_feature_hash", "select h, feature_hash from hashed")
 def _(spark, d):
-    feats = WN.features_at(posts_of(spark, d), spine_of(spark))
+    feats = WN.features_at(posts_of(spark, d), spine_of(spark, d))
     return feats.select("h", keys.feature_hash(F.col("h")).alias("feature_hash"))
 
 
@@ -307,7 +321,7 @@ def _(spark, d):
 )
 def _(spark, d):
     """The payload, read back."""
-    rows = P.prediction_rows(WN.features_at(posts_of(spark, d), spine_of(spark)))
+    rows = P.prediction_rows(WN.features_at(posts_of(spark, d), spine_of(spark, d)))
     probs = ", ".join(f"{c} double" for c in _PROBS)
     shape = (
         "features struct<eco_mean_6h double, primary_mean_24h double, eco_n_6h long, primary_posts_6h long>, "
@@ -324,7 +338,7 @@ def _(spark, d):
        from outcomes""",
 )
 def _(spark, d):
-    out = WN.window_outcomes(posts_of(spark, d, True), windows_of(spark))
+    out = WN.window_outcomes(posts_of(spark, d, True), windows_of(spark, d))
     return out.select("window_start", *[c.alias(n) for n, c in scores.window_targets().items()])
 
 
@@ -361,7 +375,7 @@ def _(spark, d):
     from brinkcast.operators.baselines import previous_v_max
 
     panes = panes_of(spark, d)
-    rows = WN.ecosystem_from_panes(WN.outcomes_from_panes(panes, windows_of(spark)), panes)
+    rows = WN.ecosystem_from_panes(WN.outcomes_from_panes(panes, windows_of(spark, d)), panes)
     rows = previous_v_max(stored(rows))
     step = scores.step_baseline
     return rows.select(
@@ -390,8 +404,10 @@ _STRIP = (
     r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
     r"'(?is)<script[^>]*>.*?</script\s*>', '', 'g'), '(?is)<style[^>]*>.*?</style\s*>', '', 'g'), '<[^>]*>', chr(10), 'g')"
 )
-for _e, _c in (("&nbsp;", "' '"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&apos;", "''''"), ("&#39;", "''''"), ("&amp;", "'&'")):
-    _STRIP = f"replace({_STRIP}, '{_e}', {_c})"
+# Every name of a Latin-1 character, one replacement each, the ampersand last.
+for _e, _c in sorted(name2codepoint.items(), key=lambda x: x[0] == "amp"):
+    if _c < 256:
+        _STRIP = f"replace({_STRIP}, '&{_e};', chr({_c}))"
 
 
 @case("p01_strip_html", f"select page_id, {_STRIP} as body from pages")

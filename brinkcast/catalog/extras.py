@@ -45,9 +45,9 @@ def _(spark, d):
     return r9(M.spearman(given(spark, d, "events"), "value", "user_id", ["event_type"]), "rho")
 
 
-def _hits(panes, spark):
-    windows = WN.outcomes_from_panes(panes, windows_of(spark)).where("had_jump")
-    preds = predictions_from(panes, spark).select("made_at", "window_start", "window_end", "model_version", "c3_prob")
+def _hits(panes, spark, d):
+    windows = WN.outcomes_from_panes(panes, windows_of(spark, d)).where("had_jump")
+    preds = predictions_from(panes, spark, d).select("made_at", "window_start", "window_end", "model_version", "c3_prob")
     return windows.join(preds, ["window_start", "window_end"]).where("c3_prob >= 0.2").select(
         "made_at", "window_start", "window_end", "model_version", "v_recent"
     )
@@ -62,7 +62,7 @@ def _hits(panes, spark):
          where had_jump and c3_prob >= 0.2e0 and valence_level >= v_recent + 2 group by 1, 2) group by 1""",
 )
 def _(spark, d):
-    out = X.mean_lead_time(_hits(panes_of(spark, d), spark), posts_of(spark, d, True), ["model_version"])
+    out = X.mean_lead_time(_hits(panes_of(spark, d), spark, d), posts_of(spark, d, True), ["model_version"])
     return r9(out, "mean_lead_minutes")
 
 
@@ -94,7 +94,7 @@ def _tagged(spark, d, windows):
     **_STRATA_VIEWS,
 )
 def _(spark, d):
-    out = _tagged(spark, d, windows_of(spark))
+    out = _tagged(spark, d, windows_of(spark, d))
     return out.select("window_start", F.concat_ws(",", "strata").alias("strata"))
 
 
@@ -114,8 +114,8 @@ def _(spark, d):
 )
 def _(spark, d):
     panes = panes_of(spark, d)
-    windows = _tagged(spark, d, WN.outcomes_from_panes(panes, windows_of(spark)))
-    rows = P.align_predictions(windows, predictions_from(panes, spark))
+    windows = _tagged(spark, d, WN.outcomes_from_panes(panes, windows_of(spark, d)))
+    rows = P.align_predictions(windows, predictions_from(panes, spark, d))
     long = _long_with(rows, ["model_version", "strata"])
     out = X.metrics_by_stratum(long.where("target <> 'c1'"), ["model_version"])
     return r9(out.select("model_version", "target", "stratum", "n", "base_rate"), "base_rate")
@@ -130,7 +130,7 @@ def _long_with(rows, keep):
 def _test_long(spark, d):
     """Aligned forecasts of the test windows, long, with the window."""
     windows, panes = split_of(spark, d)
-    rows = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark))
+    rows = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark, d))
     return _long_with(rows.withColumnRenamed("model_version", "score_set"), ["score_set", "window_start", "window_end"])
 
 
@@ -156,7 +156,7 @@ def _(spark, d):
 )
 def _(spark, d):
     windows, panes = split_of(spark, d)
-    rows = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark))
+    rows = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark, d))
     return r9(X.surprises(rows).select("window_start", "model_version", "v_max", "gap"), "gap")
 
 
@@ -165,8 +165,8 @@ _STEPS = " + ".join(f"(u >= {s!r}::double)::int" for s in X.POISSON_STEPS)
 
 def _gain_of(spark, d):
     windows, panes = split_of(spark, d)
-    mine = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark)).where(
-        "model_version = 'baseline-soft-001'"
+    mine = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark, d)).where(
+        "model_version = 'trailing-mix-1'"
     )
     rival = B.baseline_probs(windows).where("score_set = 'B4'").select("window_start", F.col("c2_4_prob").alias("rival"))
     pairs = mine.select("window_start", F.col("c2_4_prob").alias("prob"), (F.col("v_max") >= 4).cast("int").alias("label"))
@@ -182,7 +182,7 @@ def _gain_of(spark, d):
             from gains, (select unnest(range(0, 201)) as r))) group by r)""",
     gains="""select window_start, power(b.c2_4_prob - (s.v_max >= 4)::int, 2) - power(p.c2_4_prob - (s.v_max >= 4)::int, 2) as gain
         from splitted s join predictions p using (window_start) join base b using (window_start)
-        where p.model_version = 'baseline-soft-001' and b.score_set = 'B4' and s.is_test""",
+        where p.model_version = 'trailing-mix-1' and b.score_set = 'B4' and s.is_test""",
 )
 def _(spark, d):
     return r9(_gain_of(spark, d), "mean_gain", "p_no_gain")
@@ -190,7 +190,7 @@ def _(spark, d):
 
 @case("x06_promotion_gate")
 def _(spark, d):
-    return X.promotion_gate(_test_long(spark, d), "baseline-soft-001", "tenths-001", _gain_of(spark, d))
+    return X.promotion_gate(_test_long(spark, d), "trailing-mix-1", "tenths-001", _gain_of(spark, d))
 
 
 _SPAN_SQL = ", ".join(
@@ -211,7 +211,7 @@ _STATS = [f"{m}_{s}h" for s in (1, 6, 24) for m in ("mean", "std")]
                 on published_at > h - interval 24 hours and published_at <= h) group by h""",
 )
 def _(spark, d):
-    out = FM.level_statistics(posts_of(spark, d), spine_of(spark))
+    out = FM.level_statistics(posts_of(spark, d), spine_of(spark, d))
     out = out.withColumns({c: F.round(c, 7) for c in _STATS})
     return out.withColumns({c: F.round(c, 6) for c in ("slope_6h", "acceleration")})
 
@@ -222,7 +222,7 @@ def _(spark, d):
        from spine left join (select * from posts where is_primary) p on published_at <= h group by h""",
 )
 def _(spark, d):
-    return r9(FM.calendar_features(spine_of(spark), posts_of(spark, d, True)), "minutes_since_post")
+    return r9(FM.calendar_features(spine_of(spark, d), posts_of(spark, d, True)), "minutes_since_post")
 
 
 _WORDS = ["the", "und", "que", "with"]
@@ -271,7 +271,7 @@ def _naming(spark, d):
     **_MENTIONS,
 )
 def _(spark, d):
-    return FM.entity_counts(_naming(spark, d), spine_of(spark))
+    return FM.entity_counts(_naming(spark, d), spine_of(spark, d))
 
 
 @case(
@@ -285,7 +285,7 @@ def _(spark, d):
     numbered_naming="select row_number() over () as rowid_, * from naming",
 )
 def _(spark, d):
-    return FM.entity_pairs(_naming(spark, d), spine_of(spark))
+    return FM.entity_pairs(_naming(spark, d), spine_of(spark, d))
 
 
 _ROLL = {
@@ -323,7 +323,7 @@ _ROLLED = [f"{m}_{s}d" for m in ("ece", "auc_pr", "brier") for s in (7, 30)]
 
 def _rolling(spark, d):
     panes = panes_of(spark, d)
-    rows = P.align_predictions(WN.outcomes_from_panes(panes, windows_of(spark)), predictions_from(panes, spark))
+    rows = P.align_predictions(WN.outcomes_from_panes(panes, windows_of(spark, d)), predictions_from(panes, spark, d))
     long = _long_with(rows, ["model_version", "window_end"]).where("target in ('c2_4', 'c2_5', 'c4')")
     return X.rolling_metrics(long, ["model_version"])
 
@@ -365,7 +365,7 @@ _QS = "[" + ", ".join(f"{i} * 0.1e0" for i in range(1, 10)) + "]"
        from features""",
 )
 def _(spark, d):
-    feats = WN.features_from_panes(panes_of(spark, d), spine_of(spark))
+    feats = WN.features_from_panes(panes_of(spark, d), spine_of(spark, d))
     early = F.col("h") < time_literal("2024-01-16")
     names = ["eco_mean_6h", "eco_n_6h", "primary_mean_24h", "primary_n_24h", "primary_posts_6h"]
     return r9(D.feature_psi(feats.where(early), feats.where(~early), names), "psi")
@@ -413,7 +413,7 @@ def _(spark, d):
            on published_at > h - interval 6 hours and published_at <= h) group by h""",
 )
 def _(spark, d):
-    out = FM.decayed_mean(posts_of(spark, d).where("not is_primary"), spine_of(spark))
+    out = FM.decayed_mean(posts_of(spark, d).where("not is_primary"), spine_of(spark, d))
     return out.select("h", F.round("decayed_mean", 8).alias("decayed_mean"))
 
 
@@ -436,7 +436,7 @@ def _(spark, d):
     gaps=_GAPS,
 )
 def _(spark, d):
-    out = r9(FM.hazard_rows(posts_of(spark, d, True), spine_of(spark)), "minutes_since_post")
+    out = r9(FM.hazard_rows(posts_of(spark, d, True), spine_of(spark, d)), "minutes_since_post")
     return out.withColumn("mean_gap_24h", F.round("mean_gap_24h", 7))
 
 

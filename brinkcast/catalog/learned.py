@@ -14,14 +14,14 @@ from brinkcast.operators import windows as WN
 def _rows(spark, d):
     """Features and outcome of each window."""
     panes = panes_of(spark, d)
-    feats = WN.features_from_panes(panes, spine_of(spark)).withColumnRenamed("h", "window_start")
-    out = WN.outcomes_from_panes(panes, windows_of(spark))
+    feats = WN.features_from_panes(panes, spine_of(spark, d)).withColumnRenamed("h", "window_start")
+    out = WN.outcomes_from_panes(panes, windows_of(spark, d))
     return out.join(feats, "window_start").checkpoint()
 
 
 @case("m03_isotonic")
 def _(spark, d):
-    rows = scored_of(spark, d).where("target = 'c2_4' and model_version = 'baseline-soft-001'").checkpoint()
+    rows = scored_of(spark, d).where("target = 'c2_4' and model_version = 'trailing-mix-1'").checkpoint()
     model = MD.fit_isotonic(rows)
     return r9(MD.apply_isotonic(model, rows).select("prob", "calibrated"), "prob", "calibrated")
 

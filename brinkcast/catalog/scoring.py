@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from brinkcast.catalog.bridge import given, table
 from brinkcast.catalog.core import (
-    SPINE,
     case,
     panes_of,
+    period_of,
     posts_of,
     predictions_from,
     r9,
@@ -173,8 +173,8 @@ def _(spark, d):
 def scored_of(spark, d):
     """Long frame of both models' forecasts with labels, binary targets."""
     panes = panes_of(spark, d)
-    windows = WN.outcomes_from_panes(panes, windows_of(spark))
-    rows = P.align_predictions(windows, predictions_from(panes, spark))
+    windows = WN.outcomes_from_panes(panes, windows_of(spark, d))
+    rows = P.align_predictions(windows, predictions_from(panes, spark, d))
     long = BT._long(rows.withColumnRenamed("model_version", "score_set"))
     return long.where("target <> 'c1'").withColumnRenamed("score_set", "model_version")
 
@@ -256,7 +256,7 @@ def _(spark, d):
 def split_of(spark, d):
     """Scored windows of the whole grid, split in the middle."""
     panes = panes_of(spark, d)
-    windows = WN.ecosystem_from_panes(WN.outcomes_from_panes(panes, windows_of(spark)), panes)
+    windows = WN.ecosystem_from_panes(WN.outcomes_from_panes(panes, windows_of(spark, d)), panes)
     return BT.split_windows(stored(windows), None), panes
 
 
@@ -266,7 +266,7 @@ FIGURES = ("auc_pr", "ece", "mae", "base_rate")
 @case("a19_target_metrics", f"select score_set, target, n, {r9sql(*FIGURES)} from test_metrics where n > 0")
 def _(spark, d):
     windows, panes = split_of(spark, d)
-    models = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark))
+    models = P.align_predictions(windows.where("is_test"), predictions_from(panes, spark, d))
     long = BT._long(B.baseline_probs(windows)).unionByName(
         BT._long(models.withColumnRenamed("model_version", "score_set"))
     )
@@ -276,20 +276,20 @@ def _(spark, d):
 @case("a20_score_sets", f"select score_set, n_test, target, n, {r9sql(*FIGURES)} from test_metrics")
 def _(spark, d):
     windows, panes = split_of(spark, d)
-    return r9(BT.score_sets(windows, predictions_from(panes, spark)), *FIGURES)
+    return r9(BT.score_sets(windows, predictions_from(panes, spark, d)), *FIGURES)
 
 
 def outcomes_of(spark, d):
     """Stored outcomes of every grid window."""
-    return stored(WN.window_outcomes(posts_of(spark, d, True), windows_of(spark)))
+    return stored(WN.window_outcomes(posts_of(spark, d, True), windows_of(spark, d)))
 
 
 def report_of(spark, d):
     """The backtest over stored outcomes and forecasts, ecosystem context from posts."""
     panes = panes_of(spark, d)
-    outcomes = WN.outcomes_from_panes(panes, windows_of(spark))
+    outcomes = WN.outcomes_from_panes(panes, windows_of(spark, d))
     return BT.backtest_report(
-        outcomes, predictions_from(panes, spark), None, "2024-01-02", "2024-01-30", panes=panes
+        outcomes, predictions_from(panes, spark, d), None, *period_of(spark, d), panes=panes
     )
 
 
@@ -300,7 +300,7 @@ def _(spark, d):
 
 @case(
     "a24_backtest_header",
-    """select timestamp '2024-01-02' as period_start, timestamp '2024-01-30' as period_end, max(train_until) as train_until,
+    """select (select min(h) from spine) as period_start, (select max(h) + interval 2 hours from spine) as period_end, max(train_until) as train_until,
          count(*) as n_windows_total, count(*) filter (not is_test) as n_windows_train,
          count(*) filter (is_test) as n_windows_test, (sum(eco_n_6h) filter (is_test))::bigint as ecosystem_posts_test,
          concat_ws(',', case when count(*) filter (is_test) = 0 then 'empty_test_set' end,
@@ -344,7 +344,7 @@ def _(spark, d):
 
 @case("f06_chronological_split", "select window_start, window_end, train_until, is_test from splitted")
 def _(spark, d):
-    windows = windows_of(spark)
+    windows = outcomes_of(spark, d)
     return BT.split_windows(windows, None).select("window_start", "window_end", "train_until", "is_test")
 
 
@@ -374,14 +374,14 @@ def _(spark, d):
 )
 def _(spark, d):
     panes = panes_of(spark, d)
-    rows = P.align_predictions(WN.outcomes_from_panes(panes, windows_of(spark)), predictions_from(panes, spark))
+    rows = P.align_predictions(WN.outcomes_from_panes(panes, windows_of(spark, d)), predictions_from(panes, spark, d))
     return r9(rows.select("window_start", "model_version", "v_max", *PROB_COLUMNS), *PROB_COLUMNS)
 
 
 @case("t03_outcomes_in_order", "select window_start, window_end, v_max, n_posts, had_jump from outcomes")
 def _(spark, d):
     out = outcomes_of(spark, d)
-    return P.outcomes_in_order(out, "2024-01-02", "2024-01-30").drop("v_recent")
+    return P.outcomes_in_order(out, *period_of(spark, d)).drop("v_recent")
 
 
 # -- drift -------------------------------------------------------------------

@@ -105,7 +105,7 @@ _KEY = ["window_start", "window_end", "model_version"]
        where window_start >= timestamp '2024-01-15' or model_version = 'tenths-001'""",
 )
 def _(spark, d):
-    preds = predictions_from(panes_of(spark, d), spark)
+    preds = predictions_from(panes_of(spark, d), spark, d)
     early = F.col("window_start") < time_literal("2024-01-15")
     stored = preds.where(early & (F.col("model_version") != "tenths-001"))
     return W.new_predictions(stored, preds.unionByName(preds.where(~early))).select(*_KEY)
@@ -116,7 +116,7 @@ def _(spark, d):
     "select window_start, window_end, v_max, n_posts, had_jump from outcomes where window_start >= timestamp '2024-01-15'",
 )
 def _(spark, d):
-    out = WN.outcomes_from_panes(panes_of(spark, d), windows_of(spark)).drop("v_recent")
+    out = WN.outcomes_from_panes(panes_of(spark, d), windows_of(spark, d)).drop("v_recent")
     stored = out.where(F.col("window_start") < time_literal("2024-01-15"))
     return W.new_outcomes(stored, out.unionByName(out))
 
@@ -151,7 +151,7 @@ def _(spark, d):
        from predictions order by made_at desc, window_start desc, model_version limit 40""",
 )
 def _(spark, d):
-    return P.latest_predictions(predictions_from(panes_of(spark, d), spark))
+    return P.latest_predictions(predictions_from(panes_of(spark, d), spark, d))
 
 
 _DUE = """select distinct window_start, window_end from predictions p
@@ -162,8 +162,8 @@ _DUE = """select distinct window_start, window_end from predictions p
 
 def _due(spark, d, limit):
     panes = panes_of(spark, d)
-    stored = WN.outcomes_from_panes(panes, windows_of(spark)).where(F.col("window_start") < time_literal("2024-01-20"))
-    return P.due_windows(predictions_from(panes, spark), stored, "2024-01-25 10:00:00", limit)
+    stored = WN.outcomes_from_panes(panes, windows_of(spark, d)).where(F.col("window_start") < time_literal("2024-01-20"))
+    return P.due_windows(predictions_from(panes, spark, d), stored, "2024-01-25 10:00:00", limit)
 
 
 @case("j05_due_windows", _DUE)
@@ -258,7 +258,7 @@ def _(spark, d):
 
 # -- labelling ---------------------------------------------------------------
 
-_KEYED = f"""select doc_id, lang, text, sha256('v1ladder' || substring(text, 1, 4000)) as label_key, ({_LADDER})::int as level
+_KEYED = f"""select doc_id, lang, text, sha256('v1ladder' || text) as label_key, ({_LADDER})::int as level
     from documents where text <> ''"""
 
 
@@ -272,13 +272,13 @@ def _cache(spark, d):
     from brinkcast.functions.keys import label_cache_key
 
     return docs.select(
-        label_cache_key(F.substring("text", 1, 4000), "ladder", "v1").alias("label_key"),
+        label_cache_key(F.col("text"), "ladder", "v1").alias("label_key"),
         F.lit(5).alias("level"),
         F.lit("none").alias("target_type"),
         F.lit(None).cast("string").alias("target_name"),
         F.lit("kept").alias("rationale"),
         F.lit(0.5).alias("confidence"),
-    ).distinct()
+    )  # copies of a text give their key more than once
 
 
 @case(
@@ -287,7 +287,7 @@ def _cache(spark, d):
     keyed_docs=_KEYED,
 )
 def _(spark, d):
-    rows = _docs(spark, d).where("clean_text <> ''").withColumn("clean_text", F.substring("clean_text", 1, 4000))
+    rows = _docs(spark, d).where("clean_text <> ''")
     hits, _misses = W.join_label_cache(rows, _cache(spark, d), "ladder", "v1")
     return hits.select("doc_id", "level")
 
@@ -298,7 +298,7 @@ def _(spark, d):
     keyed_docs=_KEYED,
 )
 def _(spark, d):
-    rows = _docs(spark, d).where("clean_text <> ''").withColumn("clean_text", F.substring("clean_text", 1, 4000))
+    rows = _docs(spark, d).where("clean_text <> ''")
     return W.join_label_cache(rows, _cache(spark, d), "ladder", "v1")[1].select("label_key")
 
 
@@ -320,7 +320,7 @@ def length_labeler(text: str) -> dict:
     "u01_label_batch",
     """select doc_id, case when c then 5 when length(s) < 40 then null else (length(s) // 500)::int end as level,
          case when c then 'ok' when length(s) < 40 then 'failed' when length(s) // 500 > 6 then 'invalid' else 'ok' end as status
-       from (select doc_id, substring(text, 1, 4000) as s,
+       from (select doc_id, text as s,
                label_key in (select label_key from keyed_docs where lang = 'en') as c from keyed_docs)""",
     keyed_docs=_KEYED,
 )
@@ -347,7 +347,7 @@ def _(spark, d):
 
 @case("p18_ablate_features", "select h, primary_posts_6h from features")
 def _(spark, d):
-    feats = WN.features_from_panes(panes_of(spark, d), windows_of(spark).select(F.col("window_start").alias("h")))
+    feats = WN.features_from_panes(panes_of(spark, d), windows_of(spark, d).select(F.col("window_start").alias("h")))
     families = {
         "temporal": ["eco_mean_6h", "primary_mean_24h"],
         "lexical": ["eco_n_6h", "primary_n_24h"],

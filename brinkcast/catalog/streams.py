@@ -121,7 +121,14 @@ def _(spark, d):
     return r9(rows, "v_recent")
 
 
-@case("r05_tick", "select 'raw_items' as name, count(*) as n from events union all select 'items', count(*) from events union all select 'annotations', count(*) from events union all select 'sources', count(distinct event_type) from events union all select 'predictions', 1 union all select 'outcomes', 0")
+@case(
+    "r05_tick",
+    "select 'raw_items' as name, count(*) as n from events union all select 'items', count(*) from events union all select 'annotations', count(*) from events union all select 'sources', count(distinct event_type) from events union all select 'predictions', count(*) from ticks union all select 'outcomes', count(*) from ticks where ended union all select 'posts in outcomes', count(*) from ticks join events on event_type = 'error' and ts >= h and ts < h + interval 2 hours where ended",
+    ticks="""select h, h + interval 2 hours < newest as ended from (
+        select unnest(generate_series(time_bucket(interval 15 minutes, oldest + interval 15 minutes - interval 1 microsecond), newest,
+          interval 15 minutes)) as h, newest
+        from (select min(published_at) as oldest, max(published_at) as newest from raw_items))""",
+)
 def _(spark, d):
     store, progress = _store(spark, "tick")
     for _ in range(2):  # a second cycle over the same input writes nothing
@@ -141,7 +148,8 @@ def _(spark, d):
     for name in ("raw_items", "items", "annotations", "sources", "predictions", "outcomes"):
         one = store.read(name).agg(F.lit(name).alias("name"), F.count("*").alias("n"))
         counts = one if counts is None else counts.unionByName(one)
-    return counts
+    posts = store.read("outcomes").agg(F.lit("posts in outcomes").alias("name"), F.sum("n_posts").alias("n"))
+    return counts.unionByName(posts)
 
 
 @case(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,17 +15,41 @@ WHITESPACE = f"[ {_OTHER}]"
 # the look-ahead passes over printable ASCII quickly.
 UNEVEN = f"(?![!-~])(?:[{_OTHER}]{WHITESPACE}*| {WHITESPACE}+)"
 
-# Entities decoded after tags are gone; the ampersand comes last
-# so that an escaped entity is not decoded twice.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&amp;", "&"),
-)
+# A character reference by number or by name.
+REFERENCE = r"&(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+# What numbers 128 to 159 stand for in pages (windows-1252); the
+# five that it leaves open stay as they are.
+WINDOWS = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+
+
+def _character(code: Column) -> Column:
+    """The character with a code point; what cannot be one becomes U+FFFD."""
+    unfit = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    any_code = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    windows = F.substring(F.lit(WINDOWS), (code - 127).cast("int"), F.lit(1))
+    return F.when(unfit, "\ufffd").when(code.between(128, 159), windows).otherwise(any_code)
+
+
+def decode_references(text: Column) -> Column:
+    """Character references of HTML, by number or by any of its names, become
+    characters; unknown names stay.  Each reference is read once, so ``&amp;lt;``
+    gives ``&lt;``."""
+    named = "\x02".join(f"{name[:-1]}\x01{char}" for name, char in html5.items() if name.endswith(";"))
+    names = F.str_to_map(F.lit(named), F.lit("\x02"), F.lit("\x01"))
+
+    def decoded(ref: Column) -> Column:
+        hexadecimal = F.conv(F.substring(ref, 3, 8), 16, 10).cast("long")
+        code = F.when(ref.rlike("^#[xX]"), hexadecimal).otherwise(F.substring(ref, 2, 9).try_cast("long"))
+        return F.when(ref.startswith("#"), _character(code)).otherwise(
+            F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";")))
+        )
+
+    pieces = F.zip_with(
+        F.split(text, REFERENCE, -1),
+        F.regexp_extract_all(text, F.lit(REFERENCE), 1),
+        lambda before, ref: F.concat(before, F.when(ref.isNull(), "").otherwise(decoded(ref))),
+    )
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def strip_html(html: Column) -> Column:
@@ -36,9 +62,7 @@ def strip_html(html: Column) -> Column:
     ):
         text = F.regexp_replace(text, pattern, "")
     text = F.regexp_replace(text, r"<[^>]*>", "\n")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return decode_references(text)
 
 
 def normalize_text(text: Column, is_html: bool = False) -> Column:

@@ -106,14 +106,32 @@ def window_spine(
     )
 
 
+# Zone names of RFC 822.
+ZONES = {
+    "EST": "-0500",
+    "EDT": "-0400",
+    "CST": "-0600",
+    "CDT": "-0500",
+    "MST": "-0700",
+    "MDT": "-0600",
+    "PST": "-0800",
+    "PDT": "-0700",
+}
+
+
 def parse_feed_time(raw: Column, fallback: Column) -> Column:
     """RFC 822 or ISO text to a UTC timestamp; unreadable gives ``fallback``.
 
     The weekday is dropped first (Spark's parser rejects it), zone names used
-    by feeds become offsets, and a text without a zone counts as UTC.
+    by feeds become offsets, years of two digits lie in 1969 to 2068, and a text
+    without a zone counts as UTC.
     """
     text = F.regexp_replace(F.trim(raw), r"^[A-Za-z]+,\s*", "")
     text = F.regexp_replace(text, r"\s+(GMT|UTC|UT|Z)$", " +0000")
+    for name, offset in ZONES.items():
+        text = F.regexp_replace(text, rf"\s+{name}$", f" {offset}")
+    for years, century in (("[0-5][0-9]|6[0-8]", "20"), ("69|[7-9][0-9]", "19")):
+        text = F.regexp_replace(text, rf"^(\d+ [A-Za-z]{{3}}) ({years})(?= )", f"$1 {century}$2")
     zoned = F.coalesce(
         F.try_to_timestamp(text, F.lit("d MMM yyyy H:mm:ss Z")),
         F.try_to_timestamp(text, F.lit("d MMM yyyy H:mm Z")),

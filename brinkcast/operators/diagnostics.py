@@ -97,7 +97,7 @@ def surprises(aligned: DataFrame, n: int = 20, gap: float = 2.0) -> DataFrame:
 
 
 # Distribution function of a Poisson variable with mean 1.
-POISSON_STEPS = [exp(-1) * sum(1 / factorial(j) for j in range(k + 1)) for k in range(9)]
+POISSON_STEPS = [exp(-1) * sum(1 / factorial(j) for j in range(k + 1)) for k in range(13)]
 
 
 def poisson_weight(key: Column, replicate: Column) -> Column:

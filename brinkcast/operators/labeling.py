@@ -15,7 +15,7 @@ from brinkcast.functions.keys import label_cache_key
 from brinkcast.functions.text import excerpt
 from brinkcast.operators.annotations import valid_label
 from brinkcast.operators.ordered import stored
-from brinkcast.operators.writes import join_label_cache
+from brinkcast.operators.writes import first_per_key, join_label_cache
 
 LABEL_SCHEMA = (
     "label_key string, level int, target_type string, target_name string, "
@@ -23,6 +23,24 @@ LABEL_SCHEMA = (
 )
 
 
+def _typed(label: dict[str, Any]) -> dict[str, Any]:
+    """A label in the types of the schema; anything else is the labeler's error."""
+    kinds = {"level": int, "confidence": float, "target_type": str, "target_name": str, "rationale": str}
+    out = {}
+    for name, kind in kinds.items():
+        value = label.get(name)
+        if isinstance(value, np.generic):
+            value = value.item()
+        if kind is float and isinstance(value, int) and not isinstance(value, bool):
+            value = float(value)
+        if value is not None and (not isinstance(value, kind) or isinstance(value, bool)):
+            raise TypeError(name)
+        if kind is int and value is not None and not -(2**31) <= value < 2**31:
+            raise ValueError(name)
+        out[name] = value
+    return out
+
+
 def _call_labeler(labeler: Callable[[str], dict[str, Any]], text: str):
     """Run the labeler over batches of texts; a failure marks its row only."""
 
@@ -34,7 +52,7 @@ def _call_labeler(labeler: Callable[[str], dict[str, Any]], text: str):
             for key, value in zip(batch["label_key"], batch[text]):
                 row = {"label_key": key}
                 try:
-                    row.update(labeler(value))
+                    row.update(_typed(labeler(value)))
                 except Exception as exc:  # counted, not fatal
                     row["error"] = type(exc).__name__
                 rows.append(row)
@@ -50,16 +68,19 @@ def label_batch(
     model: str,
     version: str,
     text: str = "clean_text",
-    max_chars: int = 4000,
+    max_chars: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Label rows of ``df``: returns labelled rows and new cache entries.
 
-    Texts are cut to what a labeler gets, empty ones dropped.  Known texts come
+    Empty texts are dropped, others cut only where a labeler's limit is given.  Known texts come
     from the cache; each distinct new text is labelled once, in the executors.
     Every row keeps ``status``: ok, invalid (label rejected) or failed.  Only
     valid labels go into the cache.
     """
-    rows = df.withColumn(text, excerpt(F.col(text), max_chars)).where(F.col(text) != "")
+    rows = df.where(F.col(text) != "")
+    if max_chars is not None:
+        rows = rows.withColumn(text, excerpt(F.col(text), max_chars))
+    cache = first_per_key(cache, ["label_key"], ["label_key"])
     _, misses = join_label_cache(rows, cache, model, version, text)
     # Stored: answers and cache entries both read it, the labeler must run once.
     fresh = stored(misses.mapInPandas(_call_labeler(labeler, text), LABEL_SCHEMA))

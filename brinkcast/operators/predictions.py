@@ -17,9 +17,9 @@ from brinkcast.functions.scores import PROB_COLUMNS, features_to_probs
 from brinkcast.functions.times import time_literal
 from brinkcast.operators.ordered import ts_type
 
-# Names under which the simple predictor's forecasts are stored.
-MODEL_VERSION = "baseline-soft-001"
-FEATURE_SET_VERSION = "fs_001"
+# Names under which the simple predictor's forecasts are stored.
+MODEL_VERSION = "trailing-mix-1"
+FEATURE_SET_VERSION = "trailing-5"
 
 
 def prediction_rows(
@@ -64,12 +64,12 @@ def due_windows(
     predictions: DataFrame,
     outcomes: DataFrame,
     now: datetime | str,
-    limit: int | None = 50,
+    limit: int | None = None,
     dedupe: bool = True,
 ) -> DataFrame:
     """Forecast windows that ended before ``now`` and have no outcome, oldest first.
 
-    The limit counts distinct windows; with ``dedupe=False`` it counts forecast
+    All of them, unless a limit is asked for.  It counts distinct windows; with ``dedupe=False`` it counts forecast
     rows, so windows forecast by several models use it up sooner.
     """
     key = ["window_start", "window_end"]

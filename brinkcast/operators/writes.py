@@ -14,12 +14,14 @@ from brinkcast.functions.keys import label_cache_key, stable_id
 
 
 def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key in the given order.
+    """The first row of each key in the given order, ties by a hash of the content.
 
     The row-number filter is applied in each task before the shuffle, so one key
     with very many copies sends at most one row per task.
     """
-    w = W.partitionBy(*keys).orderBy(*order)
+    # copies that agree in all of the order are told apart by their content
+    content = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in batch.columns])
+    w = W.partitionBy(*keys).orderBy(*order, content)
     return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

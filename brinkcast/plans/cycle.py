@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brinkcast.functions.keys import observed_json, stable_id
-from brinkcast.functions.text import excerpt, ladder_level, normalize_text, token_count
-from brinkcast.functions.times import MINUTE, epoch_micros, from_epoch, micros, time_literal
+from brinkcast.functions.text import ladder_level, normalize_text, token_count
+from brinkcast.functions.times import MINUTE, epoch_micros, from_epoch, grid_spine, micros, time_literal
 from brinkcast.operators.annotations import items_with_latest, pending_annotation
-from brinkcast.operators.predictions import due_windows, prediction_rows
+from brinkcast.operators.predictions import MODEL_VERSION, due_windows, prediction_rows
 from brinkcast.operators.windows import features_at, window_outcomes
 from brinkcast.operators.writes import (
     append_annotations,
@@ -53,8 +53,15 @@ def ingest(store: TableStore, payload: DataFrame, now: datetime, kind: str = "rs
     # The id follows from the name, so raw rows need no join to the sources.
     raw = raw_item_rows(payload, stable_id(F.col("source")), time_literal(now, "timestamp"))
     n_raw = store.append("raw_items", new_raw_items(store.read("raw_items"), raw))
+    lo = raw.agg(F.min(micros(F.col("published_at")))).first()[0]
+    # Items are made from the raw rows that were stored, so that both come from the
+    # same copy of a post.
+    ids = raw.select("raw_item_id").distinct()
+    kept = raw.limit(0)
+    if lo is not None:
+        kept = store.since("raw_items", day_of(from_epoch(lo))).join(ids, "raw_item_id", "left_semi")
     clean = normalize_text(F.col("raw_content"), is_html=True)
-    items = raw.select(
+    items = kept.select(
         F.col("raw_item_id").alias("item_id"),
         "raw_item_id",
         F.lit("en").alias("language"),
@@ -84,7 +91,7 @@ def label_pending(
     todo = pending_annotation(items.where(F.col("clean_text") != ""), done, version)
     labels = todo.select(
         "item_id",
-        ladder_level(excerpt(F.col("clean_text")), phrases).alias("level"),
+        ladder_level(F.col("clean_text"), phrases).alias("level"),
         F.lit("none").alias("target_type"),
         F.lit(1.0).alias("confidence"),
     )
@@ -108,18 +115,29 @@ def posts_between(store: TableStore, lo: datetime, hi: datetime) -> DataFrame:
     return items_with_latest(raw, items, store.read("sources"), ann)
 
 
-def predict(store: TableStore, now: datetime) -> int:
-    """Forecast for the window that starts at the grid point at or before ``now``."""
-    us = epoch_micros(now)
-    h = from_epoch(us - us % (15 * MINUTE))
-    spine = store.spark.range(1).select(time_literal(h, "timestamp").alias("h"))
-    posts = posts_between(store, h - timedelta(hours=24), h)
-    rows = prediction_rows(features_at(posts, spine), time_literal(now, "timestamp"))
-    known = store.since("predictions", day_of(h))
+def predict(store: TableStore, now: datetime, since: datetime | None = None) -> int:
+    """Forecasts for the windows that start at grid points up to ``now``.
+
+    Grid points after the newest forecast are made up for, and those from ``since``
+    on that have none; without either only the newest grid point counts.
+    """
+    step = 15 * MINUTE
+    last = epoch_micros(now) // step * step
+    own = store.read("predictions").where(F.col("model_version") == MODEL_VERSION)
+    newest = own.agg(F.max(micros(F.col("window_start")))).first()[0]
+    begins = [last] if newest is None else [newest + step]
+    if since is not None:
+        begins.append(-(-epoch_micros(since) // step) * step)
+    first = min(last, *begins)
+    spine = grid_spine(store.spark, from_epoch(first), from_epoch(last), 15, "h", "timestamp")
+    known = store.since("predictions", day_of(from_epoch(first))).where(F.col("model_version") == MODEL_VERSION)
+    missing = spine.join(known.select(F.col("window_start").alias("h")), "h", "left_anti")
+    posts = posts_between(store, from_epoch(first) - timedelta(hours=24), from_epoch(last))
+    rows = prediction_rows(features_at(posts, missing), time_literal(now, "timestamp"))
     return store.append("predictions", new_predictions(known, rows))
 
 
-def close_windows(store: TableStore, now: datetime, limit: int | None = 50) -> int:
+def close_windows(store: TableStore, now: datetime, limit: int | None = None) -> int:
     """Outcomes of forecast windows that have ended."""
     due = due_windows(store.read("predictions"), store.read("outcomes"), now, limit)
     span = due.agg(
@@ -148,10 +166,13 @@ def run_tick(
     phrases: dict[int, list[str]] | None = None,
     version: str = "ladder-1",
     primary: tuple[str, ...] = (),
-    limit: int | None = 50,
+    limit: int | None = None,
 ) -> dict[str, int]:
     """Ingest, label, forecast, close windows; returns what was written.
 
+    Forecasts cover every grid time since the oldest post of the batch, outcomes
+    every window that has ended, unless a limit is given.
+
     Running the same cycle again writes nothing.
     """
     now = utc(now)
@@ -161,6 +182,7 @@ def run_tick(
         out["annotations"] = label_pending(store, version, now, phrases, among=ids)
     else:
         out["annotations"] = 0
-    out["predictions"] = predict(store, now)
+    oldest = payload.agg(F.min(micros(F.col("published_at")))).first()[0]
+    out["predictions"] = predict(store, now, None if oldest is None else from_epoch(oldest))
     out["outcomes"] = close_windows(store, now, limit)
     return out

@@ -14,6 +14,11 @@ ITEM_SCHEMA = (
     "creator string, description string, summary string, encoded string, content string"
 )
 
+ENTRY_SCHEMA = (
+    "id string, link array<struct<_href: string, _rel: string>>, published string, updated string, "
+    "author struct<name: string>, content struct<_VALUE: string, _type: string>, summary struct<_VALUE: string, _type: string>"
+)
+
 
 def _filled(*parts: Column) -> Column:
     """First part that is neither NULL nor empty."""
@@ -67,10 +72,23 @@ def read_feed_items(
     captured_at: datetime | str,
     since: datetime | str | None = None,
 ) -> DataFrame:
-    """Payload rows of the RSS files under ``path``, one per ``<item>``."""
-    raw = (
-        spark.read.format("xml").option("rowTag", "item").option("ignoreNamespace", "true")
-        .schema(ITEM_SCHEMA).load(path)
+    """Payload rows of the feeds under ``path``: one per ``<item>`` of RSS, one per
+    ``<entry>`` of Atom."""
+
+    def tagged(tag: str, schema: str) -> DataFrame:
+        reader = spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", "true")
+        return reader.schema(schema).load(path)
+
+    raw, atom = tagged("item", ITEM_SCHEMA), tagged("entry", ENTRY_SCHEMA)
+    # the link that names no relation, or the entry itself as such; else the first
+    own = F.filter("link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    atom = atom.select(
+        _filled(F.col("id")).alias("entry_id"),
+        F.coalesce(F.get(own, F.lit(0)), F.get("link", F.lit(0)))["_href"].alias("link"),
+        F.coalesce("published", "updated").alias("published_raw"),
+        F.col("author.name").alias("author"),
+        F.col("content._VALUE").alias("content"),
+        F.col("summary._VALUE").alias("summary"),
     )
     entries = raw.select(
         _filled(F.col("guid"), F.col("id")).alias("entry_id"),
@@ -80,7 +98,7 @@ def read_feed_items(
         F.coalesce("encoded", "content").alias("content"),
         F.coalesce("description", "summary").alias("summary"),
     )
-    rows = payload_rows(entries, F.lit(source), time_literal(captured_at, "timestamp"))
+    rows = payload_rows(entries.unionByName(atom), F.lit(source), time_literal(captured_at, "timestamp"))
     return since_filter(rows, since)
 
 

@@ -35,6 +35,9 @@ class TableStore:
     """Named tables in a shared folder; a missing one reads as empty."""
 
     def __init__(self, spark: SparkSession, root: str):
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+            raise ValueError(f"the session's time zone is {zone}: call pin_utc(spark) first, all times are UTC")
         self.spark = spark
         self.root = root.rstrip("/")
 
@@ -64,10 +67,10 @@ class TableStore:
             for f in fields
         ]
         seen = Observation()
-        out = rows.select(*cells).observe(seen, F.count(F.lit(1)).alias("n"))
-        if name in PARTITION_TIME:
-            out = out.withColumn("day", F.to_date(PARTITION_TIME[name]))
-            out.write.mode("append").partitionBy("day").parquet(self.path(name))
-        else:
-            out.write.mode("append").parquet(self.path(name))
+        out, daily = rows.select(*cells), name in PARTITION_TIME
+        if daily:
+            # a day's rows meet in few tasks, and so in few files; a large day is split
+            out = out.withColumn("day", F.to_date(PARTITION_TIME[name])).hint("rebalance", "day")
+        writer = out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
+        (writer.partitionBy("day") if daily else writer).parquet(self.path(name))
         return int(seen.get["n"])

@@ -21,9 +21,8 @@ from brinkcast.functions.times import (
     from_epoch,
     grid_spine,
     micros,
-    window_spine,
 )
-from brinkcast.operators.predictions import prediction_rows
+from brinkcast.operators.predictions import MODEL_VERSION, prediction_rows
 from brinkcast.operators.windows import (
     features_from_panes,
     outcomes_from_panes,
@@ -52,16 +51,20 @@ def _bounds(df: DataFrame, column) -> tuple[int | None, int | None]:
     return row["lo"], row["hi"]
 
 
-def closed_range(store: TableStore, table: str, step: int, lag: int) -> tuple[int, int] | None:
-    """First and last grid start still to be written to ``table``, from two small
-    aggregates: what is stored, and up to where panes have closed."""
+def closed_starts(store: TableStore, stored: DataFrame, step: int, lag: int) -> tuple[int, DataFrame] | None:
+    """Grid starts with closed panes that ``stored`` lacks, with the first of them.
+
+    The grid is bounded by the calendar.  What is missing is found by an anti-join,
+    so a gap that fills late is closed too.
+    """
     first, last = _bounds(store.read("panes"), F.col("pane"))
-    if last is None:
+    if last is None or first > last - lag:
         return None
-    done = _bounds(store.read(table), micros(F.col("window_start")))[1]
-    lo = first if done is None else done + step
-    hi = last - lag
-    return (lo, hi) if lo <= hi else None
+    minutes = step // MINUTE
+    spine = grid_spine(store.spark, from_epoch(first), from_epoch(last - lag), minutes, "h", "timestamp")
+    missing = spine.join(stored.select(F.col("window_start").alias("h")), "h", "left_anti")
+    lo = _bounds(missing, micros(F.col("h")))[0]
+    return None if lo is None else (lo, missing)
 
 
 def _recent_panes(store: TableStore, lo: int) -> DataFrame:
@@ -74,21 +77,22 @@ def write_features(store: TableStore, minutes: int = 15) -> int:
     A time is complete when the pane that starts there has closed: a post exactly
     on the grid time belongs to its lookback.
     """
-    todo = closed_range(store, "predictions", minutes * MINUTE, 0)
+    own = store.read("predictions").where(F.col("model_version") == MODEL_VERSION)
+    todo = closed_starts(store, own, minutes * MINUTE, 0)
     if todo is None:
         return 0
-    spine = grid_spine(store.spark, from_epoch(todo[0]), from_epoch(todo[1]), minutes, "h", "timestamp")
-    rows = prediction_rows(features_from_panes(_recent_panes(store, todo[0]), spine, minutes))
+    rows = prediction_rows(features_from_panes(_recent_panes(store, todo[0]), todo[1], minutes))
     return store.append("predictions", new_predictions(store.read("predictions"), rows))
 
 
 def write_outcomes(store: TableStore, hours: int = 2, minutes: int = 15) -> int:
     """Outcomes of every grid window that has closed, empty ones included."""
     step = minutes * MINUTE
-    todo = closed_range(store, "outcomes", step, hours * HOUR - step)
+    todo = closed_starts(store, store.read("outcomes"), step, hours * HOUR - step)
     if todo is None:
         return 0
-    windows = window_spine(store.spark, from_epoch(todo[0]), from_epoch(todo[1]), hours, minutes, "timestamp")
+    end = F.col("h") + F.make_dt_interval(hours=F.lit(hours))
+    windows = todo[1].select(F.col("h").alias("window_start"), end.alias("window_end"))
     rows = outcomes_from_panes(_recent_panes(store, todo[0]), windows, minutes=minutes)
     rows = rows.select(
         "window_start", "window_end", "v_max", "n_posts", "had_jump",

@@ -112,14 +112,14 @@ def test_tick_is_idempotent(spark, tmp_path):
     )
     now = T0 + timedelta(minutes=50)
     out = run_tick(store, batch, now, PHRASES, primary=("own",))
-    assert out == {"new_raw": 4, "new_items": 4, "annotations": 3, "predictions": 1, "outcomes": 0}
+    assert out == {"new_raw": 4, "new_items": 4, "annotations": 3, "predictions": 3, "outcomes": 0}
     again = run_tick(store, batch, now, PHRASES, primary=("own",))
     assert set(again.values()) == {0}
-    pred = store.read("predictions").first()
+    pred = store.read("predictions").orderBy("window_start").collect()[-1]
     assert '"primary_posts_6h":2' in pred["payload"] and pred["c4_prob"] > 0.02
     later = run_tick(store, batch.limit(0), T0 + timedelta(hours=3), PHRASES, primary=("own",))
-    assert later["outcomes"] == 1 and later["predictions"] == 1
-    done = store.read("outcomes").first()
+    assert later["outcomes"] == 3 and later["predictions"] == 9
+    done = store.read("outcomes").orderBy("window_start").collect()[-1]
     assert (done["v_max"], done["n_posts"], done["had_jump"]) == (-1, 0, False)
 
 

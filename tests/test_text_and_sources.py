@@ -165,3 +165,38 @@ def test_grid_floor_keeps_type(spark):
     out = df.select(start.alias("s"), end.alias("e"))
     assert out.schema["s"].dataType.simpleString() == "timestamp_ntz"
     assert tuple(out.first()) == (datetime(2026, 1, 1, 10, 30), datetime(2026, 1, 1, 12, 30))
+
+
+def test_references_are_decoded_like_the_standard_library(spark):
+    import html
+
+    texts = ["&copy; &#8217; &eacute;&#x1F600; &amp;lt; &nope; & &#0; &#xD800; &#150; &#1114112; a&b; &NotEqualTilde;", "&", "", "&amp;" * 50]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(TX.decode_references(F.col("t"))).collect()]
+    assert got == [html.unescape(t) for t in texts]
+
+
+def test_feed_times_with_zone_names_and_short_years(spark):
+    from brinkcast.functions.times import parse_feed_time, time_literal
+
+    raws = ["Tue, 03 Feb 2026 10:00:00 EST", "03 Feb 26 10:00 PDT", "3 Feb 70 10:00:00 GMT", "x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(raws)], "i int, t string")
+    at = parse_feed_time(F.col("t"), time_literal("2024-03-01", "timestamp")).cast("string")
+    got = [r[0] for r in df.orderBy("i").select(at).collect()]
+    assert got == ["2026-02-03 15:00:00", "2026-02-03 17:00:00", "1970-02-03 10:00:00", "2024-03-01 00:00:00"]
+
+
+def test_atom_entries(spark, tmp_path):
+    from brinkcast.sources.feeds import read_feed_items
+
+    (tmp_path / "a.xml").write_text(
+        """<feed xmlns="http://www.w3.org/2005/Atom"><title>f</title>
+        <entry><id>u1</id><link rel="self" href="http://s"/><link href="http://l"/><updated>2026-02-03T10:00:00Z</updated>
+        <author><name>Ann</name></author><content type="html">body</content></entry>
+        <entry><link href="http://only"/><published>2026-02-03T11:00:00+01:00</published><summary>short</summary></entry></feed>"""
+    )
+    rows = read_feed_items(spark, str(tmp_path), "f", "2024-03-01").orderBy("external_id").collect()
+    assert [(r.external_id, r.author, r.raw_content, str(r.raw_metadata["link"])) for r in rows] == [
+        ("http://only", None, "short", "http://only"),
+        ("u1", "Ann", "body", "http://l"),
+    ]
