@@ -37,7 +37,7 @@ from brinkcast.llm.arrow import runs_of
 from brinkcast.llm.storage import stored
 
 #: Entries of a page, of a block, queries that a task runs on a block.
-PAGE, BLOCK, ASKED = 64, 4096, 1024
+PAGE, BLOCK, ASKED = 256, 4096, 1024
 MARGIN = 1e-6
 
 
