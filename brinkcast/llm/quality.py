@@ -118,16 +118,14 @@ def judged(rows: DataFrame, tops: DataFrame, enough: int = 100) -> DataFrame:
         *[F.max(F.when(F.col("share") == s, F.col("top"))).alias(f"_{s}") for s in SHARES], F.max("n").alias("_n")
     )
     picked = rows.select(*names)
-    for level, keys in ((0, ("lang", "source")), (1, ("lang",)), (2, ())):
-        part = wide.where((F.col("level") == level) & ((F.col("_n") >= enough) | F.lit(level == 2)))
+    for level, keys in ((0, ("lang", "source")), (1, ("lang",))):
+        part = wide.where((F.col("level") == level) & (F.col("_n") >= enough))
         part = part.select(*[F.col(k).alias(f"_k{k}") for k in keys], *[F.col(f"_{s}").alias(f"_{s}{level}") for s in SHARES])
-        if keys:
-            match = [F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in keys]
-            picked = picked.join(part, match, "left").drop(*[f"_k{k}" for k in keys])
-        else:
-            picked = picked.join(part, F.lit(True), "left")  # one row at most
+        match = [F.col(k).eqNullSafe(F.col(f"_k{k}")) for k in keys]
+        picked = picked.join(part, match, "left").drop(*[f"_k{k}" for k in keys])
+    whole = wide.where("level = 2").first()  # the limits of all texts: one row, or none
     within = [
-        F.expr(f"{sql} <= coalesce(_{s}0, _{s}1, _{s}2, {1 << 60})") for s, (sql, _) in SHARES.items()
+        F.expr(f"{sql} <= coalesce(_{s}0, _{s}1, {whole[f'_{s}'] if whole else 0})") for s, (sql, _) in SHARES.items()
     ]
     ok = ~F.col("base_failed")
     for w in within:
