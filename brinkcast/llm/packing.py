@@ -13,6 +13,9 @@ occur.  Every piece row keeps its ids; ``pack`` takes any table with a length.
 
 from __future__ import annotations
 
+import os
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,44 +25,90 @@ from pyspark.sql import types as T
 from brinkcast.llm.arrow import with_columns_schema
 from brinkcast.llm.storage import stored
 
-#: Word pieces a task remembers before it starts afresh.
-KEPT_PIECES = 300_000
+#: Word pieces a worker remembers, texts it looks up at a time.
+KEPT_PIECES, TEXTS = 600_000, 500
 #: Pieces that one task packs.
 GROUP = 50_000
 
 
+#: Word pieces of a text of ``PLAIN`` characters, as the tokenizer's own pattern cuts it.
+PLAIN = r"[\n\t\r\x20-\x7eÀ-ÖØ-öø-ſ]*"
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ſ]+|\s+(?!\S)|\s+"
+#: Characters of a long text that are cut into pieces at a time.
+SLICE = 1_000_000
+
+
 class PieceIds(dict):
     """Byte-level BPE by word piece: ids (little-endian, 32 bits) of each piece.
 
     A merge never crosses the border of two pieces, so a text's ids are those of
-    its pieces.  Texts with other characters than Latin ones, or with the name of
-    a special token, go through the tokenizer as a whole.
+    its pieces; frequent ones are remembered.  Texts with other characters than
+    ``PLAIN``, or with the name of a special token, go through the tokenizer whole.
     """
 
     def __init__(self, tokenizer: str):
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(tokenizer)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.plain = regex.compile(r"[\n\t\r\x20-\x7eÀ-ÖØ-öø-ſ]*").fullmatch
-        self.special = tuple(self.whole.get_added_tokens_decoder().values())
-        self.special = tuple(t.content for t in self.special)
+        self.split = re.compile(PIECES).findall
+        self.plain = re.compile(PLAIN).fullmatch
+        self.special = tuple(t.content for t in self.whole.get_added_tokens_decoder().values())
+        self.rare: dict[str, bytes] = {}  # pieces of the texts at hand that are not kept
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.rare[piece]
 
     def encoded(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
-            self.clear()
-        ids = self[piece] = self.encoded(piece)
-        return ids
+    def _slices(self, text: str):
+        """Parts of a long text; a piece never spans the end of a word and a blank."""
+        at = 0
+        while len(text) - at > SLICE:
+            cut = text.find(" ", at + SLICE)
+            while cut > 0 and text[cut - 1].isspace():
+                cut = text.find(" ", cut + 1)
+            if cut < 0:
+                break
+            yield text[at:cut]
+            at = cut
+        yield text[at:]
+
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        cut = [self.split(t) for t in texts]
+        new = list({p for pieces in cut for p in pieces if p not in self})
+        ids = [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(new, add_special_tokens=False)]
+        if len(self) < KEPT_PIECES:
+            self.update(zip(new, ids))
+        else:
+            self.rare = dict(zip(new, ids))
+        return [b"".join(map(self.__getitem__, pieces)) for pieces in cut]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        out: list[bytes | None] = [None] * len(texts)
+        short = []
+        for i, text in enumerate(texts):
+            if not self.plain(text) or any(s in text for s in self.special):
+                out[i] = self.encoded(text)
+            elif len(text) > SLICE:
+                out[i] = b"".join(self._joined([part])[0] for part in self._slices(text))
+            else:
+                short.append(i)
+        for i, ids in zip(short, self._joined([texts[i] for i in short])):
+            out[i] = ids
+        return out
+
+
+_KNOWN: dict[str, PieceIds] = {}
+
 
-    def of(self, text: str) -> bytes:
-        if not self.plain(text) or any(s in text for s in self.special):
-            return self.encoded(text)
-        return b"".join(map(self.__getitem__, self.split(text)))
+def piece_ids(tokenizer: str) -> PieceIds:
+    """The ids of a tokenizer file, kept while a worker process lives."""
+    if tokenizer not in _KNOWN:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        _KNOWN[tokenizer] = PieceIds(tokenizer)
+    return _KNOWN[tokenizer]
 
 
 def token_pieces(
@@ -70,12 +119,13 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        encode = PieceIds(tokenizer)
+        encode = piece_ids(tokenizer)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
+            for lo in range(0, batch.num_rows, TEXTS):
+                docs_, texts = (c.to_pylist() for c in batch.slice(lo, TEXTS).columns)
                 out = []
-                for doc, body in zip(*[c.to_pylist() for c in batch.slice(lo, 500).columns]):
-                    ids = encode.of(body or "") + end
+                for doc, ids in zip(docs_, encode.of([t or "" for t in texts])):
+                    ids += end
                     n = len(ids) // 4
                     first = n % length or length if n > length else n
                     edges = [0, *range(first, n + 1, length)]

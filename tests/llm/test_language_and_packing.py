@@ -56,10 +56,18 @@ def test_long_text_in_pieces_bundles_like_a_whole():
     assert (whole == pieces).all()
 
 
-@pytest.mark.parametrize("text", ["a b", "it's 12  x\n\n\ny ", "naïve – «тест» 中文", "<|endoftext|> z", "a\x1cb\x85c", "ſt K", ""])
+@pytest.mark.parametrize("text", ["a b", "ŉ ª º µ × ÷ Ÿÿ", "I'll've can't'S  \r\n\t x\x7f", "it's 12  x\n\n\ny ", "naïve – «тест» 中文", "<|endoftext|> z", "a\x1cb\x85c", "ſt K", ""])
 def test_piecewise_ids_are_the_tokenizers(text):
     ids = PieceIds(tokenizer_file())
-    assert np.frombuffer(ids.of(text), "<u4").tolist() == ids.whole.encode(text, add_special_tokens=False).ids
+    assert ids.of([text, text])[1] == ids.encoded(text)
+
+
+def test_long_texts_are_cut_where_no_piece_spans(monkeypatch):
+    monkeypatch.setattr("brinkcast.llm.packing.SLICE", 7)
+    monkeypatch.setattr("brinkcast.llm.packing.KEPT_PIECES", 3)
+    ids = PieceIds(tokenizer_file())
+    for text in ["it's  a   long\n\n text, isn't  it? " * 5, " " * 40, "x" * 40, "a b " * 30 + " ", "ab \t cd   ef  "]:
+        assert ids.of([text])[0] == ids.encoded(text)
 
 
 def test_pieces_cover_documents_and_sequences_have_no_gaps(spark, documents, corpus):
