@@ -32,15 +32,23 @@ def cells_of(h: np.ndarray, bits: int, row: int) -> np.ndarray:
 
 
 def _packed(cells: np.ndarray) -> bytes:
-    """Sorted cells as differences, in two bytes each where they fit."""
-    gaps = np.diff(cells, prepend=np.uint64(0))
-    if int(gaps.max()) < 65536:
-        return b"2" + gaps.astype("<u2").tobytes()
-    return b"4" + gaps.astype("<u4").tobytes()
+    """Sorted cells as differences: the low byte of each, then four bits each for
+    what is above it (15: the difference follows whole, in four bytes)."""
+    gaps = np.diff(cells, prepend=np.uint64(0)).astype(np.uint32)
+    high = np.minimum(gaps >> 8, 15).astype(np.uint8)
+    wide = gaps[high == 15].astype("<u4")
+    high = np.append(high, np.zeros(len(high) % 2, np.uint8))
+    return len(gaps).to_bytes(4, "little") + gaps.astype(np.uint8).tobytes() + (high[::2] << 4 | high[1::2]).tobytes() + wide.tobytes()
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(blob, "<u2" if blob[:1] == b"2" else "<u4", offset=1), dtype=np.int64)
+    n = int.from_bytes(blob[:4], "little")
+    half = (n + 1) // 2
+    both = np.frombuffer(blob, np.uint8, half, 4 + n)
+    high = np.column_stack([both >> 4, both & 15]).ravel()[:n].astype(np.int64)
+    gaps = np.frombuffer(blob, np.uint8, n, 4) + (high << 8)
+    gaps[high == 15] = np.frombuffer(blob, "<u4", offset=4 + n + half)
+    return np.cumsum(gaps)
 
 
 def merged_sketch(

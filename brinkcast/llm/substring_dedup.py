@@ -41,7 +41,7 @@ WINDOWS = "part int, ids binary, h1 binary, h2 binary, doc binary, start binary"
 FOUND = "grp long, docs binary, starts binary"
 
 
-def _sections(batches):
+def _sections(batches, words_at_once: int = WORDS):
     """(ids, word hashes, words of each document) of consecutive rows; a longer
     text is a section of its own."""
     hashes = WordHashes()
@@ -49,7 +49,7 @@ def _sections(batches):
         ids, held, n = [], [], 0
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             w = hashes.of((text or b"").split())
-            if held and n + len(w) > WORDS:
+            if held and n + len(w) > words_at_once:
                 yield np.array(ids, np.int64), np.concatenate(held), np.array([len(x) for x in held])
                 ids, held, n = [], [], 0
             ids.append(doc)
@@ -84,6 +84,23 @@ def _widened(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, "<u4" if blob[:1] == b"4" else "<u2", offset=1).astype(np.int64)
 
 
+def _rising(a: np.ndarray) -> bytes:
+    """Sorted hashes as differences, in six bytes each where they fit."""
+    gaps = np.diff(a, prepend=np.uint64(0))
+    gaps[:1] = 0
+    head = int(a[0]).to_bytes(8, "little")
+    if int(gaps.max()) >> 48:
+        return b"8" + head + gaps.astype("<u8").tobytes()
+    return b"6" + head + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _risen(blob: bytes) -> np.ndarray:
+    width = int(blob[:1])
+    gaps = np.zeros(((len(blob) - 9) // width, 8), np.uint8)
+    gaps[:, :width] = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, width)
+    return np.cumsum(gaps.view("<u8")[:, 0], dtype=np.uint64) + np.uint64(int.from_bytes(blob[1:9], "little"))
+
+
 def _found(docs: np.ndarray, starts: np.ndarray, groups: int) -> pa.RecordBatch:
     """Windows to remove, one row for each range of documents."""
     grp = docs % groups
@@ -94,7 +111,8 @@ def _found(docs: np.ndarray, starts: np.ndarray, groups: int) -> pa.RecordBatch:
         [
             pa.array(grp[at[:-1]], pa.int64()),
             pa.array([np.diff(docs[a:b], prepend=0).astype("<i8").tobytes() for a, b in zip(at, at[1:])], pa.binary()),
-            pa.array([_narrow(starts[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
+            # differences of neighbouring windows are mostly 1, which compresses well
+            pa.array([np.diff(starts[a:b], prepend=0).astype("<i4").tobytes() for a, b in zip(at, at[1:])], pa.binary()),
         ],
         ["grp", "docs", "starts"],
     )
@@ -119,7 +137,7 @@ def _flagged(rows: DataFrame, sketch, k: int, parts: int, groups: int) -> DataFr
             later = (ids[doc] != ids[doc[opener]]) | (start != start[opener])
             if later.any():
                 batch = _found(ids[doc[later]], start[later], groups)
-                yield _widen(batch, None)
+                yield _widen(batch, None, parts)
             h1, h2, doc, start = h1[new], h2[new], doc[new], start[new]
             part = ((h1 >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             at = np.append(np.flatnonzero(_openings(part)), len(part))
@@ -129,21 +147,22 @@ def _flagged(rows: DataFrame, sketch, k: int, parts: int, groups: int) -> DataFr
                 [
                     pa.array(part[at[:-1]], pa.int32()),
                     pa.array([table] * len(pieces), pa.binary()),
-                    pa.array([h1[a:b].astype("<u8").tobytes() for a, b in pieces], pa.binary()),
+                    pa.array([_rising(h1[a:b]) for a, b in pieces], pa.binary()),
                     pa.array([h2[a:b].tobytes() for a, b in pieces], pa.binary()),
                     pa.array([_narrow(doc[a:b]) for a, b in pieces], pa.binary()),
                     pa.array([_narrow(start[a:b]) for a, b in pieces], pa.binary()),
                 ],
                 ["part", "ids", "h1", "h2", "doc", "start"],
             )
-            yield _widen(None, batch)
+            yield _widen(None, batch, parts)
 
     return rows.mapInArrow(scan, f"{WINDOWS}, {FOUND}")
 
 
-def _widen(found: pa.RecordBatch | None, windows: pa.RecordBatch | None) -> pa.RecordBatch:
+def _widen(found: pa.RecordBatch | None, windows: pa.RecordBatch | None, parts: int) -> pa.RecordBatch:
+    """Rows of either kind; what is found goes through the grouping as it is."""
     n = (found or windows).num_rows
-    left = windows.columns if windows else [pa.nulls(n, pa.int32())] + [pa.nulls(n, pa.binary())] * 5
+    left = windows.columns if windows else [pa.array(np.arange(n) % parts, pa.int32())] + [pa.nulls(n, pa.binary())] * 5
     right = found.columns if found else [pa.nulls(n, pa.int64())] + [pa.nulls(n, pa.binary())] * 2
     return pa.RecordBatch.from_arrays(
         [*left, *right], ["part", "ids", "h1", "h2", "doc", "start", "grp", "docs", "starts"]
@@ -154,7 +173,16 @@ def _grouped(windows: DataFrame, parts: int, groups: int) -> DataFrame:
     """Exact grouping of the windows of each range of hashes."""
 
     def settle(rows):
-        h1 = np.concatenate([np.frombuffer(r[2], "<u8") for r in rows])
+        passed = [r for r in rows if r[1] is None]
+        if passed:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(list(zip(*passed))[6:], (pa.int64(), pa.binary(), pa.binary()))],
+                ["grp", "docs", "starts"],
+            )
+        rows = [r for r in rows if r[1] is not None]
+        if not rows:
+            return
+        h1 = np.concatenate([_risen(r[2]) for r in rows])
         h2 = np.concatenate([np.frombuffer(r[3], "<u4") for r in rows])
         doc = np.concatenate([np.cumsum(np.frombuffer(r[1], "<i8"))[_widened(r[4])] for r in rows])
         start = np.concatenate([_widened(r[5]) for r in rows])
@@ -178,8 +206,7 @@ def _grouped(windows: DataFrame, parts: int, groups: int) -> DataFrame:
             yield from settle(held)
 
     return (
-        windows.select("part", "ids", "h1", "h2", "doc", "start")
-        .where("part is not null")
+        windows.select("part", "ids", "h1", "h2", "doc", "start", "grp", "docs", "starts")
         .repartition(parts, "part")
         .sortWithinPartitions("part")
         .mapInArrow(merge, FOUND)
@@ -187,8 +214,9 @@ def _grouped(windows: DataFrame, parts: int, groups: int) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 20, most_bits: int = 28, depth: int = 2
-) -> DataFrame:
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 20, most_bits: int = 28, depth: int = 2,
+    most_touched: int = 500_000,
+) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row; ``kept`` holds the words
     that stay, joined by one space."""
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc_id"), F.col(text).cast("binary").alias("text"))
@@ -196,14 +224,13 @@ def remove_repeats(
     parts, groups = max(1, size // PART_BYTES), max(1, size // GROUP_BYTES)
 
     def windows(batches):
-        for _, words, sizes in _sections(batches):
+        for _, words, sizes in _sections(batches, 2 * WORDS):
             place, _, _ = _places(sizes, k)
             if len(place):
                 yield run_hashes(words, k)[place]
 
     sketch = merged_sketch(rows, windows, sketch_bits(size / 6, 4, most_bits), depth)
-    flagged = stored(_flagged(rows, sketch, k, parts, groups), "windows")
-    found = flagged.where("grp is not null").select("grp", "docs", "starts").union(_grouped(flagged, parts, groups))
+    found = stored(_grouped(_flagged(rows, sketch, k, parts, groups), parts, groups), "found")
 
     def cut(batches):
         grp, marks, doc_of, start_of = None, [], None, None
@@ -213,7 +240,7 @@ def remove_repeats(
                 if g != grp:
                     grp, marks, doc_of = g, [], None
                 if docs_ is not None:
-                    marks.append((np.cumsum(np.frombuffer(docs_, "<i8")), _widened(starts)))
+                    marks.append((np.cumsum(np.frombuffer(docs_, "<i8")), np.cumsum(np.frombuffer(starts, "<i4"), dtype=np.int64)))
                     continue
                 if doc_of is None:  # marks of a range come before its texts
                     doc_of = np.concatenate([m[0] for m in marks] or [np.empty(0, np.int64)])
@@ -250,9 +277,40 @@ def remove_repeats(
         "text",
     )
     marks = found.select("grp", "docs", "starts", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("text"))
-    return (
+    def plain(batches):
+        for batch in batches:
+            ids, texts_ = (c.to_pylist() for c in batch.columns)
+            words = [(t or b"").split() for t in texts_]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([None if i == LAST else i for i in ids], pa.int64()),
+                    pa.array([len(w) for w in words], pa.int64()),
+                    pa.array([0] * len(words), pa.int64()),
+                    pa.array([b" ".join(w) for w in words], pa.binary()).cast(pa.string()),
+                ],
+                ["doc_id", "n_words", "n_removed", "kept"],
+            )
+
+    # texts that lose nothing stay where they are, if a list of the others is short
+    touched = stored(found.mapInArrow(_documents, "doc_id long").distinct(), "touched")
+    if touched.limit(most_touched + 1).count() <= most_touched:
+        untouched = rows.join(F.broadcast(touched), "doc_id", "left_anti").mapInArrow(plain, "doc_id long, n_words long, n_removed long, kept string")
+        texts = texts.join(F.broadcast(touched), "doc_id", "left_semi").select(*texts.columns)
+    else:
+        untouched = None
+    done = (
         marks.union(texts)
         .repartition(max(1, groups // 2), "grp")
         .sortWithinPartitions("grp", F.col("docs").isNull())
         .mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
     )
+    return done if untouched is None else done.union(untouched)
+
+
+def _documents(batches):
+    """Documents that lose a word, each once in a task."""
+    seen = np.empty(0, np.int64)
+    for batch in batches:
+        docs = [np.unique(np.cumsum(np.frombuffer(d, "<i8"))) for d in batch.column(1).to_pylist()]
+        seen = np.unique(np.concatenate([seen, *docs]))
+    yield pa.RecordBatch.from_arrays([pa.array(seen)], ["doc_id"])
