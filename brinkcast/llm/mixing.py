@@ -7,7 +7,10 @@ to its target in the sense of least squares, with a small pull of all rates
 towards 1.  The rates are found by accelerated projected gradient steps: a step
 needs only the domains' totals at the present rates, one small sum over all
 documents, and a document's rate follows from its posterior and the totals of all
-steps so far.
+steps so far.  With ``whole`` set a document led by the first domain that
+``targets`` names, with at most a quarter in domains of target 0, has a rate of at
+least 1, and one led by a domain of target 0 has rate 0; the others' rates make up
+for both.
 
 The classifier is a multinomial logistic regression on hashed words and on shares
 of symbols, capitals, digits, distinct words and repeated lines.  It is fitted on
@@ -115,14 +118,28 @@ class Rates:
     pull: float
     totals: tuple[float, ...]
     targets: tuple[float, ...]
+    whole: int | None = None  # domain whose documents keep a rate of 1 at least
+
+    def _bounds(self, posterior: np.ndarray):
+        """Least and largest rate of documents."""
+        if self.whole is None:
+            return 0.0, np.inf
+        led = posterior.argmax(axis=1)
+        # of equal shares the first domain's leads
+        led[posterior[:, self.whole] >= posterior.max(axis=1)] = self.whole
+        unwanted = np.array([t == 0 for t in self.targets]) & (np.arange(len(self.targets)) != self.whole)
+        sure = (led == self.whole) & (posterior[:, unwanted].sum(axis=1) <= 0.25)
+        return np.where(sure, 1.0, 0.0), np.where(unwanted[led], 0.0, np.inf)
 
     def _walk(self, posterior: np.ndarray):
         """(rate, point of the next gradient, slope along the last move) of documents."""
         rate = ahead = np.ones(len(posterior))
         along = np.zeros(len(posterior))
+        least, largest = self._bounds(posterior)
+        rate = ahead = np.clip(rate, least, largest)
         for error, momentum in zip(self.errors, self.momenta):
             slope = posterior @ np.array(error) + self.pull * (ahead - 1)
-            new = np.maximum(0, ahead - self.step * slope)
+            new = np.clip(ahead - self.step * slope, least, largest)
             along = slope * (new - rate)
             rate, ahead = new, new + momentum * (new - rate)
         return rate, ahead, along
@@ -158,8 +175,9 @@ def _totals(rows: DataFrame, k: int, value) -> np.ndarray:
 
 
 def fit_rates(
-    rows: DataFrame, targets: dict[str, float], domains=DOMAINS, pull: float = 1e-3, steps: int = 60, enough: float = 1e-5
-) -> Rates:
+    rows: DataFrame, targets: dict[str, float], domains=DOMAINS, pull: float = 1e-3, steps: int = 60, enough: float = 1e-5,
+    whole: bool = False,
+) -> Rates:
     """Rates for a stored table with ``tokens`` and ``posterior``.
 
     The mixture is scaled so that the first domain of ``targets`` keeps its tokens.
@@ -176,7 +194,7 @@ def fit_rates(
     first = domains.index(next(iter(targets)))
     want = weights / weights[first] * have[first]
     step = float(1 / (np.linalg.eigvalsh(spread)[-1] + pull))
-    fit = Rates((), (), step, pull, tuple(have * total), tuple(want * total))
+    fit = Rates((), (), step, pull, tuple(have * total), tuple(want * total), first if whole else None)
     before, t = None, 1.0
     for _ in range(steps):
         *now, along = _totals(rows, k, lambda p, n, f=fit: f.sums(p, n)) / total
@@ -210,3 +228,11 @@ def copies(rate: str = "rate", doc_id: str = "doc_id"):
     whole, rest = F.floor(rate), F.col(rate) - F.floor(rate)
     chance = F.pmod(F.xxhash64(F.lit("mix"), F.col(doc_id)), F.lit(1 << 20)) / float(1 << 20)
     return (whole + F.when(rest <= 0.25, 0).when(rest >= 0.75, 1).otherwise((chance < (rest - 0.25) * 2).cast("int"))).cast("int")
+
+
+def drawn_copies(rate: str = "rate", *by: str):
+    """Whole copies for a rate: its whole part, and one more with the chance of the
+    rest, by a hash of the columns ``by``.  Expected copies equal the rate, so the
+    domains' totals stay near what the rates give."""
+    chance = F.pmod(F.xxhash64(F.lit("mix"), *by), F.lit(1 << 20)) / float(1 << 20)
+    return (F.floor(rate) + (chance < F.col(rate) - F.floor(rate)).cast("int")).cast("int")

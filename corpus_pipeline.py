@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from brinkcast.llm.jaccard_join import jaccard_components
 from brinkcast.llm.language_id import UNKNOWN, identify, learn_profiles
-from brinkcast.llm.mixing import TARGETS, copies, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
+from brinkcast.llm.mixing import TARGETS, drawn_copies, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
 from brinkcast.llm.packing import pack, token_pieces
 from brinkcast.llm.queries import table, tokenizer_file
 from brinkcast.llm.secrets import find_secrets, redacted
@@ -39,11 +39,12 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says, which is never for toxic ones."""
+    """Documents as often as their rate says on average: never for those led by
+    toxic, once at least for those led by good and hardly toxic."""
     model = fit_domains(docs, labelled_domains(table(spark, sf_dir, "labels")))
     judged = stored(with_posteriors(docs, model), "posteriors")
-    rated = with_rates(judged, fit_rates(judged.select("tokens", "posterior"), TARGETS))
-    often = F.explode(F.array_repeat(F.lit(0), copies()))
+    rated = with_rates(judged, fit_rates(judged.select("tokens", "posterior"), TARGETS, whole=True))
+    often = F.explode(F.array_repeat(F.lit(0), drawn_copies("rate", "doc_id", "text")))
     return rated.withColumn("_copy", often).select(*docs.columns)
 
 

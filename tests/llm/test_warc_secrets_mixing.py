@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brinkcast.llm.mixing import copies, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
+import corpus_pipeline
+from brinkcast.llm.mixing import TARGETS, copies, drawn_copies, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
 from brinkcast.llm.secrets import KINDS, find_secrets, listed, redacted
 from brinkcast.llm.storage import shared_path, stored
 from brinkcast.llm.warc import archive_pages, read_archives, resolved, write_archives
@@ -170,3 +171,29 @@ def test_copies_round_rates(spark):
     by = {r[0]: r[1:] for r in got}
     assert by[0.1] == (0, 0, 0) and by[0.9] == (1, 1, 1) and by[1.2] == (1, 1, 1)
     assert by[0.5][:2] == (0, 1) and abs(by[0.5][2] - 0.5) < 0.06 and abs(by[2.5][2] - 2.5) < 0.06
+
+
+def test_drawn_copies_have_no_bias(spark):
+    df = spark.range(20000).selectExpr("if(id % 2 = 0, id, null) as doc_id", "concat('t', id) as text", "array(0D, 0.1D, 0.9D, 1D, 1.2D)[id % 5] as rate")
+    got = df.select("rate", F.col("doc_id").isNull().alias("odd"), drawn_copies("rate", "doc_id", "text").alias("n")).groupBy("rate", "odd").agg(F.avg("n"))
+    for rate, _, mean in got.collect():
+        assert abs(mean - rate) < 0.03 and (mean == rate or rate not in (0, 1))
+
+
+@pytest.mark.parametrize("sharp", [True, False])
+@pytest.mark.parametrize("shares", [(0.77, 0.11, 0.12), (0.7, 0.25, 0.05)])
+def test_drawn_documents_meet_the_targets(spark, tmp_path, monkeypatch, shares, sharp):
+    rnd = np.random.default_rng(4)
+    led = rnd.choice(3, 6000, p=shares)
+    p = 0.02 * rnd.dirichlet((1, 1, 1), 6000) + 0.98 * np.eye(3)[led] if sharp else 0.2 * rnd.dirichlet((1, 1, 1), 6000) + 0.8 * np.eye(3)[led]
+    rows = [(i, f"t{i}", int(n), q.tolist()) for i, (n, q) in enumerate(zip(rnd.integers(20, 200, 6000), p))]
+    judged = spark.createDataFrame(rows, "doc_id long, text string, tokens long, posterior array<double>")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    monkeypatch.setattr(corpus_pipeline, "fit_domains", lambda *a: None)
+    monkeypatch.setattr(corpus_pipeline, "with_posteriors", lambda docs, model: judged)
+    kept = [r.doc_id for r in corpus_pipeline.mixture(spark, judged.select("doc_id", "text"), "").collect()]
+    assert set(np.flatnonzero(led == 0)) <= set(kept) and not set(kept) & set(np.flatnonzero(led == 2))
+    tokens = np.array([rows[i][2] for i in kept])
+    got = tokens @ p[kept] / tokens.sum()
+    if sharp:  # with soft shares the good documents alone hold more of the others than is wanted
+        assert np.abs(got - [TARGETS[d] for d in ("good", "low", "toxic")]).max() < 0.02
