@@ -10,8 +10,9 @@ all keys of the corpus, the answer is exact for each of them, without a join.
 
 With n listed keys among u, level one lets through about ``n / u`` of the others
 and later levels half, so a cascade has some ``1.5 n (log2(u / n) + 5)`` bits
-whatever the number of urls.  Lists above ``most_listed`` keys have no cascade;
-their keys are met by a semi-join instead.
+whatever the number of urls.  A bit takes a byte of a table that every task holds.
+Lists above ``most_listed`` keys have their tables cut in parts, one for each
+``most_listed`` keys, of which a key reads the one that its place lies in.
 
 Null urls, and those without ``://``, have an empty host and path and no keys in
 any list.  Repeated rows are judged one by one.  Columns of the input named as
@@ -23,6 +24,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,15 +67,22 @@ def shape_of(listed: DataFrame) -> Shape:
 
 @dataclass(frozen=True)
 class Level:
-    table: bytes  # a byte for each bit, so that a test is a plain comparison
+    parts: tuple[bytes, ...]  # a byte for each bit, so that a test is a plain comparison; all but the last of one length
+    size: int
     hashes: int
     seed: int
 
     def passes(self, key: Column) -> Column:
         """True for all keys of the level, and for some others."""
-        table, ok = F.lit(self.table), None
+        tables, long, ok = [F.lit(p) for p in self.parts], len(self.parts[0]), None
+        table = tables[0] if len(tables) == 1 else F.array(*tables)
         for i in range(self.hashes):
-            bit = F.substring(table, _place(key, self.seed, i, len(self.table)) + 1, F.lit(1)) == F.lit(b"\x01")
+            place = _place(key, self.seed, i, self.size)
+            if len(tables) == 1:
+                byte = F.substring(table, place + 1, F.lit(1))
+            else:
+                byte = F.substring(F.get(table, F.floor(place / long).cast("int")), F.pmod(place, F.lit(long)) + 1, F.lit(1))
+            bit = byte == F.lit(b"\x01")
             ok = bit if ok is None else ok & bit
         return ok
 
@@ -82,20 +91,20 @@ def _place(key: Column, seed: int, i: int, size: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed), F.lit(i)), F.lit(size)).cast("int")
 
 
-def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
-    """Bloom filter of ``n`` keys that lets through ``rate`` of others."""
+def _level(keys: DataFrame, n: int, rate: float, seed: int, most_keys: int) -> Level:
+    """Bloom filter of ``n`` keys that lets through ``rate`` of others, cut in a part
+    for each ``most_keys``."""
     size = max(64, math.ceil(n * math.log(1 / rate) / math.log(2) ** 2))
     hashes = max(1, round(size / n * math.log(2)))
     place = F.explode(F.array(*[_place(F.col("key"), seed, i, size) for i in range(hashes)])).alias("place")
     words = keys.select(place).groupBy(F.floor(F.col("place") / 64).alias("word"))
     bits = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("place", F.lit(64)).cast("int"))).alias("bits"))
-    table = bytearray(size)
-    for row in bits.collect():  # size / 64 rows
-        word = row.bits & ((1 << 64) - 1)
-        for j in range(64):
-            if word >> j & 1:
-                table[row.word * 64 + j] = 1
-    return Level(bytes(table), hashes, seed)
+    table = np.zeros(-(-size // 64) * 64, np.uint8)
+    for row in bits.toLocalIterator():  # size / 64 rows
+        word = np.array([row.bits], "<i8").view(np.uint8)
+        table[row.word * 64 : row.word * 64 + 64] = np.unpackbits(word, bitorder="little")
+    long = -(-size // max(1, math.ceil(n / most_keys)))
+    return Level(tuple(table[i : min(size, i + long)].tobytes() for i in range(0, size, long)), size, hashes, seed)
 
 
 @dataclass(frozen=True)
@@ -110,7 +119,7 @@ class Cascade:
         return verdict
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
+def build_cascade(listed: DataFrame, universe: DataFrame, most_keys: int = 200_000) -> Cascade:
     """Cascade of ``listed`` over ``universe``, both distinct (key)."""
     inside = universe.join(listed, "key", "left_semi").cache()  # as small as the list
     outside = universe.join(listed, "key", "left_anti")
@@ -119,7 +128,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     left, right = inside, outside  # whom the next level encodes, whom it may mistake
     rate = min(0.5, max(n, 1) / max(others, 1) * math.sqrt(0.5))
     while n:
-        level = _level(left, n, rate, len(levels))
+        level = _level(left, n, rate, len(levels), most_keys)
         levels.append(level)
         left, right = right.where(level.passes(F.col("key"))), left
         n, rate = left.count(), 0.5
@@ -129,20 +138,15 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
 
 def listed_keys(pages: DataFrame, listed: DataFrame, row_id: str, most_listed: int = 200_000) -> DataFrame:
     """``pages`` (with ``host`` and ``path``) and ``hits``: its keys that are in
-    ``listed`` (host, path), the longest first (ties: the longer host)."""
+    ``listed`` (host, path), the longest first (ties: the longer host).  Rows are
+    judged one by one, whatever their ``row_id``."""
     names = [c for c in pages.columns if c.lower() != "hits"]
     listed = listed.where("host <> ''").select("host", "path").distinct()
-    shape, n = shape_of(listed), listed.count()
-    keyed = pages.select(*names, shape.keys().alias("hits"))
+    keyed = pages.select(*names, shape_of(listed).keys().alias("hits"))
     keys = listed.select(F.concat("host", "path").alias("key")).distinct()
-    if n <= most_listed:
-        universe = keyed.select(F.explode("hits").alias("k")).select("k.key").distinct()
-        holds = build_cascade(keys, universe).holds
-        hits = F.filter("hits", lambda k: holds(k["key"]))
-    else:
-        one = keyed.select(row_id, F.explode("hits").alias("k")).join(keys, F.col("k.key") == F.col("key"), "left_semi")
-        keyed = keyed.drop("hits").join(one.groupBy(row_id).agg(F.collect_set("k").alias("hits")), row_id, "left")
-        hits = F.coalesce("hits", F.expr("cast(array() as array<struct<length:int,host_length:int,key:string>>)"))
+    universe = keyed.select(F.explode("hits").alias("k")).select("k.key").distinct()
+    holds = build_cascade(keys, universe, most_listed).holds
+    hits = F.filter("hits", lambda k: holds(k["key"]))
     return keyed.select(*names, F.sort_array(hits, asc=False).alias("hits"))
 
 

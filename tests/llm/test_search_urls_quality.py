@@ -109,6 +109,25 @@ def test_long_lists_are_joined_with_the_same_result(spark):
     assert sorted(one) == sorted(two) and any(len(r.hits) == 2 for r in one)
 
 
+def test_long_lists_judge_rows_one_by_one(spark):
+    rows = [(None, "h1.net", "/p"), (5, "h1.net", "/p"), (5, "clean.org", "/p"), (None, "clean.org", "")]
+    pages = spark.createDataFrame(rows, "page_id long, host string, path string")
+    listed = spark.createDataFrame([("h1.net", ""), ("h2.net", ""), ("h3.net", "")], "host string, path string")
+    got = listed_keys(pages, listed, "page_id", most_listed=1).collect()
+    assert sorted(((r.page_id, r.host, [h.key for h in r.hits]) for r in got), key=repr) == sorted(
+        [(i, h, ["h1.net"] if h == "h1.net" else []) for i, h, _ in rows], key=repr
+    )
+
+
+def test_cascade_in_parts_is_exact(spark):
+    universe = spark.range(3000).selectExpr("concat('k', id) as key")
+    listed = spark.range(0, 3600, 9).selectExpr("concat('k', id) as key")
+    cascade = build_cascade(listed, universe, most_keys=60)
+    assert len(cascade.levels[0].parts) == 6
+    held = {r.key for r in universe.where(cascade.holds(F.col("key"))).collect()}
+    assert held == {f"k{i}" for i in range(0, 3000, 9)}
+
+
 def test_thin_hosts(spark):
     rows = [(1, "http://a/", "x" * 100), (2, "http://b/", "x" * 10), (3, "http://b/", None), (4, None, "x" * 5)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
