@@ -15,9 +15,10 @@ earlier start) is removed.  Windows are judged on the input.
 
 The sketch is bounded by ``most_bits``; a larger input sends more windows to the
 second step, with the same result.  Null texts have no words; words are split at
-ASCII white space.  Rows without id count as later than all others; rows that
-share an id are in one place, so neither is earlier than the other.  Further
-columns are ignored.
+ASCII white space.  Every row is a document of its own: rows that share an id come
+in the order in which they are stored, and so do rows without id, after all
+others.  Those rows are stored with a number (``sub``), which is 0 for all others.
+Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,34 +30,37 @@ from pyspark.sql import functions as F
 
 from brinkcast.llm.hashing import BASES, WordHashes, run_hashes
 from brinkcast.llm.sketch import merged_sketch, sketch_bits
-from brinkcast.llm.storage import stored
+from brinkcast.llm.storage import broadcast_if_small, stored
 
 #: Words of a section.
 WORDS = 1_000_000
 #: Bytes of text for each range of hashes, and for each range of documents.
 PART_BYTES, GROUP_BYTES = 6_000_000, 4_000_000
 LAST = np.iinfo(np.int64).max
+#: Least ``sub`` of a row without id.
+NO_ID = 1 << 62
 
-WINDOWS = "part int, ids binary, h1 binary, h2 binary, doc binary, start binary"
-FOUND = "grp long, docs binary, starts binary"
+WINDOWS = "part int, ids binary, subs binary, h1 binary, h2 binary, doc binary, start binary"
+FOUND = "grp long, docs binary, marked binary, starts binary"
+KEPT = "doc_id long, n_words long, n_removed long, kept string"
 
 
 def _sections(batches, words_at_once: int = WORDS):
-    """(ids, word hashes, words of each document) of consecutive rows; a longer
-    text is a section of its own."""
+    """(ids and subs, word hashes, words of each document) of consecutive rows; a
+    longer text is a section of its own."""
     hashes = WordHashes()
     for batch in batches:
         ids, held, n = [], [], 0
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for *doc, text in zip(*[c.to_pylist() for c in batch.columns]):
             w = hashes.of((text or b"").split())
             if held and n + len(w) > words_at_once:
-                yield np.array(ids, np.int64), np.concatenate(held), np.array([len(x) for x in held])
+                yield np.array(ids, np.int64).T, np.concatenate(held), np.array([len(x) for x in held])
                 ids, held, n = [], [], 0
             ids.append(doc)
             held.append(w)
             n += len(w)
         if held:
-            yield np.array(ids, np.int64), np.concatenate(held), np.array([len(x) for x in held])
+            yield np.array(ids, np.int64).T, np.concatenate(held), np.array([len(x) for x in held])
 
 
 def _places(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,20 +105,29 @@ def _risen(blob: bytes) -> np.ndarray:
     return np.cumsum(gaps.view("<u8")[:, 0], dtype=np.uint64) + np.uint64(int.from_bytes(blob[1:9], "little"))
 
 
-def _found(docs: np.ndarray, starts: np.ndarray, groups: int) -> pa.RecordBatch:
+def _deltas(a: np.ndarray) -> bytes:
+    return np.diff(a, prepend=0).astype("<i8").tobytes()
+
+
+def _summed(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(blob, "<i8"))
+
+
+def _found(docs: np.ndarray, subs: np.ndarray, starts: np.ndarray, groups: int) -> pa.RecordBatch:
     """Windows to remove, one row for each range of documents."""
-    grp = docs % groups
-    order = np.lexsort((starts, docs, grp))
-    grp, docs, starts = grp[order], docs[order], starts[order]
+    grp = (docs % groups + subs % groups) % groups
+    order = np.lexsort((starts, subs, docs, grp))
+    grp, docs, subs, starts = grp[order], docs[order], subs[order], starts[order]
     at = np.append(np.flatnonzero(_openings(grp)), len(grp))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(grp[at[:-1]], pa.int64()),
-            pa.array([np.diff(docs[a:b], prepend=0).astype("<i8").tobytes() for a, b in zip(at, at[1:])], pa.binary()),
+            pa.array([_deltas(docs[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
+            pa.array([_deltas(subs[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
             # differences of neighbouring windows are mostly 1, which compresses well
             pa.array([np.diff(starts[a:b], prepend=0).astype("<i4").tobytes() for a, b in zip(at, at[1:])], pa.binary()),
         ],
-        ["grp", "docs", "starts"],
+        ["grp", "docs", "marked", "starts"],
     )
 
 
@@ -122,7 +135,7 @@ def _flagged(rows: DataFrame, sketch, k: int, parts: int, groups: int) -> DataFr
     """Windows to group (``WINDOWS``), and those settled within a section (``FOUND``)."""
 
     def scan(batches):
-        for ids, words, sizes in _sections(batches):
+        for (ids, subs), words, sizes in _sections(batches):
             place, doc, start = _places(sizes, k)
             if not len(place):
                 continue
@@ -130,29 +143,27 @@ def _flagged(rows: DataFrame, sketch, k: int, parts: int, groups: int) -> DataFr
             flagged = np.flatnonzero(sketch.repeated(h1))
             h1, place, doc, start = h1[flagged], place[flagged], doc[flagged], start[flagged]
             h2 = (run_hashes(words, k, BASES[1], place) >> np.uint64(32)).astype("<u4")
-            order = np.lexsort((start, ids[doc], h2, h1))
+            order = np.lexsort((start, subs[doc], ids[doc], h2, h1))
             h1, h2, doc, start = h1[order], h2[order], doc[order], start[order]
             new = _openings(h1, h2)
-            opener = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            later = (ids[doc] != ids[doc[opener]]) | (start != start[opener])
-            if later.any():
-                batch = _found(ids[doc[later]], start[later], groups)
+            if not new.all():
+                batch = _found(ids[doc[~new]], subs[doc[~new]], start[~new], groups)
                 yield _widen(batch, None, parts)
             h1, h2, doc, start = h1[new], h2[new], doc[new], start[new]
             part = ((h1 >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             at = np.append(np.flatnonzero(_openings(part)), len(part))
             pieces = list(zip(at, at[1:]))
-            table = np.diff(ids, prepend=0).astype("<i8").tobytes()
             batch = pa.RecordBatch.from_arrays(
                 [
                     pa.array(part[at[:-1]], pa.int32()),
-                    pa.array([table] * len(pieces), pa.binary()),
+                    pa.array([_deltas(ids)] * len(pieces), pa.binary()),
+                    pa.array([_deltas(subs) if subs.any() else b""] * len(pieces), pa.binary()),
                     pa.array([_rising(h1[a:b]) for a, b in pieces], pa.binary()),
                     pa.array([h2[a:b].tobytes() for a, b in pieces], pa.binary()),
                     pa.array([_narrow(doc[a:b]) for a, b in pieces], pa.binary()),
                     pa.array([_narrow(start[a:b]) for a, b in pieces], pa.binary()),
                 ],
-                ["part", "ids", "h1", "h2", "doc", "start"],
+                ["part", "ids", "subs", "h1", "h2", "doc", "start"],
             )
             yield _widen(None, batch, parts)
 
@@ -162,10 +173,10 @@ def _flagged(rows: DataFrame, sketch, k: int, parts: int, groups: int) -> DataFr
 def _widen(found: pa.RecordBatch | None, windows: pa.RecordBatch | None, parts: int) -> pa.RecordBatch:
     """Rows of either kind; what is found goes through the grouping as it is."""
     n = (found or windows).num_rows
-    left = windows.columns if windows else [pa.array(np.arange(n) % parts, pa.int32())] + [pa.nulls(n, pa.binary())] * 5
-    right = found.columns if found else [pa.nulls(n, pa.int64())] + [pa.nulls(n, pa.binary())] * 2
+    left = windows.columns if windows else [pa.array(np.arange(n) % parts, pa.int32())] + [pa.nulls(n, pa.binary())] * 6
+    right = found.columns if found else [pa.nulls(n, pa.int64())] + [pa.nulls(n, pa.binary())] * 3
     return pa.RecordBatch.from_arrays(
-        [*left, *right], ["part", "ids", "h1", "h2", "doc", "start", "grp", "docs", "starts"]
+        [*left, *right], ["part", "ids", "subs", "h1", "h2", "doc", "start", "grp", "docs", "marked", "starts"]
     )
 
 
@@ -176,23 +187,23 @@ def _grouped(windows: DataFrame, parts: int, groups: int) -> DataFrame:
         passed = [r for r in rows if r[1] is None]
         if passed:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(list(zip(*passed))[6:], (pa.int64(), pa.binary(), pa.binary()))],
-                ["grp", "docs", "starts"],
+                [pa.array(c, t) for c, t in zip(list(zip(*passed))[7:], (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+                ["grp", "docs", "marked", "starts"],
             )
         rows = [r for r in rows if r[1] is not None]
         if not rows:
             return
-        h1 = np.concatenate([_risen(r[2]) for r in rows])
-        h2 = np.concatenate([np.frombuffer(r[3], "<u4") for r in rows])
-        doc = np.concatenate([np.cumsum(np.frombuffer(r[1], "<i8"))[_widened(r[4])] for r in rows])
-        start = np.concatenate([_widened(r[5]) for r in rows])
-        order = np.lexsort((start, doc, h2, h1))
-        h1, h2, doc, start = h1[order], h2[order], doc[order], start[order]
-        new = _openings(h1, h2)
-        opener = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        later = (doc != doc[opener]) | (start != start[opener])
+        h1 = np.concatenate([_risen(r[3]) for r in rows])
+        h2 = np.concatenate([np.frombuffer(r[4], "<u4") for r in rows])
+        at = [_widened(r[5]) for r in rows]
+        doc = np.concatenate([_summed(r[1])[i] for r, i in zip(rows, at)])
+        sub = np.concatenate([_summed(r[2])[i] if r[2] else np.zeros(len(i), np.int64) for r, i in zip(rows, at)])
+        start = np.concatenate([_widened(r[6]) for r in rows])
+        order = np.lexsort((start, sub, doc, h2, h1))
+        later = ~_openings(h1[order], h2[order])
         if later.any():
-            yield _found(doc[later], start[later], groups)
+            order = order[later]
+            yield _found(doc[order], sub[order], start[order], groups)
 
     def merge(batches):
         held: list = []
@@ -206,20 +217,47 @@ def _grouped(windows: DataFrame, parts: int, groups: int) -> DataFrame:
             yield from settle(held)
 
     return (
-        windows.select("part", "ids", "h1", "h2", "doc", "start", "grp", "docs", "starts")
+        windows.select("part", "ids", "subs", "h1", "h2", "doc", "start", "grp", "docs", "marked", "starts")
         .repartition(parts, "part")
         .sortWithinPartitions("part")
         .mapInArrow(merge, FOUND)
     )
 
 
+def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, sub, text), where doc_id and sub name one row only."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    counted = rows.groupBy("doc_id").agg(F.count("*").alias("n"))
+    shared = stored(counted.where("n > 1 or doc_id is null").select("doc_id"), "shared")
+    alone = F.lit(0).cast("long").alias("sub")
+    if not shared.limit(1).count():
+        return rows.select("doc_id", alone, "text")
+    ids = broadcast_if_small(shared.where("doc_id is not null"))
+    odd = rows.where("doc_id is null").union(rows.join(ids, "doc_id", "left_semi").select("doc_id", "text"))
+    number = F.monotonically_increasing_id() + 1
+    odd = stored(
+        odd.select(
+            F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"),
+            F.when(F.col("doc_id").isNull(), number + F.lit(NO_ID)).otherwise(number).alias("sub"),
+            "text",
+        ),
+        "numbered",
+    )
+    plain = rows.where("doc_id is not null").join(ids, "doc_id", "left_anti")
+    return plain.select("doc_id", alone, "text").union(odd)
+
+
+def _id_of(doc: int, sub: int) -> int | None:
+    return None if sub >= NO_ID else doc
+
+
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 20, most_bits: int = 28, depth: int = 2,
     most_touched: int = 500_000,
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row; ``kept`` holds the words
     that stay, joined by one space."""
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = _numbered(docs, doc_id, text)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts, groups = max(1, size // PART_BYTES), max(1, size // GROUP_BYTES)
 
@@ -233,23 +271,25 @@ def remove_repeats(
     found = stored(_grouped(_flagged(rows, sketch, k, parts, groups), parts, groups), "found")
 
     def cut(batches):
-        grp, marks, doc_of, start_of = None, [], None, None
+        grp, marks, doc_of, sub_of, start_of = None, [], None, None, None
         for batch in batches:
             out = []
-            for g, docs_, starts, doc, body in zip(*[c.to_pylist() for c in batch.columns]):
+            for g, docs_, marked, starts, doc, sub, body in zip(*[c.to_pylist() for c in batch.columns]):
                 if g != grp:
                     grp, marks, doc_of = g, [], None
                 if docs_ is not None:
-                    marks.append((np.cumsum(np.frombuffer(docs_, "<i8")), np.cumsum(np.frombuffer(starts, "<i4"), dtype=np.int64)))
+                    marks.append((_summed(docs_), _summed(marked), np.cumsum(np.frombuffer(starts, "<i4"), dtype=np.int64)))
                     continue
                 if doc_of is None:  # marks of a range come before its texts
                     doc_of = np.concatenate([m[0] for m in marks] or [np.empty(0, np.int64)])
-                    start_of = np.concatenate([m[1] for m in marks] or [np.empty(0, np.int64)])
-                    order = np.argsort(doc_of, kind="stable")
-                    doc_of, start_of = doc_of[order], start_of[order]
+                    sub_of = np.concatenate([m[1] for m in marks] or [np.empty(0, np.int64)])
+                    start_of = np.concatenate([m[2] for m in marks] or [np.empty(0, np.int64)])
+                    order = np.lexsort((sub_of, doc_of))
+                    doc_of, sub_of, start_of = doc_of[order], sub_of[order], start_of[order]
                     marks = []
                 words = (body or b"").split()
                 a, b = np.searchsorted(doc_of, doc), np.searchsorted(doc_of, doc, side="right")
+                a, b = a + np.searchsorted(sub_of[a:b], sub), a + np.searchsorted(sub_of[a:b], sub, side="right")
                 n = len(words)
                 if b > a:
                     edge = np.bincount(start_of[a:b], minlength=n + 1)[: n + 1] - np.bincount(
@@ -257,7 +297,7 @@ def remove_repeats(
                     )[: n + 1]
                     gone = np.cumsum(edge)[:n] > 0
                     words = [w for w, g in zip(words, gone.tolist()) if not g]
-                out.append((None if doc == LAST else doc, n, n - len(words), b" ".join(words)))
+                out.append((_id_of(doc, sub), n, n - len(words), b" ".join(words)))
             ids, total, removed, kept = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -270,20 +310,22 @@ def remove_repeats(
             )
 
     texts = rows.select(
-        F.pmod("doc_id", F.lit(groups)).alias("grp"),
-        F.lit(None).cast("binary").alias("docs"),
-        F.lit(None).cast("binary").alias("starts"),
+        F.pmod(F.pmod("doc_id", F.lit(groups)) + F.pmod("sub", F.lit(groups)), F.lit(groups)).alias("grp"),
+        *[F.lit(None).cast("binary").alias(c) for c in ("docs", "marked", "starts")],
         "doc_id",
+        "sub",
         "text",
     )
-    marks = found.select("grp", "docs", "starts", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("text"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("sub", "long"), ("text", "binary"))]
+    marks = found.select("grp", "docs", "marked", "starts", *none)
+
     def plain(batches):
         for batch in batches:
-            ids, texts_ = (c.to_pylist() for c in batch.columns)
+            ids, subs, texts_ = (c.to_pylist() for c in batch.columns)
             words = [(t or b"").split() for t in texts_]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([None if i == LAST else i for i in ids], pa.int64()),
+                    pa.array([_id_of(i, j) for i, j in zip(ids, subs)], pa.int64()),
                     pa.array([len(w) for w in words], pa.int64()),
                     pa.array([0] * len(words), pa.int64()),
                     pa.array([b" ".join(w) for w in words], pa.binary()).cast(pa.string()),
@@ -292,25 +334,31 @@ def remove_repeats(
             )
 
     # texts that lose nothing stay where they are, if a list of the others is short
-    touched = stored(found.mapInArrow(_documents, "doc_id long").distinct(), "touched")
+    touched = stored(found.mapInArrow(_documents, "doc_id long, sub long").distinct(), "touched")
     if touched.limit(most_touched + 1).count() <= most_touched:
-        untouched = rows.join(F.broadcast(touched), "doc_id", "left_anti").mapInArrow(plain, "doc_id long, n_words long, n_removed long, kept string")
-        texts = texts.join(F.broadcast(touched), "doc_id", "left_semi").select(*texts.columns)
+        untouched = rows.join(F.broadcast(touched), ["doc_id", "sub"], "left_anti").select("doc_id", "sub", "text").mapInArrow(plain, KEPT)
+        texts = texts.join(F.broadcast(touched), ["doc_id", "sub"], "left_semi").select(*texts.columns)
     else:
         untouched = None
     done = (
         marks.union(texts)
         .repartition(max(1, groups // 2), "grp")
         .sortWithinPartitions("grp", F.col("docs").isNull())
-        .mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
+        .mapInArrow(cut, KEPT)
     )
     return done if untouched is None else done.union(untouched)
 
 
 def _documents(batches):
     """Documents that lose a word, each once in a task."""
-    seen = np.empty(0, np.int64)
+    seen = np.empty((0, 2), np.int64)
     for batch in batches:
-        docs = [np.unique(np.cumsum(np.frombuffer(d, "<i8"))) for d in batch.column(1).to_pylist()]
-        seen = np.unique(np.concatenate([seen, *docs]))
-    yield pa.RecordBatch.from_arrays([pa.array(seen)], ["doc_id"])
+        held = [seen]
+        for docs, subs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            docs, subs = _summed(docs), _summed(subs)
+            new = _openings(docs, subs)
+            held.append(np.column_stack([docs[new], subs[new]]))
+        seen = np.concatenate(held)
+        seen = seen[np.lexsort((seen[:, 1], seen[:, 0]))]
+        seen = seen[_openings(seen[:, 0], seen[:, 1])]
+    yield pa.RecordBatch.from_arrays([pa.array(seen[:, 0]), pa.array(seen[:, 1])], ["doc_id", "sub"])

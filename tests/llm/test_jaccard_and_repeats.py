@@ -109,3 +109,15 @@ def test_repeats_without_ids_or_rows(spark):
     got = {r.doc_id: (r.n_removed, r.kept) for r in remove_repeats(df, k=3).collect()}
     assert got == {None: (4, ""), 2: (0, "a b c d")}
     assert remove_repeats(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most_touched", [500_000, 0])
+def test_repeats_of_rows_that_share_an_id_or_have_none(spark, most_touched):
+    passage = "a b c d"
+    rows = [(None, f"{passage} u1 u2 u3 u4 {passage}"), (None, "v1 v2 v3 v4 v5 v6 v7 v8 v9 v10 v11 v12"), (7, f"w1 w2 {passage}"), (7, "x1 x2 x3 x4 x5 x6")]
+    rows += [(8, "y1 y2 y3"), (8, "y1 y2 y3"), (2**63 - 1, "z1 z2 z3"), (None, "q1 q2 q3 q4"), (None, "q1 q2 q3 q5")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.n_words, r.kept) for r in remove_repeats(df, k=3, most_touched=most_touched).collect()), key=repr)
+    want = [(None, 12, "u1 u2 u3 u4"), (None, 12, rows[1][1]), (7, 6, rows[2][1]), (7, 6, rows[3][1]), (8, 3, "y1 y2 y3"), (8, 3, "")]
+    want += [(2**63 - 1, 3, "z1 z2 z3"), (None, 4, "q1 q2 q3 q4"), (None, 4, "q5")]
+    assert got == sorted(want, key=repr)
