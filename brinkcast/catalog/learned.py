@@ -27,7 +27,7 @@ def _(spark, d):
 
 
 def _trained(rows):
-    return MD.train_threshold(rows, list(FEATURE_COLUMNS), 4, trees=20, seed=1)
+    return MD.train_threshold(rows, list(FEATURE_COLUMNS), 4, seed=1)
 
 
 @case("m05_train_threshold")

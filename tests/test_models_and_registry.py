@@ -1,11 +1,13 @@
 """Trained models on planted data; the registry as a whole."""
 
+import inspect
 import random
 from datetime import datetime, timedelta
 
 import pytest
 
 import __spark_entry__ as entry
+from brinkcast.catalog import learned
 from brinkcast.operators import models as MD
 from brinkcast.operators.baselines import chrono_holdout
 from brinkcast.operators.metrics import average_precision
@@ -71,3 +73,9 @@ def test_entry_returns_outcomes(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     days = events.selectExpr("datediff(max(ts), min(ts)) + 1").first()[0]
     assert df.count() == 96 * days + 1
+
+
+def test_registered_training_uses_the_default_trees(monkeypatch):
+    default = inspect.signature(MD.train_threshold).parameters["trees"].default
+    monkeypatch.setattr(MD, "train_threshold", lambda *a, trees=default, **b: trees)
+    assert learned._trained(None) == 400
