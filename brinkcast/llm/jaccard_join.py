@@ -348,5 +348,7 @@ def jaccard_components(
     joined = connected_components(links).withColumnRenamed("node", "first")
     named = classes.join(joined, "first", "left").select("key", F.coalesce("component", "first").alias("component_id"))
     return signed.join(named, "key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id"))).alias("component_id")
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", F.when(F.col("key").isNull(), F.col("doc_id")))).alias("component_id"),
     )

@@ -54,6 +54,12 @@ def test_components_with_small_sketch_null_ids_and_clashing_columns(spark):
     assert jaccard_components(df.limit(0)).count() == 0
 
 
+def test_rows_without_id_have_no_component(spark):
+    df = spark.createDataFrame([(3, "a b c d e f"), (None, "a b c d e f"), (None, None), (4, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard_components(df).collect()), key=repr)
+    assert got == [(3, 3), (4, 4), (None, None), (None, None)]
+
+
 def test_inverted_index_finds_what_comparison_finds():
     rnd = np.random.default_rng(1)
     base = rnd.integers(0, 300, 80).astype(np.uint64)
