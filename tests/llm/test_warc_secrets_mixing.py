@@ -56,7 +56,7 @@ def test_damaged_archive_keeps_what_is_reachable(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", "one"), (2, "b", "two"), (3, "c", "three")], "page_id long, url string, html string").coalesce(1)
     path = shared_path(spark, "broken")
     write_archives(df, path)
-    lines = spark.read.option("wholetext", True).text(path).first().value.replace("Content-Length: 3\r\n\r\ntwo", "Content-Length: 4\r\n\r\ntwo")
+    lines = spark.read.text(path, wholetext=True).first().value.replace("Content-Length: 3\r\n\r\ntwo", "Content-Length: 4\r\n\r\ntwo")
     (tmp_path / "x.warc").write_bytes(lines.encode())
     got = resolved(read_archives(spark, str(tmp_path))).collect()
     assert sorted(r.page_id for r in got) == [1, 2]
