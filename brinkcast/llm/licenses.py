@@ -26,6 +26,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,7 +113,7 @@ def _numbered(batch_texts: list[str | None], number: dict[bytes, int]) -> tuple[
 
 def _pieces(batch: pa.RecordBatch, column: int):
     texts = batch.column(column)
-    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     for a, b in chunks(batch, sizes, BYTES):
         yield a, b, texts.slice(a, b - a).to_pylist()
 

@@ -31,6 +31,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,7 +95,7 @@ def _counted(vocabulary: list[bytes]):
         size = max(1, len(number))
         for batch in batches:
             texts = batch.column(1)
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
             for a, b in chunks(batch, sizes, BYTES):
                 keys, lengths = [np.empty(0, np.int64)], []
                 for i, text in enumerate(texts.slice(a, b - a).to_pylist()):
@@ -221,7 +222,7 @@ def _found(asked: Asked, weight: Weights, k: int):
             for a in range(0, batch.num_rows, most):
                 part = batch.slice(a, most)
                 term, tf = (part.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for c in (2, 3))
-                row = np.repeat(np.arange(part.num_rows), pa.compute.list_value_length(part.column(2)).to_numpy(zero_copy_only=False))
+                row = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column(2)).to_numpy(zero_copy_only=False))
                 n = part.column(1).to_numpy(zero_copy_only=False)
                 impacts = np.zeros((part.num_rows, terms), np.int64)
                 impacts[row, term] = weight.impacts(term, tf, n[row])
