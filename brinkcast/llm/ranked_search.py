@@ -44,6 +44,8 @@ ASKED = 8192
 CELLS, DOCS, BLOCK, DIMS = 4_000_000, 2048, 32, 12
 #: Bytes of text that are cut into terms at a time.
 BYTES = 8_000_000
+#: Documents that a task searches, unless that makes more than so many tasks.
+TASK_DOCS, TASKS = 8192, 200_000
 
 _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
@@ -257,7 +259,8 @@ def _answered(bags: DataFrame, docs: DataFrame, id: str, text: str, k: int) -> D
     counts = term_counts(docs, vocabulary, id, text)
     weight = corpus_weights(counts, len(vocabulary))
     kinds = bags.schema["item"].dataType, counts.schema["doc"].dataType.simpleString()
-    found = counts.mapInArrow(_found(asked, weight, k), f"item int, doc {kinds[1]}, score long")
+    tasks = min(math.ceil(weight.docs / TASK_DOCS), TASKS)  # its rows are small, so splits by bytes would make long tasks
+    found = counts.repartition(max(1, tasks)).mapInArrow(_found(asked, weight, k), f"item int, doc {kinds[1]}, score long")
     names = docs.sparkSession.createDataFrame([(i, r.item) for i, r in enumerate(rows)], f"item int, item_id {kinds[0].simpleString()}")
     return _best(found, k).join(F.broadcast(names), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc", "score")
 
