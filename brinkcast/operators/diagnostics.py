@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from brinkcast.functions.times import MINUTE, micros, pane_floor
 from brinkcast.operators.metrics import metrics_of_counts, score_counts, target_metrics
-from brinkcast.operators.ordered import UNIT_EDGES, lookback_stats
+from brinkcast.operators.ordered import lookback_stats
 
 
 def lead_times(hits: DataFrame, primary: DataFrame, minutes: int = 15) -> DataFrame:
@@ -78,10 +78,10 @@ def evaluation_strata(
     return out.select(*windows.columns, F.array_compact(F.array(*tags)).alias("strata"))
 
 
-def metrics_by_stratum(scored: DataFrame, by: list[str], edges: list[float] | None = UNIT_EDGES) -> DataFrame:
+def metrics_by_stratum(scored: DataFrame, by: list[str], bounded: bool = True) -> DataFrame:
     """Target metrics per stratum; a forecast counts in each stratum of its window."""
     rows = scored.select(*by, "target", "prob", "label", F.explode("strata").alias("stratum"))
-    return target_metrics(rows, [*by, "stratum"], edges=edges)
+    return target_metrics(rows, [*by, "stratum"], bounded=bounded)
 
 
 def confident_errors(scored: DataFrame, n: int = 20, prob: float = 0.8) -> DataFrame:
@@ -142,7 +142,7 @@ def promotion_gate(
     max_regression: float = 0.05,
     max_ece: float = 0.10,
     alpha: float = 0.05,
-    edges: list[float] | None = UNIT_EDGES,
+    bounded: bool = True,
 ) -> DataFrame:
     """One row: may the candidate replace the current model?
 
@@ -153,7 +153,7 @@ def promotion_gate(
     """
     rows = scored.where(F.col("score_set").isin(candidate, current))
     counts = score_counts(rows, ["score_set", "target"])
-    m = metrics_of_counts(counts, ["score_set", "target"], edges=edges)
+    m = metrics_of_counts(counts, ["score_set", "target"], bounded=bounded)
 
     def figure(model: str, cond: Column, column: str) -> Column:
         return F.avg(F.when((F.col("score_set") == model) & cond, F.col(column)))
@@ -187,7 +187,7 @@ def promotion_gate(
 
 
 def rolling_metrics(
-    scored: DataFrame, by: list[str], horizons: tuple[int, int] = (7, 30), edges: list[float] | None = UNIT_EDGES
+    scored: DataFrame, by: list[str], horizons: tuple[int, int] = (7, 30), bounded: bool = True
 ) -> DataFrame:
     """Per day and target: n, ECE, AUC-PR and Brier over the last 7 and 30 days.
 
@@ -207,7 +207,7 @@ def rolling_metrics(
     summed = rows.groupBy(*key, "day", "span", "score").agg(
         *[F.sum(c).alias(c) for c in ("n", "pos", "label_sum", "abs_err", "sq_err")]
     )
-    m = metrics_of_counts(summed, [*key, "day", "span"], edges=edges)
+    m = metrics_of_counts(summed, [*key, "day", "span"], bounded=bounded)
     out = m.groupBy(*key, "day").agg(
         *[
             F.max(F.when(F.col("span") == s, F.col(c))).alias(f"{c}_{s}d")

@@ -17,7 +17,7 @@ def psi(
     value: str,
     by: list[str] | None = None,
     bins: int = 10,
-    edges: list[float] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Population stability index per group.
 
@@ -38,7 +38,7 @@ def psi(
 
     probs = [i * (1.0 / bins) for i in range(1, bins)]
     own = stored(side(expected, "e"))
-    borders = quantiles_of_counts(own.drop("side"), "x", probs, by, "q", edges).drop("n")
+    borders = quantiles_of_counts(own.drop("side"), "x", probs, by, "q", parts).drop("n")
     rows = own.unionByName(side(actual, "a"))
     if by:
         rows = rows.join(borders, by, "left")
@@ -72,7 +72,7 @@ def psi(
 
 
 def feature_psi(
-    expected: DataFrame, actual: DataFrame, features: list[str], bins: int = 10, edges: list[float] | None = None
+    expected: DataFrame, actual: DataFrame, features: list[str], bins: int = 10, parts: int | None = None
 ) -> DataFrame:
     """Covariate drift: the index of every feature, one row per ``feature``."""
 
@@ -80,7 +80,7 @@ def feature_psi(
         cells = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
         return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
-    return psi(long(expected), long(actual), "value", ["feature"], bins, edges)
+    return psi(long(expected), long(actual), "value", ["feature"], bins, parts)
 
 
 def label_drift(labels: DataFrame, ts: str, level: str, levels: tuple[int, ...] = (0, 1, 2, 3, 4, 5, 6)) -> DataFrame:

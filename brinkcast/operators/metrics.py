@@ -2,7 +2,8 @@
 
 Frames are long: one row per forecast with ``prob`` and ``label`` and any group
 columns.  Forecasts are first counted per distinct score, before the shuffle;
-rankings then run over distinct scores in buckets (see ``ordered``).
+rankings then run over distinct scores in ranges (see ``ordered``), or within the group
+where the caller knows it is ``bounded``.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brinkcast.functions.scores import BINARY_TARGETS, bin_edges, bin_of
-from brinkcast.operators.ordered import balanced_edges, running_totals, stored
+from brinkcast.operators.ordered import running_totals, stored
 
 
 def score_counts(df: DataFrame, by: list[str], prob: str = "prob", label: str = "label") -> DataFrame:
@@ -26,13 +27,10 @@ def score_counts(df: DataFrame, by: list[str], prob: str = "prob", label: str =
     )
 
 
-def _ranked(df: DataFrame, by: list[str], prob: str, label: str, edges: list[float] | None) -> DataFrame:
+def _ranked(df: DataFrame, by: list[str], prob: str, label: str, parts: int | None) -> DataFrame:
     """Distinct scores with true and all positives at or above each (inclusive)."""
-    counts = score_counts(df, by, prob, label).select(*by, "score", "n", "pos")
-    if edges is None:
-        counts = stored(counts)
-        edges = balanced_edges(counts, "score")
-    return running_totals(counts, by, "score", ["n", "pos"], edges, descending=True)
+    counts = stored(score_counts(df, by, prob, label).select(*by, "score", "n", "pos"))
+    return running_totals(counts, by, "score", ["n", "pos"], descending=True, parts=parts)
 
 
 def _precision() -> Column:
@@ -44,15 +42,14 @@ def average_precision(
     by: list[str] | None = None,
     prob: str = "prob",
     label: str = "label",
-    edges: list[float] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Step-sum average precision over distinct scores; 0 for a single class.
 
-    ``edges`` are inner score borders for spreading the work; by default the
-    counts per score are stored once and the borders found from them.
+    The counts per score are stored once and cut into ranges (``parts``: how many).
     """
     by = by or []
-    ranked = _ranked(df, by, prob, label, edges)
+    ranked = _ranked(df, by, prob, label, parts)
     step = F.col("pos").cast("double") / F.col("total_pos") * _precision()
     mixed = (F.col("total_pos") > 0) & (F.col("total_pos") < F.col("total_n"))
     return ranked.groupBy(*by).agg(
@@ -66,7 +63,7 @@ def pr_curve(
     by: list[str] | None = None,
     prob: str = "prob",
     label: str = "label",
-    edges: list[float] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Precision and recall per threshold, plus the end point (1, 0) without one.
 
@@ -74,7 +71,7 @@ def pr_curve(
     above it), so the curve needs no second pass.
     """
     by = by or []
-    ranked = _ranked(df, by, prob, label, edges)
+    ranked = _ranked(df, by, prob, label, parts)
     recall = F.when(F.col("total_pos") > 0, F.col("cum_pos").cast("double") / F.col("total_pos")).otherwise(1.0)
     point = F.struct(F.col("score").alias("threshold"), _precision().alias("precision"), recall.alias("recall"))
     end = F.struct(
@@ -126,7 +123,7 @@ def target_metrics(
     scored: DataFrame,
     by: list[str],
     bins: int = 10,
-    edges: list[float] | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Per group and ``target``: n, auc_pr, ece, mae, base_rate.
 
@@ -135,17 +132,16 @@ def target_metrics(
     One pass counts per distinct score; all figures come from those counts.
     """
     key = [*by, "target"]
-    return metrics_of_counts(score_counts(scored, key), key, bins, edges).drop("brier")
+    return metrics_of_counts(score_counts(scored, key), key, bins, bounded).drop("brier")
 
 
 def metrics_of_counts(
-    counts: DataFrame, key: list[str], bins: int = 10, edges: list[float] | None = None
+    counts: DataFrame, key: list[str], bins: int = 10, bounded: bool = False
 ) -> DataFrame:
     """The same from score counts (see :func:`score_counts`), plus ``brier``."""
-    if edges is None:
+    if not bounded:
         counts = stored(counts)
-        edges = balanced_edges(counts, "score")
-    ranked = running_totals(counts, key, "score", ["n", "pos"], edges, descending=True)
+    ranked = running_totals(counts, key, "score", ["n", "pos"], descending=True, bounded=bounded)
     step = F.when(F.col("total_pos") > 0, F.col("pos").cast("double") / F.col("total_pos") * _precision())
     binned = ranked.groupBy(*key, bin_of(F.col("score"), bin_edges(bins)).alias("bin")).agg(
         F.sum("n").alias("n"),
@@ -185,12 +181,12 @@ def ranking_metrics(
     prob: str = "prob",
     label: str = "label",
     min_precision: float = 0.8,
-    edges: list[float] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Area under ROC, best F1 with its threshold, and the largest recall whose
     precision is at least ``min_precision``; NULL or 0 where undefined."""
     by = by or []
-    ranked = _ranked(df, by, prob, label, edges)
+    ranked = _ranked(df, by, prob, label, parts)
     pos, neg = F.col("total_pos"), F.col("total_n") - F.col("total_pos")
     own_neg = F.col("n") - F.col("pos")
     above = (F.col("cum_n") - F.col("n")) - (F.col("cum_pos") - F.col("pos"))
@@ -210,8 +206,7 @@ def ranking_metrics(
 
 
 def spearman(
-    df: DataFrame, x: str, y: str, by: list[str] | None = None, edges_x: list[float] | None = None,
-    edges_y: list[float] | None = None,
+    df: DataFrame, x: str, y: str, by: list[str] | None = None, parts: int | None = None
 ) -> DataFrame:
     """Rank correlation with mean ranks for ties.
 
@@ -225,15 +220,13 @@ def spearman(
         )
     )
 
-    def ranks(column: str, edges: list[float] | None, name: str) -> DataFrame:
-        if edges is None:
-            edges = balanced_edges(pairs, column)
+    def ranks(column: str, name: str) -> DataFrame:
         counts = pairs.groupBy(*by, column).agg(F.sum("n").alias("n"))
-        out = running_totals(counts, by, column, ["n"], edges)
+        out = running_totals(counts, by, column, ["n"], parts=parts)
         rank = F.col("cum_n") - F.col("n") + (F.col("n") + 1).cast("double") / 2
         return out.select(*by, column, rank.alias(name))
 
-    ranked = pairs.join(ranks("_x", edges_x, "rx"), [*by, "_x"]).join(ranks("_y", edges_y, "ry"), [*by, "_y"])
+    ranked = pairs.join(ranks("_x", "rx"), [*by, "_x"]).join(ranks("_y", "ry"), [*by, "_y"])
     n = F.col("n").cast("double")
 
     def total(c: Column) -> Column:

@@ -17,7 +17,7 @@ from brinkcast.operators.baselines import (
     default_split_point,
 )
 from brinkcast.operators.metrics import target_array, target_metrics
-from brinkcast.operators.ordered import UNIT_EDGES, stored, ts_type
+from brinkcast.operators.ordered import stored, ts_type
 from brinkcast.operators.predictions import (
     align_predictions,
     in_period,
@@ -50,18 +50,18 @@ def _long(rows: DataFrame) -> DataFrame:
     )
 
 
-def score_sets(windows: DataFrame, predictions: DataFrame, edges: list[float] | None = UNIT_EDGES) -> DataFrame:
+def score_sets(windows: DataFrame, predictions: DataFrame, bounded: bool = True) -> DataFrame:
     """All baselines and models by target: n_test, n, auc_pr, ece, mae, base_rate.
 
     ``windows`` has ``is_test``.  Targets without forecasts keep a row with n = 0.
-    Scored rows number windows x models, bounded by the calendar, so the work is
-    spread over fixed score borders; pass ``edges=None`` to have them found.
+    The scored rows of a model and target number as many as windows, bounded by the
+    calendar, so each is ranked in one window; pass ``bounded=False`` otherwise.
     """
     base = baseline_probs(windows)
     test = windows.where("is_test")
     models = align_predictions(test, predictions).withColumnRenamed("model_version", "score_set")
     scored = _long(base).unionByName(_long(models))
-    metrics = target_metrics(scored, ["score_set"], edges=edges)
+    metrics = target_metrics(scored, ["score_set"], bounded=bounded)
 
     spark = windows.sparkSession
     names = F.array(*[F.lit(b) for b in BASELINES])

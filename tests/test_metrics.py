@@ -5,11 +5,12 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brinkcast.functions.scores import bin_edges
 from brinkcast.operators import drift as D
 from brinkcast.operators import metrics as M
-from brinkcast.operators.ordered import exact_quantiles, running_totals
+from brinkcast.operators.ordered import exact_quantiles, previous_value, running_totals, time_rank
 
 ROWS = "g string, prob double, label int"
 
@@ -56,17 +57,34 @@ def test_average_precision(spark):
     assert M.average_precision(frame(spark, [])).first()["auc_pr"] == 0.0
 
 
-@pytest.mark.parametrize("edges", [None, [], [0.5], [0.1, 0.2, 0.25, 0.9]])
-def test_average_precision_is_the_same_for_any_borders(spark, edges):
+@pytest.mark.parametrize("parts", [None, 1, 3, 16])
+def test_average_precision_is_the_same_for_any_ranges(spark, parts):
     rnd = random.Random(3)
     pairs = [(round(rnd.random() ** 3, 2), int(rnd.random() < 0.3)) for _ in range(400)]
     other = [(p, 1 - y) for p, y in pairs]
     df = frame(spark, pairs).union(frame(spark, other, "b"))
-    got = {r["g"]: r["auc_pr"] for r in M.average_precision(df, ["g"], edges=edges).collect()}
+    got = {r["g"]: r["auc_pr"] for r in M.average_precision(df, ["g"], parts=parts).collect()}
     assert got["a"] == pytest.approx(ap_by_hand(pairs))
     assert got["b"] == pytest.approx(ap_by_hand(other))
 
 
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_running_totals_rank_and_previous_across_ranges(spark, parts):
+    rows = [("a", float(i), 1 + i % 3) for i in range(60)] + [("b", 0.5 + i / 1000, 2) for i in range(40)] + [(None, 3.0, 5), (None, 4.0, 1), ("c", None, 9)]
+    df = spark.createDataFrame(rows, "g string, x double, n int").repartition(3)
+    got = {(r["g"], r["x"]): (r["cum_n"], r["total_n"]) for r in running_totals(df, ["g"], "x", ["n"], parts=parts).collect()}
+    want = {(g, x): (sum(m for h, y, m in rows if h == g and y is not None and y <= x), sum(m for h, _, m in rows if h == g)) for g, x, _ in rows if x is not None}
+    assert got == want
+    down = running_totals(df, ["g"], "x", ["n"], descending=True, parts=parts).where("g = 'b'").orderBy("x").first()
+    assert (down["cum_n"], down["total_n"]) == (80, 80)
+    ranked = time_rank(df, "x", ["g", "n"], parts=parts).orderBy("rank").collect()
+    assert [r["rank"] for r in ranked] == list(range(1, 103)) and {r["n_total"] for r in ranked} == {102}
+    before = previous_value(df, "x", ["g", "n"], "n", "prev", parts=parts).join(df.sparkSession.createDataFrame([(r["g"], r["x"], r["rank"]) for r in ranked], "h string, y double, rank long"), [F.col("g").eqNullSafe(F.col("h")), F.col("x") == F.col("y")])
+    assert [r["prev"] for r in before.orderBy("rank").collect()] == [None, *[r["n"] for r in ranked[:-1]]]
+    empty = df.limit(0)
+    assert running_totals(empty, ["g"], "x", ["n"], parts=parts).count() == 0 and time_rank(empty, "x", ["g"], parts=parts).count() == 0
+
+
 def test_pr_curve_points(spark):
     df = frame(spark, [(0.1, 0), (0.4, 0), (0.35, 1), (0.8, 1)])
     got = sorted((r["threshold"] if r["threshold"] is not None else 9, r["precision"], r["recall"]) for r in M.pr_curve(df).collect())
@@ -153,9 +171,9 @@ def test_exact_quantiles(spark):
         assert r["quantiles"] == pytest.approx(list(np.quantile(data[r["g"]], qs)))
 
 
-def test_running_totals_over_borders(spark):
+def test_running_totals_over_ranges(spark):
     df = spark.createDataFrame([("a", float(i), 1) for i in range(20)] + [("b", 3.0, 5)], "g string, x double, n long")
-    out = running_totals(df, ["g"], "x", ["n"], [2.5, 2.6, 10.0, 99.0])
+    out = running_totals(df, ["g"], "x", ["n"], parts=4)
     got = {(r["g"], r["x"]): (r["cum_n"], r["total_n"]) for r in out.collect()}
     assert got[("b", 3.0)] == (5, 5)
     assert all(got[("a", float(i))] == (i + 1, 20) for i in range(20))

@@ -1,7 +1,10 @@
 """Lookbacks, outcomes and labels: boundaries, empty windows, no leak."""
 
+import math
+import random
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -131,6 +134,31 @@ def test_rolling_mean_uses_only_its_interval(spark, values, cutoffs, hours):
         assert abs(got[c][0] - want) < 1e-12 and got[c][1] == len(inside)
 
 
+def test_rolling_mean_of_doubles_keeps_no_trace_of_values_outside(spark):
+    at = datetime(2026, 1, 5, 12)
+    values = [(at - timedelta(hours=6), 1e17), (at - timedelta(hours=6, microseconds=1), math.inf), (at - timedelta(hours=1), 0.5), (at + timedelta(microseconds=1), math.nan)]
+    values += [(at - timedelta(hours=19), 1e-3), (at - timedelta(days=40), -1e300)]
+    df = spark.createDataFrame(values, "published_at timestamp_ntz, valence_level double")
+    cut = spark.createDataFrame([(at,), (at - timedelta(hours=14),), (at + timedelta(days=90),), (None,)], "cutoff timestamp_ntz")
+    got = {r["cutoff"]: (r["rolling_mean"], r["n"]) for r in WN.rolling_mean(df, cut, 6).collect()}
+    assert got == {at: (0.5, 1), at - timedelta(hours=14): (1e-3, 1), at + timedelta(days=90): (0.0, 0)}
+
+
+@pytest.mark.parametrize("hours", [1e-9, 0.4 / 3600, 1.5 / 3600, 0.37, 5, 26.3, 24 * 80])
+def test_rolling_mean_of_any_width(spark, hours):
+    rnd = random.Random(int(hours * 1000))
+    width = timedelta(microseconds=int(hours * 3600 * 10**6))
+    times = [datetime(2026, 1, 1) + rnd.random() * 3 * width for _ in range(60)]
+    times += [times[0] + width, times[1] - width, times[2] + width + timedelta(microseconds=1)] + [times[3]] * 30
+    values = [(t, rnd.choice([0.1, 2.5, 7.0])) for t in times]
+    df = spark.createDataFrame(values, "published_at timestamp_ntz, valence_level double")
+    got = WN.rolling_mean(df, df.select(F.col("published_at").alias("cutoff")), hours).collect()
+    assert len(got) == len(set(times))
+    for r in got:
+        inside = [v for t, v in values if r["cutoff"] - width < t <= r["cutoff"]]
+        assert r["n"] == len(inside) and r["rolling_mean"] == pytest.approx(sum(inside) / len(inside) if inside else 0.0)
+
+
 def test_ecosystem_at_equals_panes_on_the_grid(spark, rows):
     posts = [post(H - timedelta(minutes=7 * m), m % 7, m % 3 == 0) for m in range(120)]
     df = spark.createDataFrame(posts, SCHEMA)
