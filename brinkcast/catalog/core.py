@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -247,13 +248,13 @@ def _(spark, d):
     "a07_rolling_mean_values",
     """select cutoff, round(coalesce(avg(value), 0.0), 5) as rolling_mean, count(value) as n
        from (select distinct ts as cutoff from events) c
-       left join (select ts, case when event_type = 'error' then value * 1e3 / 7 else value / 3 end as value from events) e
+       left join (select ts, case when event_type = 'error' then value * 1e3 else value * pi() end as value from events) e
          on e.ts > cutoff - interval 5 hours and e.ts <= cutoff
        group by cutoff""",
 )
 def _(spark, d):
     events = given(spark, d, "events")
-    level = F.when(F.col("event_type") == "error", F.col("value") * 1e3 / 7).otherwise(F.col("value") / 3)
+    level = F.when(F.col("event_type") == "error", F.col("value") * 1e3).otherwise(F.col("value") * math.pi)
     out = WN.rolling_mean(events.select("ts", level.alias("value")), events.select(F.col("ts").alias("cutoff")), 5, ts="ts", value="value")
     return out.withColumn("rolling_mean", F.round("rolling_mean", 5))
 
