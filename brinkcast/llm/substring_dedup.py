@@ -10,8 +10,9 @@ earlier start) is removed.  Windows are judged on the input.
    row for each section of texts and range of hashes.  A section first settles
    what repeats within itself, so a run shared by a third of all documents sends
    one window a section, not one a document.
-3. What stood earlier goes back, as arrays per range of documents, and the texts
-   are cut there.
+   A row names only the documents whose windows it holds.
+3. What stood earlier meets by range of documents, where each document that loses
+   something gets one row with all its starts; texts are cut where they meet it.
 
 The sketch is bounded by ``most_bits``; a larger input sends more windows to the
 second step, with the same result.  Null texts have no words; words are split at
@@ -42,6 +43,7 @@ NO_ID = 1 << 62
 
 WINDOWS = "part int, ids binary, subs binary, h1 binary, h2 binary, doc binary, start binary"
 FOUND = "grp long, docs binary, marked binary, starts binary"
+MARKS = "doc_id long, sub long, starts binary"
 KEPT = "doc_id long, n_words long, n_removed long, kept string"
 
 
@@ -153,14 +155,15 @@ def _flagged(rows: DataFrame, sketch, k: int, parts: int, groups: int) -> DataFr
             part = ((h1 >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             at = np.append(np.flatnonzero(_openings(part)), len(part))
             pieces = list(zip(at, at[1:]))
+            held = [np.unique(doc[a:b], return_inverse=True) for a, b in pieces]
             batch = pa.RecordBatch.from_arrays(
                 [
                     pa.array(part[at[:-1]], pa.int32()),
-                    pa.array([_deltas(ids)] * len(pieces), pa.binary()),
-                    pa.array([_deltas(subs) if subs.any() else b""] * len(pieces), pa.binary()),
+                    pa.array([_deltas(ids[d]) for d, _ in held], pa.binary()),
+                    pa.array([_deltas(subs[d]) if subs[d].any() else b"" for d, _ in held], pa.binary()),
                     pa.array([_rising(h1[a:b]) for a, b in pieces], pa.binary()),
                     pa.array([h2[a:b].tobytes() for a, b in pieces], pa.binary()),
-                    pa.array([_narrow(doc[a:b]) for a, b in pieces], pa.binary()),
+                    pa.array([_narrow(i) for _, i in held], pa.binary()),
                     pa.array([_narrow(start[a:b]) for a, b in pieces], pa.binary()),
                 ],
                 ["part", "ids", "subs", "h1", "h2", "doc", "start"],
@@ -268,33 +271,54 @@ def remove_repeats(
                 yield run_hashes(words, k)[place]
 
     sketch = merged_sketch(rows, windows, sketch_bits(size / 6, 4, most_bits), depth)
-    found = stored(_grouped(_flagged(rows, sketch, k, parts, groups), parts, groups), "found")
-
-    def cut(batches):
-        grp, marks, doc_of, sub_of, start_of = None, [], None, None, None
+    found = _grouped(_flagged(rows, sketch, k, parts, groups), parts, groups)
+    by_range = found.repartition(max(1, groups // 2), "grp").sortWithinPartitions("grp")
+    marks = stored(by_range.mapInArrow(_marks, MARKS), "marks")
+    # texts that lose nothing stay where they are, if the list of the others is short
+    if marks.limit(most_touched + 1).count() > most_touched:
+        return rows.join(marks, ["doc_id", "sub"], "left").select("doc_id", "sub", "text", "starts").mapInArrow(_cut(k), KEPT)
+    touched = F.broadcast(marks.select("doc_id", "sub"))
+    whole = rows.join(touched, ["doc_id", "sub"], "left_anti").select("doc_id", "sub", "text", F.lit(None).cast("binary").alias("starts"))
+    less = rows.join(touched, ["doc_id", "sub"], "left_semi").join(marks, ["doc_id", "sub"]).select("doc_id", "sub", "text", "starts")
+    return less.mapInArrow(_cut(k), KEPT).union(whole.mapInArrow(_cut(k), KEPT))
+
+
+def _marks(batches):
+    """Starts of windows to remove, one row for each document that has any."""
+    grp, held = None, []
+    for batch in batches:
+        for g, docs, subs, starts in zip(*[c.to_pylist() for c in batch.columns]):
+            if held and g != grp:
+                yield _by_document(held)
+                held = []
+            grp = g
+            held.append((_summed(docs), _summed(subs), np.cumsum(np.frombuffer(starts, "<i4"), dtype=np.int64)))
+    if held:
+        yield _by_document(held)
+
+
+def _by_document(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    docs, subs, starts = (np.concatenate(c) for c in zip(*held))
+    order = np.lexsort((starts, subs, docs))
+    docs, subs, starts = docs[order], subs[order], starts[order]
+    at = np.append(np.flatnonzero(_openings(docs, subs)), len(docs))
+    # differences of neighbouring windows are mostly 1, which compresses well
+    blobs = [np.diff(starts[a:b], prepend=0).astype("<i4").tobytes() for a, b in zip(at, at[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(docs[at[:-1]]), pa.array(subs[at[:-1]]), pa.array(blobs, pa.binary())], ["doc_id", "sub", "starts"])
+
+
+def _cut(k: int):
+    """Tasks that take the words of marked windows out of texts."""
+
+    def of(batches):
         for batch in batches:
             out = []
-            for g, docs_, marked, starts, doc, sub, body in zip(*[c.to_pylist() for c in batch.columns]):
-                if g != grp:
-                    grp, marks, doc_of = g, [], None
-                if docs_ is not None:
-                    marks.append((_summed(docs_), _summed(marked), np.cumsum(np.frombuffer(starts, "<i4"), dtype=np.int64)))
-                    continue
-                if doc_of is None:  # marks of a range come before its texts
-                    doc_of = np.concatenate([m[0] for m in marks] or [np.empty(0, np.int64)])
-                    sub_of = np.concatenate([m[1] for m in marks] or [np.empty(0, np.int64)])
-                    start_of = np.concatenate([m[2] for m in marks] or [np.empty(0, np.int64)])
-                    order = np.lexsort((sub_of, doc_of))
-                    doc_of, sub_of, start_of = doc_of[order], sub_of[order], start_of[order]
-                    marks = []
-                words = (body or b"").split()
-                a, b = np.searchsorted(doc_of, doc), np.searchsorted(doc_of, doc, side="right")
-                a, b = a + np.searchsorted(sub_of[a:b], sub), a + np.searchsorted(sub_of[a:b], sub, side="right")
+            for doc, sub, text, starts in zip(*[c.to_pylist() for c in batch.columns]):
+                words = (text or b"").split()
                 n = len(words)
-                if b > a:
-                    edge = np.bincount(start_of[a:b], minlength=n + 1)[: n + 1] - np.bincount(
-                        np.minimum(start_of[a:b] + k, n), minlength=n + 1
-                    )[: n + 1]
+                if starts is not None:
+                    at = np.cumsum(np.frombuffer(starts, "<i4"), dtype=np.int64)
+                    edge = np.bincount(at, minlength=n + 1)[: n + 1] - np.bincount(np.minimum(at + k, n), minlength=n + 1)[: n + 1]
                     gone = np.cumsum(edge)[:n] > 0
                     words = [w for w, g in zip(words, gone.tolist()) if not g]
                 out.append((_id_of(doc, sub), n, n - len(words), b" ".join(words)))
@@ -309,56 +333,4 @@ def remove_repeats(
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    texts = rows.select(
-        F.pmod(F.pmod("doc_id", F.lit(groups)) + F.pmod("sub", F.lit(groups)), F.lit(groups)).alias("grp"),
-        *[F.lit(None).cast("binary").alias(c) for c in ("docs", "marked", "starts")],
-        "doc_id",
-        "sub",
-        "text",
-    )
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("sub", "long"), ("text", "binary"))]
-    marks = found.select("grp", "docs", "marked", "starts", *none)
-
-    def plain(batches):
-        for batch in batches:
-            ids, subs, texts_ = (c.to_pylist() for c in batch.columns)
-            words = [(t or b"").split() for t in texts_]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_id_of(i, j) for i, j in zip(ids, subs)], pa.int64()),
-                    pa.array([len(w) for w in words], pa.int64()),
-                    pa.array([0] * len(words), pa.int64()),
-                    pa.array([b" ".join(w) for w in words], pa.binary()).cast(pa.string()),
-                ],
-                ["doc_id", "n_words", "n_removed", "kept"],
-            )
-
-    # texts that lose nothing stay where they are, if a list of the others is short
-    touched = stored(found.mapInArrow(_documents, "doc_id long, sub long").distinct(), "touched")
-    if touched.limit(most_touched + 1).count() <= most_touched:
-        untouched = rows.join(F.broadcast(touched), ["doc_id", "sub"], "left_anti").select("doc_id", "sub", "text").mapInArrow(plain, KEPT)
-        texts = texts.join(F.broadcast(touched), ["doc_id", "sub"], "left_semi").select(*texts.columns)
-    else:
-        untouched = None
-    done = (
-        marks.union(texts)
-        .repartition(max(1, groups // 2), "grp")
-        .sortWithinPartitions("grp", F.col("docs").isNull())
-        .mapInArrow(cut, KEPT)
-    )
-    return done if untouched is None else done.union(untouched)
-
-
-def _documents(batches):
-    """Documents that lose a word, each once in a task."""
-    seen = np.empty((0, 2), np.int64)
-    for batch in batches:
-        held = [seen]
-        for docs, subs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            docs, subs = _summed(docs), _summed(subs)
-            new = _openings(docs, subs)
-            held.append(np.column_stack([docs[new], subs[new]]))
-        seen = np.concatenate(held)
-        seen = seen[np.lexsort((seen[:, 1], seen[:, 0]))]
-        seen = seen[_openings(seen[:, 0], seen[:, 1])]
-    yield pa.RecordBatch.from_arrays([pa.array(seen[:, 0]), pa.array(seen[:, 1])], ["doc_id", "sub"])
+    return of
