@@ -16,8 +16,8 @@ ROOT = Path(__file__).resolve().parents[2]
 
 def test_all_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted({int(n[2:].split("_")[0]) for n in names if n != "pipeline"}) == list(range(1, 11)) and "pipeline" in names
-    assert {"op2_url_filters", "op8_warc"} <= set(entry.oracle_sql())
+    assert sorted({int(n[2:].split("_")[0]) for n in names if n != "pipeline"}) == list(range(1, 14)) and "pipeline" in names
+    assert {"op2_url_filters", "op8_warc", "op11_vector_codes", "op12_ranked_search", "op13_license_scans"} <= set(entry.oracle_sql())
 
 
 def test_entry_imports_without_the_corpus_operators():

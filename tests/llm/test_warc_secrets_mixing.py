@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brinkcast.llm.mixing import TARGETS, copies, drawn_copies, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
+from brinkcast.llm.mixing import TARGETS, Featurizer, drawn_copies, fit_domains, fit_rates, labelled_domains, with_posteriors, with_rates
 from brinkcast.llm.secrets import KINDS, find_secrets, listed, redacted
 from brinkcast.llm.storage import shared_path, stored
 from brinkcast.llm.warc import archive_pages, read_archives, resolved, write_archives
@@ -133,7 +133,7 @@ def test_rates_meet_targets(spark, labelled):
     docs, labels = labelled
     model = fit_domains(docs, labelled_domains(labels))
     rows = stored(with_posteriors(docs, model), "rows")
-    fit = fit_rates(rows, {"good": 0.8, "low": 0.2, "toxic": 0.0}, steps=25)
+    fit = fit_rates(rows, {"good": 0.8, "low": 0.2, "toxic": 0.0})
     got = with_rates(rows, fit).collect()
     assert all(r.rate >= 0 for r in got) and len(got) == 304
     share = sum(np.array(r.posterior) * r.tokens * r.rate for r in got)
@@ -147,13 +147,38 @@ def test_rates_are_a_least_squares_optimum(monkeypatch):
     p = rnd.dirichlet([1, 1, 1], 60)
     t = rnd.integers(1, 50, 60).astype(float)
     monkeypatch.setattr("brinkcast.llm.mixing._totals", lambda rows, k, value: value(p, t))
-    fit = fit_rates(None, {"good": 0.7, "low": 0.3, "toxic": 0.0}, steps=400, enough=1e-9)
+    fit = fit_rates(None, {"good": 0.7, "low": 0.3, "toxic": 0.0})
     rate = fit.of(p)
     want = np.array(fit.targets) / t.sum()
     slope = p @ ((t * rate) @ p / t.sum() - want) + fit.pull * (rate - 1)
     assert np.abs(slope[rate > 1e-9]).max() < 1e-5 and slope[rate <= 1e-9].min() > -1e-5
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_projected_gradient_is_zero_on_a_stored_table(spark, whole):
+    rnd = np.random.default_rng(6)
+    p = 0.3 * rnd.dirichlet((1, 1, 1), 3000) + 0.7 * np.eye(3)[rnd.choice(3, 3000, p=(0.6, 0.3, 0.1))]
+    df = spark.createDataFrame([(int(n), q.tolist()) for n, q in zip(rnd.integers(0, 500, 3000), p)], "tokens long, posterior array<double>")
+    rows = stored(df.repartition(5), "posteriors")
+    fit = fit_rates(rows, TARGETS, whole=whole)
+    assert fit.passes <= 30
+    got = with_rates(rows, fit).collect()
+    p, t, rate = np.array([r.posterior for r in got]), np.array([r.tokens for r in got], float), np.array([r.rate for r in got])
+    least, largest = fit._bounds(p)
+    slope = p @ (((t * rate) @ p - np.array(fit.targets)) / t.sum()) + fit.pull * (rate - 1)
+    assert np.abs(np.clip(rate - slope, least, largest) - rate).max() < 1e-7
+    with pytest.raises(ArithmeticError):
+        fit_rates(rows, TARGETS, steps=1)
+
+
+def test_features_by_hand():
+    n, found, shape = Featurizer().of("One two, TWO!\n\none 1é\none 1é")
+    assert n == 7 and len(found) == 3
+    size = len("One two, TWO!\n\none 1é\none 1é".encode())
+    assert shape == pytest.approx([np.log(8), 3 / 7, 1 / size, 4 / size, 2 / size, size / 7, 1 / 3])
+    assert Featurizer().of(None)[0] == 0 and Featurizer().of(None)[2] == [0, 0, 0, 0, 0, 1, 1]
+
+
 def test_without_labels_or_rows(spark, labelled):
     docs, labels = labelled
     model = fit_domains(docs, labelled_domains(labels.limit(0)))
@@ -165,14 +190,6 @@ def test_without_labels_or_rows(spark, labelled):
     assert with_rates(empty, fit_rates(empty, {"good": 1.0})).count() == 0
 
 
-def test_copies_round_rates(spark):
-    df = spark.range(4000).selectExpr("id as doc_id", "array(0.1D, 0.5D, 0.9D, 1.2D, 2.5D)[id % 5] as rate")
-    got = df.select("rate", copies().alias("n")).groupBy("rate").agg(F.min("n"), F.max("n"), F.avg("n")).collect()
-    by = {r[0]: r[1:] for r in got}
-    assert by[0.1] == (0, 0, 0) and by[0.9] == (1, 1, 1) and by[1.2] == (1, 1, 1)
-    assert by[0.5][:2] == (0, 1) and abs(by[0.5][2] - 0.5) < 0.06 and abs(by[2.5][2] - 2.5) < 0.06
-
-
 def test_drawn_copies_have_no_bias(spark):
     df = spark.range(20000).selectExpr("if(id % 2 = 0, id, null) as doc_id", "concat('t', id) as text", "array(0D, 0.1D, 0.9D, 1D, 1.2D)[id % 5] as rate")
     got = df.select("rate", F.col("doc_id").isNull().alias("odd"), drawn_copies("rate", "doc_id", "text").alias("n")).groupBy("rate", "odd").agg(F.avg("n"))
