@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,15 @@ def chunks(batch: pa.RecordBatch, sizes: list[int], most: int) -> Iterator[tuple
         yield start, len(sizes)
 
 
+def slices(batches: Iterable[pa.RecordBatch], column: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts (string or binary) of ``column`` take about ``most``
+    bytes, which bounds the Python objects made of them."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for a, b in chunks(batch, sizes, most):
+            yield batch.slice(a, b - a)
+
+
 def with_columns_schema(df: DataFrame, extra: dict[str, T.DataType]) -> tuple[DataFrame, T.StructType]:
     """``df`` without the columns that ``extra`` names (any case), and the schema with them."""
     taken = {name.lower() for name in extra}

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brinkcast.llm.arrow import runs_of
+from brinkcast.llm.arrow import runs_of, slices
 from brinkcast.llm.components import connected_components
 from brinkcast.llm.hashing import WordHashes, run_hashes
 from brinkcast.llm.sketch import merged_sketch, sketch_bits
@@ -86,7 +86,7 @@ def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
 
     def sign(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches, 1):
             keys, sizes = [], []
             for text in batch.column(1).to_pylist():
                 words = _words(text)
@@ -109,7 +109,7 @@ def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: in
 
     def shingles(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches, 1):
             held, n = [], 0
             for _, words in _first_of_each(batch):
                 held.append(_set(words, hashes, k))
@@ -124,7 +124,7 @@ def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: in
 
     def keep(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids, sizes, sets = [], [], []
             for doc, words in _first_of_each(batch):
                 s = _set(words, hashes, k)

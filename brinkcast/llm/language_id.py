@@ -28,7 +28,7 @@ from brinkcast.llm.arrow import chunks, with_columns_schema
 
 UNKNOWN = "und"
 #: Characters that are held as arrays at a time, trigrams that are bound at a time.
-CHARS, TRIGRAMS = 1_000_000, 4096
+CHARS, TRIGRAMS = 400_000, 4096
 #: Texts in one matrix of counts.
 TEXTS = 500
 
@@ -203,6 +203,14 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
     return kept.mapInArrow(judge, schema)
 
 
+def score_limits(judged: DataFrame, lang: str = "lang", low: float = 0.01, share: float = 0.5) -> dict[str, float]:
+    """Least score of a text of each language: ``share`` of the ``low`` quantile of the
+    scores of texts that are labelled with it and recognised.  One number a language."""
+    right = judged.where(F.col(lang) == F.col("lang_pred"))
+    found = right.groupBy("lang_pred").agg(F.percentile_approx("score", low, 10_000).alias("q")).collect()
+    return {r.lang_pred: share * r.q for r in found}
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the quarter of documents that nothing is learned from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
