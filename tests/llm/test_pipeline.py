@@ -65,3 +65,31 @@ def test_stages_by_hand(spark, tmp_path):
     ids = PieceIds(tokenizer_file())
     for r in kept["packing"].collect():
         assert r.ids == (ids.encoded(clean[r.doc_id][0]) + bytes(4))[4 * r.start : 4 * (r.start + r.length)]
+
+
+def test_stages_keep_columns_of_any_name_and_take_empty_tables(spark, tmp_path):
+    rnd = random.Random(3)
+    rows = [(i, sentence(rnd, 30), "en", "s", 0, f"x{i}", i, [i], float(i)) for i in range(20)] + [(None, sentence(rnd, 30), None, "s", 0, "y", 1, None, 0.5)]
+    rows += [(3, rows[3][1], "en", "s", 0, "again", 2, [7], 1.5)]
+    schema = f"{DOCUMENTS}, spans string, tokens int, posterior array<int>, score double"
+    docs = spark.createDataFrame(rows, schema).selectExpr("*", "1 as rate", "'c' as _copy", "2 as _row", "'d' as lang_pred", "'e' as n", "3 as component_id", "4 as base")
+    where = str(tmp_path)
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{where}/labels.parquet")
+    want = {r.spans: r for r in docs.drop("text").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, docs, where)
+        assert now.schema.names == docs.schema.names and now.dtypes == docs.dtypes, name
+        got = now.drop("text").collect()
+        assert len(got) == (21 if name == "near_duplicates" else 22), name
+        for r in got:
+            assert r.asDict() | {"n_chars": 0} == want[r.spans].asDict(), name
+        assert stage(spark, docs.limit(0), where).count() == 0
+    assert corpus_pipeline.packing(spark, docs.limit(0), where).count() == 0
+
+
+def test_language_stage_rejects_by_cosine(spark):
+    rnd = random.Random(4)
+    rows = [(i, sentence(rnd, 60, "abcdefgh" if i % 2 else "mnopqrst"), "a" if i % 2 else "m", "s", 0) for i in range(60)]
+    rows += [(100, sentence(rnd, 60, "uvwxyz"), None, "s", 0), (101, "αβγ δεζ " * 20, None, "s", 0), (102, sentence(rnd, 60), None, "s", 0)]
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, spark.createDataFrame(rows, DOCUMENTS), "").collect()}
+    assert kept == {r[0] for r in rows} - {100, 101}
