@@ -108,11 +108,15 @@ def _risen(blob: bytes) -> np.ndarray:
 
 
 def _deltas(a: np.ndarray) -> bytes:
-    return np.diff(a, prepend=0).astype("<i8").tobytes()
+    """The first value, then differences in as few bytes as they fit."""
+    gaps = np.diff(a)
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(gaps) or max(int(gaps.max()), -int(gaps.min())) < 1 << (8 * w - 1))
+    return b"%d" % width + a[:1].astype("<i8").tobytes() + gaps.astype(f"<i{width}").tobytes()
 
 
 def _summed(blob: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(blob, "<i8"))
+    gaps = np.frombuffer(blob, f"<i{int(blob[:1])}", offset=9)
+    return np.cumsum(np.concatenate([np.frombuffer(blob, "<i8", 1, 1), gaps.astype(np.int64)]))
 
 
 def _found(docs: np.ndarray, subs: np.ndarray, starts: np.ndarray, groups: int) -> pa.RecordBatch:
