@@ -12,6 +12,7 @@ from brinkcast.catalog.bridge import SHARED, given, table
 from brinkcast.catalog.core import PHRASES, case, posts_of, r9, r9sql
 from brinkcast.catalog.storing import scratch
 from brinkcast.functions.keys import outcome_context
+from brinkcast.functions.times import MINUTE, micros
 from brinkcast.session import pin_utc
 from brinkcast.sources.tables import TableStore
 from brinkcast.streaming.ingest import stream_ingest, stream_ticks
@@ -66,28 +67,28 @@ def _labelled_posts_stream(spark, d):
     return _stream(spark, folder, posts.schema)
 
 
-# Panes up to the one before the newest post's have closed.
+# Panes that end by the newest post's time, the watermark, have closed.
 _CLOSED = """select min(time_bucket(interval 15 minutes, published_at)) as first_pane,
-       max(time_bucket(interval 15 minutes, published_at)) - interval 15 minutes as last_pane from raw_items"""
+       time_bucket(interval 15 minutes, max(published_at)) - interval 15 minutes as last_pane from raw_items"""
 
 
 @case(
     "r02_stream_features",
     """select h, round(coalesce(avg(valence_level::double) filter (not is_primary and published_at > h - interval 6 hours), 0.0), 9) as eco_mean_6h,
+         count(valence_level) filter (not is_primary and published_at > h - interval 6 hours) as eco_n_6h,
          round(coalesce(avg(valence_level::double) filter (is_primary), 0.0), 9) as primary_mean_24h,
+         count(valence_level) filter (is_primary) as primary_n_24h,
          count(raw_item_id) filter (is_primary and published_at > h - interval 6 hours) as primary_posts_6h
        from grid left join posts on published_at > h - interval 24 hours and published_at <= h group by h""",
     closed=_CLOSED,
-    grid="""select h from (select unnest(generate_series(first_pane, last_pane, interval 15 minutes)) as h from closed)
-        where h <= (select max(time_bucket(interval 15 minutes, published_at)) from raw_items
-                    where published_at < (select last_pane + interval 15 minutes from closed))""",
+    grid="select unnest(generate_series(first_pane, last_pane, interval 15 minutes)) as h from closed",
 )
 def _(spark, d):
     store, progress = _store(spark, "features")
     stream_features(_labelled_posts_stream(spark, d), store, progress).awaitTermination()
     stored = F.from_json(
         F.get_json_object("payload", "$.features"),
-        "eco_mean_6h double, primary_mean_24h double, primary_posts_6h long",
+        "eco_mean_6h double, eco_n_6h long, primary_mean_24h double, primary_n_24h long, primary_posts_6h long",
     )
     rows = store.read("predictions").select(
         F.col("window_start").cast("timestamp_ntz").alias("h"), stored.alias("f")
@@ -95,6 +96,41 @@ def _(spark, d):
     return r9(rows.select("h", "f.*"), "eco_mean_6h", "primary_mean_24h")
 
 
+def _outcome_rows(store: TableStore):
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    rows = store.read("outcomes").select(
+        *times, "v_max", "n_posts", outcome_context(F.col("targets_observed")).alias("v_recent"), "had_jump"
+    )
+    return r9(rows, "v_recent")
+
+
+@case(
+    "r03_stream_outcomes_quiet",
+    f"""select window_start, window_end, v_max, n_posts, {r9sql('v_recent')}, n_posts > 0 and v_max >= 0 and v_max >= v_recent + 2 as had_jump
+        from (select ws as window_start, ws + interval 2 hours as window_end,
+                coalesce(max(valence_level) filter (published_at >= ws), -1)::int as v_max,
+                count(item_id) filter (published_at >= ws) as n_posts,
+                coalesce(avg(valence_level::double) filter (published_at <= ws), 0.0) as v_recent
+              from grid left join (select posts.* from posts, cut where is_primary and published_at < pause) p
+                on published_at > ws - interval 24 hours and published_at < ws + interval 2 hours group by ws)""",
+    cut="""select time_bucket(interval 15 minutes, min(published_at) + (max(published_at) - min(published_at)) / 2) as pause,
+          max(published_at) as last_post from raw_items""",
+    grid="""select unnest(generate_series((select min(time_bucket(interval 15 minutes, published_at)) from raw_items),
+          time_bucket(interval 15 minutes, last_post) - interval 2 hours, interval 15 minutes)) as ws from cut""",
+)
+def _(spark, d):
+    """Posts end halfway; those of the very last instant close all windows between."""
+    store, progress = _store(spark, "quiet")
+    folder = scratch(spark, "posts")
+    posts = posts_of(spark, d).withColumn("published_at", F.col("published_at").cast("timestamp"))
+    us = micros(F.col("published_at"))
+    first, last = posts.agg(F.min(us), F.max(us)).first()
+    pause = (first + last) // 2
+    posts.where((us < pause - pause % (15 * MINUTE)) | (us == last)).write.parquet(folder)
+    stream_outcomes(_stream(spark, folder, posts.schema), store, progress).awaitTermination()
+    return _outcome_rows(store)
+
+
 @case(
     "r03_stream_outcomes",
     f"""select window_start, window_end, v_max, n_posts, {r9sql('v_recent')}, n_posts > 0 and v_max >= 0 and v_max >= v_recent + 2 as had_jump
@@ -105,20 +141,13 @@ def _(spark, d):
               from grid left join (select * from posts where is_primary) p
                 on published_at > ws - interval 24 hours and published_at < ws + interval 2 hours group by ws)""",
     closed=_CLOSED,
-    newest="""select max(time_bucket(interval 15 minutes, published_at)) as pane from raw_items
-        where published_at < (select last_pane + interval 15 minutes from closed)""",
-    grid="""select unnest(generate_series(first_pane, pane + interval 15 minutes - interval 2 hours, interval 15 minutes)) as ws
-        from closed, newest""",
+    grid="""select unnest(generate_series(first_pane, last_pane + interval 15 minutes - interval 2 hours, interval 15 minutes)) as ws
+        from closed""",
 )
 def _(spark, d):
     store, progress = _store(spark, "outcomes")
     stream_outcomes(_labelled_posts_stream(spark, d), store, progress).awaitTermination()
-    out = store.read("outcomes")
-    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
-    rows = out.select(
-        *times, "v_max", "n_posts", outcome_context(F.col("targets_observed")).alias("v_recent"), "had_jump"
-    )
-    return r9(rows, "v_recent")
+    return _outcome_rows(store)
 
 
 @case(
@@ -154,16 +183,16 @@ def _(spark, d):
 
 @case(
     "r04_late_data",
-    f"""select window_start, window_end, v_max, n_posts from (
-          select ws as window_start, ws + interval 2 hours as window_end, coalesce(max(valence_level), -1)::int as v_max,
-            count(item_id) as n_posts
-          from grid left join (select * from posts where is_primary) p on published_at >= ws and published_at < ws + interval 2 hours
-          group by ws)""",
+    f"""select window_start, window_end, v_max, n_posts, {r9sql('v_recent')}, n_posts > 0 and v_max >= 0 and v_max >= v_recent + 2 as had_jump
+        from (select ws as window_start, ws + interval 2 hours as window_end,
+                coalesce(max(valence_level) filter (published_at >= ws), -1)::int as v_max,
+                count(item_id) filter (published_at >= ws) as n_posts,
+                coalesce(avg(valence_level::double) filter (published_at <= ws), 0.0) as v_recent
+              from grid left join (select * from posts where is_primary) p
+                on published_at > ws - interval 24 hours and published_at < ws + interval 2 hours group by ws)""",
     closed=_CLOSED,
-    newest="""select max(time_bucket(interval 15 minutes, published_at)) as pane from raw_items
-        where published_at < (select last_pane + interval 15 minutes from closed)""",
-    grid="""select unnest(generate_series(first_pane, pane + interval 15 minutes - interval 2 hours, interval 15 minutes)) as ws
-        from closed, newest""",
+    grid="""select unnest(generate_series(first_pane, last_pane + interval 15 minutes - interval 2 hours, interval 15 minutes)) as ws
+        from closed""",
 )
 def _(spark, d):
     """After the stream has closed its windows every post arrives once more, at the
@@ -175,5 +204,4 @@ def _(spark, d):
     stream_outcomes(_stream(spark, f"{folder}/*", posts.schema), store, progress).awaitTermination()
     posts.withColumn("valence_level", F.lit(6)).write.parquet(f"{folder}/second")
     stream_outcomes(_stream(spark, f"{folder}/*", posts.schema), store, progress).awaitTermination()
-    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
-    return store.read("outcomes").select(*times, "v_max", "n_posts")
+    return _outcome_rows(store)

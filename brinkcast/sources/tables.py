@@ -18,6 +18,7 @@ TABLES = {
     "outcomes": schemas.OUTCOMES,
     "panes": "pane long, on_edge boolean, eco_n long, eco_sum long, primary_n long, primary_sum long, "
     "primary_max int, primary_posts long, primary_items long",
+    "progress": "watermark long",
     "labels": "label_key string, level int, target_type string, target_name string, rationale string, "
     "confidence double",
 }

@@ -5,11 +5,20 @@ has passed them.  Its state is a few open panes, whatever the lookback.  Closed
 panes are stored; features and outcomes are read off the stored panes in the
 same micro-batch.  A post that comes after its pane has closed is dropped by the
 watermark, so a written outcome never changes.
+
+What has closed is judged by event time, not by the newest pane that has posts: the
+watermark a micro-batch runs under follows from the progress of those before it and
+is stored (table ``progress``, one row a grid step at most).  So a quiet stretch
+closes with the next post, wherever that is.  Where no post comes at all, event time
+stands still; ``close_until`` then takes the caller's word.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -51,6 +60,36 @@ def _bounds(df: DataFrame, column) -> tuple[int | None, int | None]:
     return row["lo"], row["hi"]
 
 
+def _micros_of(moment: str) -> int:
+    """Micros of a time as progress reports it (whole milliseconds, UTC)."""
+    return round(datetime.fromisoformat(moment.replace("Z", "+00:00")).timestamp() * 1000) * 1000
+
+
+def _delay(spark: SparkSession, delay: str) -> int:
+    return spark.sql(f"select unix_micros(timestamp_micros(0) + interval {delay}) as us").first()["us"]
+
+
+def reached(query: StreamingQuery | None, delay: int) -> int | None:
+    """The watermark that the present micro-batch runs under: the newest event time of
+    the batches before, less the delay (micros)."""
+    marks = [0]
+    for progress in query.recentProgress if query is not None else ():
+        times = progress["eventTime"] or {}
+        marks += [_micros_of(times["watermark"])] if "watermark" in times else []
+        marks += [_micros_of(times["max"]) - delay] if "max" in times else []
+    return max(marks) or None
+
+
+def _advance(store: TableStore, mark: int | None, step: int) -> None:
+    """Store a watermark that has passed a grid step."""
+    if mark is None:
+        return
+    mark -= mark % step
+    known = _bounds(store.read("progress"), F.col("watermark"))[1]
+    if known is None or mark > known:
+        store.append("progress", store.spark.createDataFrame([(mark,)], "watermark long"))
+
+
 def closed_starts(store: TableStore, stored: DataFrame, step: int, lag: int) -> tuple[int, DataFrame] | None:
     """Grid starts with closed panes that ``stored`` lacks, with the first of them.
 
@@ -58,6 +97,9 @@ def closed_starts(store: TableStore, stored: DataFrame, step: int, lag: int) ->
     so a gap that fills late is closed too.
     """
     first, last = _bounds(store.read("panes"), F.col("pane"))
+    mark = _bounds(store.read("progress"), F.col("watermark"))[1]
+    if last is not None and mark is not None:
+        last = max(last, mark - mark % step - step)
     if last is None or first > last - lag:
         return None
     minutes = step // MINUTE
@@ -102,8 +144,23 @@ def write_outcomes(store: TableStore, hours: int = 2, minutes: int = 15) -> int:
     return store.append("outcomes", new_outcomes(store.read("outcomes"), rows))
 
 
+def close_until(store: TableStore, until: datetime, hours: int = 2, minutes: int = 15) -> tuple[int, int]:
+    """Close all grid times and windows up to ``until`` (UTC) though no post has come.
+
+    For the quiet end of a stream: the caller knows that nothing older is on its
+    way.  Returns the forecasts and outcomes written; a post that comes after all
+    changes none of them.
+    """
+    _advance(store, _micros_of(until.isoformat() + ("" if until.tzinfo else "+00:00")), minutes * MINUTE)
+    return write_features(store, minutes), write_outcomes(store, hours, minutes)
+
+
 def _stream(posts, store, checkpoint, delay, minutes, then, trigger) -> StreamingQuery:
+    name, late = f"panes-{uuid4().hex}", _delay(store.spark, delay)
+
     def close(batch: DataFrame, _: int) -> None:
+        own = next((q for q in posts.sparkSession.streams.active if q.name == name), None)
+        _advance(store, reached(own, late), minutes * MINUTE)
         batch = batch.persist()  # read twice, and the state must not be
         store.append("panes", insert_absent(store.read("panes"), batch, ["pane", "on_edge"], ["pane"]))
         batch.unpersist()
@@ -113,6 +170,7 @@ def _stream(posts, store, checkpoint, delay, minutes, then, trigger) -> Streamin
     return (
         streaming_panes(posts, delay, minutes)
         .writeStream.outputMode("append")
+        .queryName(name)
         .foreachBatch(close)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -1,6 +1,6 @@
 """Streams equal their batch forms; late rows and re-runs change nothing."""
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -11,7 +11,7 @@ from brinkcast.plans.cycle import run_tick
 from brinkcast.schemas import FEED_PAYLOAD, RAW_ITEMS
 from brinkcast.sources.tables import TableStore
 from brinkcast.streaming.ingest import stream_ingest, stream_ticks
-from brinkcast.streaming.panes import stream_both
+from brinkcast.streaming.panes import close_until, stream_both
 
 T0 = datetime(2026, 1, 1)
 POSTS = "published_at timestamp, item_id string, is_primary boolean, valence_level int"
@@ -72,6 +72,24 @@ def test_stream_features_and_outcomes_equal_batch_and_ignore_late_posts(spark, t
     assert dropped >= 1
 
 
+def test_quiet_stretches_and_ends_close_by_event_time(spark, tmp_path, rows):
+    src, store = str(tmp_path / "in"), TableStore(spark, str(tmp_path / "store"))
+    data = [_post(0, 3, True), _post(31, 5, True), _post(60 * 9 + 7, 1, False)]
+    _write(spark, src, "a", data, POSTS)
+    stream_both(_posts_stream(spark, src), store, str(tmp_path / "cp"), delay="20 minutes").awaitTermination()
+    done = store.read("outcomes").select("window_start", "window_end", "v_max", "n_posts", "had_jump")
+    # the watermark is 8:47, so panes up to 8:30 have closed: windows start from 0:00 to 6:45
+    assert max(rows(done, "window_start"))[0] == T0 + timedelta(hours=6, minutes=45) and done.count() == 28
+    assert rows(done) == rows(window_outcomes(spark.createDataFrame(data, POSTS), done.select("window_start", "window_end")).select(*done.columns))
+    times = sorted(rows(store.read("predictions"), "window_start"))
+    assert (times[0][0], times[-1][0], len(times)) == (T0, T0 + timedelta(hours=8, minutes=30), 35)
+    assert rows(store.read("progress")) == [(int((T0 + timedelta(hours=8, minutes=45)).replace(tzinfo=timezone.utc).timestamp()) * 10**6,)]
+    # nobody posts any more
+    assert close_until(store, T0 + timedelta(hours=12)) == (13, 13)
+    assert close_until(store, T0 + timedelta(hours=12)) == (0, 0)
+    assert max(rows(store.read("outcomes"), "window_start"))[0] == T0 + timedelta(hours=10)
+
+
 def _raw(i, source="s1", hour=0):
     t = T0 + timedelta(hours=hour)
     return (f"r{i}-{hour}", source, f"e{i}", t, t, None, f"text {i}", [], {})
