@@ -189,12 +189,17 @@ def _packed_groups(units: DataFrame, capacity: int, group: int) -> DataFrame:
     return dealt.groupBy("_group").applyInArrow(place, schema)
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, group: int = GROUP) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, group: int = GROUP, aside: tuple[str, ...] = ()) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.
 
     The input is written once, so that dealing by row number is repeatable.  A
-    length above the capacity is an error; lengths are at least 1.
+    length above the capacity is an error; lengths are at least 1.  Wide columns named
+    ``aside`` do not go through the packing; they meet their places by a row number.
     """
+    if aside:
+        units = stored(pieces.withColumn("_unit", F.monotonically_increasing_id()), "pieces")
+        placed = pack(units.drop(*aside), capacity, group)
+        return units.select("_unit", *aside).join(placed, "_unit").select(*pieces.columns, "sequence_id", "offset")
     units = stored(pieces, "pieces")
     placed = stored(_packed_groups(units, capacity, group), "placed")
     filled = placed.groupBy("sequence_id").agg(F.sum("length").alias("length")).where(F.col("length") <= capacity // 2)
@@ -212,4 +217,4 @@ def pack(pieces: DataFrame, capacity: int = 2048, group: int = GROUP) -> DataFra
 
 def pack_documents(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0) -> DataFrame:
     """Token pieces of ``docs`` with their ids and places."""
-    return pack(token_pieces(docs, tokenizer, length=length, end_id=end_id), length)
+    return pack(token_pieces(docs, tokenizer, length=length, end_id=end_id), length, aside=("ids",))
