@@ -37,8 +37,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     what 99 of 100 recognised texts of that language reach (a language of which none
     is recognised has no limit).  Where nothing is labelled nothing is recognised."""
     rows, back = _aside(docs, "text", "lang")
-    judged = stored(identify(rows, learn_profiles(rows)), "judged")
-    limits = score_limits(judged)
+    judged = identify(rows, learn_profiles(rows))
+    limits = score_limits(judged.where("lang is not null"))  # texts are judged again below rather than stored
     least = F.coalesce(*[F.when(F.col("lang_pred") == name, limit) for name, limit in sorted(limits.items())], F.lit(0.0))
     return back(judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))
 
@@ -76,8 +76,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     nothing and have a rate like others; rows that share id and text are drawn alike."""
     rows, back = _aside(docs, "doc_id", "text")
     model = fit_domains(rows, labelled_domains(table(spark, sf_dir, "labels")))
-    judged = stored(with_posteriors(rows, model), "posteriors")
-    rated = with_rates(judged, fit_rates(judged.select("tokens", "posterior"), TARGETS, whole=True))
+    judged = with_posteriors(rows, model)  # texts are judged twice, their posteriors alone are stored
+    fit = fit_rates(stored(judged.select("tokens", "posterior"), "posteriors"), TARGETS, whole=True)
+    rated = with_rates(judged, fit)
     often = F.explode(F.array_repeat(F.lit(0), drawn_copies("rate", "doc_id", "text")))
     return back(rated.withColumn("_copy", often))
 
@@ -85,7 +86,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: every piece with its ids, sequence and place.  A null or empty text
     is the one id that ends it; copies are packed each by itself; other columns end here."""
-    return pack(token_pieces(docs.select("doc_id", "text"), tokenizer_file()))
+    return pack(token_pieces(docs.select("doc_id", "text"), tokenizer_file()), aside=("ids",))
 
 
 STAGES = [
