@@ -275,8 +275,9 @@ def tumbling_labels(
 ) -> DataFrame:
     """Labels of back-to-back windows from ``start`` while they end by ``end``.
 
-    Maximum (-1 if none) and count over the window, mean over the half-open
-    preceding hours [start - recent, start); no row at all without posts.
+    Maximum (-1 if none) and count over the window, mean level over the half-open
+    preceding hours [start - recent, start), posts without a level left out; no row at
+    all without posts.
     ``posts`` has ``published_at`` and ``valence``.
     """
     lo, hi = epoch_micros(start), epoch_micros(end)
@@ -286,6 +287,7 @@ def tumbling_labels(
     us = micros(F.col("published_at"))
     panes = posts.groupBy(pane_floor(us, step, lo).alias("pane")).agg(
         F.count("*").alias("n"),
+        F.count("valence").alias("labelled"),
         F.sum(F.col("valence").cast("long")).alias("s"),
         F.max("valence").alias("top"),
     )
@@ -303,7 +305,7 @@ def tumbling_labels(
         F.coalesce(F.max(F.when(current, F.col("top"))), F.lit(-1)).alias("v_max"),
         F.coalesce(F.sum(F.when(current, F.col("n"))), F.lit(0)).alias("n_posts"),
         F.sum(F.when(past, F.col("s"))).alias("s"),
-        F.coalesce(F.sum(F.when(past, F.col("n"))), F.lit(0)).alias("rn"),
+        F.coalesce(F.sum(F.when(past, F.col("labelled"))), F.lit(0)).alias("rn"),
     )
     return out.select(
         from_micros(F.col("ws"), dtype).alias("window_start"),

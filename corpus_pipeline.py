@@ -37,8 +37,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     what 99 of 100 recognised texts of that language reach (a language of which none
     is recognised has no limit).  Where nothing is labelled nothing is recognised."""
     rows, back = _aside(docs, "text", "lang")
-    judged = identify(rows, learn_profiles(rows))
-    limits = score_limits(judged.where("lang is not null"))  # texts are judged again below rather than stored
+    profiles = learn_profiles(rows)
+    limits = score_limits(identify(rows.where("lang is not null").select("text", "lang"), profiles))
+    judged = identify(rows, profiles)  # judged again rather than stored once more
     least = F.coalesce(*[F.when(F.col("lang_pred") == name, limit) for name, limit in sorted(limits.items())], F.lit(0.0))
     return back(judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))
 

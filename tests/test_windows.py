@@ -115,6 +115,13 @@ def test_tumbling_recent_excludes_the_start(spark):
     assert (row["v_max"], row["v_recent"], row["n_posts"]) == (6, 2.0, 1)
 
 
+def test_tumbling_mean_leaves_out_posts_without_a_level(spark):
+    t0 = datetime(2026, 1, 1, 12)
+    posts = spark.createDataFrame([(t0 - US, 4), (t0 - 2 * US, None), (t0, None)], "published_at timestamp_ntz, valence int")
+    row = WN.tumbling_labels(posts, t0, t0 + timedelta(hours=2)).first()
+    assert (row["v_max"], row["v_recent"], row["n_posts"]) == (-1, 4.0, 1)
+
+
 T = st.integers(0, 4000).map(lambda s: datetime(2026, 1, 1) + timedelta(seconds=37 * s))
 
 
