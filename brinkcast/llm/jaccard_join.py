@@ -17,9 +17,11 @@ never listed.
    held by a third of all rows leaves one row a task.
 4. *T-occurrence search* within groups: an inverted index of the group answers,
    for each set, which others hold at least T of its shingles.  The longest lists
-   are set aside (DivideSkip), the others merged by sorting, and those that occur
-   often enough are looked up in the long lists by binary search.  Counts are
-   exact, so is the decision.
+   are set aside (DivideSkip), the short ones merged with a heap.  A set that too
+   few short lists hold is passed over, with all up to the next set that could be
+   in enough of them; one that occurs often enough is looked up in the long lists
+   by binary search.  Counts are exact, so is the decision.  Within a group sets
+   already in one cluster are skipped in the lists as well.
 5. Groups above ``block_shingles`` are cut into blocks.  Every set is compared
    with a few members of the group; whoever is linked to the largest cluster so
    found needs no more, as its links within the cluster change nothing.  The rest
@@ -34,13 +36,18 @@ documents go to steps 3 to 5, with the same result.
 
 from __future__ import annotations
 
+import heapq
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brinkcast.llm.arrow import runs_of, slices
+from brinkcast.llm.arrow import bounded_batches, runs_of, slices
 from brinkcast.llm.components import connected_components
 from brinkcast.llm.hashing import WordHashes, run_hashes
 from brinkcast.llm.sketch import merged_sketch, sketch_bits
@@ -48,6 +55,8 @@ from brinkcast.llm.storage import broadcast_if_small, stored
 
 #: Words held as arrays at a time while sets go to the sketch.
 WORDS = 1_000_000
+#: Keys of texts that a task remembers before it starts afresh.
+KEPT_KEYS = 50_000
 #: DivideSkip's weight of a merged entry against a probe.
 MU = 0.0085
 PIVOTS = 8
@@ -68,17 +77,27 @@ def _key(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
-def _first_of_each(batch: pa.RecordBatch):
-    """Ids and words of a batch, equal texts once (the smallest id)."""
-    firsts: dict[bytes, tuple[int, bytes]] = {}
-    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        words = _words(text)
-        if words and doc is not None:
-            key = _key(words)
-            if key not in firsts or doc < firsts[key][0]:
-                firsts[key] = (doc, text)
-    for doc, text in firsts.values():  # words take far more memory than texts
-        yield doc, _words(text)
+class _Firsts:
+    """Ids and words of what a task reads, equal texts once, again only for a smaller id."""
+
+    def __init__(self):
+        self.least: dict[bytes, int] = {}
+
+    def of(self, batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+        firsts: dict[bytes, tuple[int, bytes]] = {}
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words = _words(text)
+            if words and doc is not None:
+                key = _key(words)
+                if key not in firsts or doc < firsts[key][0]:
+                    firsts[key] = (doc, text)
+        for key, (doc, text) in firsts.items():  # words take far more memory than texts
+            if key in self.least and self.least[key] <= doc:
+                continue
+            if len(self.least) >= KEPT_KEYS:
+                self.least.clear()
+            self.least[key] = doc
+            yield doc, _words(text)
 
 
 def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -108,25 +127,25 @@ def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: in
     """(doc_id, n, shingles) of the documents that may have a partner."""
 
     def shingles(batches):
-        hashes = WordHashes()
+        hashes, firsts = WordHashes(), _Firsts()
+        held, n = [], 0
         for batch in slices(batches, 1):
-            held, n = [], 0
-            for _, words in _first_of_each(batch):
+            for _, words in firsts.of(batch):
                 held.append(_set(words, hashes, k))
                 n += len(held[-1])
                 if n >= WORDS:
                     yield np.concatenate(held)
                     held, n = [], 0
-            if held:
-                yield np.concatenate(held)
+        if held:
+            yield np.concatenate(held)
 
     sketch = merged_sketch(docs, shingles, sketch_bits(total, 1.6, most_bits))
 
     def keep(batches):
-        hashes = WordHashes()
+        hashes, firsts = WordHashes(), _Firsts()
         for batch in slices(batches, 1):
             ids, sizes, sets = [], [], []
-            for doc, words in _first_of_each(batch):
+            for doc, words in firsts.of(batch):
                 s = _set(words, hashes, k)
                 if int(sketch.repeated(s).sum()) >= _needed(len(s), percent):
                     ids.append(doc)
@@ -144,10 +163,16 @@ def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int) -
     """Edges (a, b) that connect all sets which may be linked."""
 
     def shingles(batches):
+        held, n = [], 0
         for batch in batches:
-            held = [np.frombuffer(s, "<u8") for s in batch.column(2).to_pylist()]
-            if held:
-                yield np.concatenate(held)
+            for s in batch.column(2).to_pylist():
+                held.append(np.frombuffer(s, "<u8"))
+                n += len(held[-1])
+                if n >= WORDS:
+                    yield np.concatenate(held)
+                    held, n = [], 0
+        if held:
+            yield np.concatenate(held)
 
     counts = merged_sketch(sets, shingles, sketch_bits(total, 1.5, most_bits - 3), counts=True)
 
@@ -190,44 +215,80 @@ class InvertedIndex:
         self.sets = [sets[i] for i in order]
         self.tokens, token = np.unique(np.concatenate(self.sets), return_inverse=True)
         owner = np.repeat(np.arange(len(ids)), self.sizes)
-        #: One entry for each list and set in it: list number times sets, plus set number.
-        self.entries = np.sort(token.reshape(-1).astype(np.int64) * len(ids) + owner)
-        self.cuts = np.searchsorted(self.entries, np.arange(len(self.tokens) + 1) * len(ids))
+        entries = np.sort(token.reshape(-1).astype(np.int64) * len(ids) + owner)
+        self.cuts = np.searchsorted(entries, np.arange(len(self.tokens) + 1) * len(ids))
+        #: Numbers of the sets in each list, ascending, list after list.
+        self.owners = array("i", (entries % len(ids)).astype("<i4").tobytes())
 
     def partners(self, s: np.ndarray, percent: int, among: np.ndarray) -> np.ndarray:
         """Numbers of the sets linked with ``s``, of those that ``among`` marks."""
-        n, m = len(s), len(self.ids)
+        return np.fromiter(self.linked(s, percent, among), np.int64)
+
+    def linked(self, s: np.ndarray, percent: int, among: np.ndarray) -> Iterator[int]:
+        """As ``partners``, one by one in ascending order; what the caller takes out of
+        ``among`` meanwhile is passed over."""
+        n = len(s)
         lo = int(np.searchsorted(self.sizes, _needed(n, percent)))
         hi = int(np.searchsorted(self.sizes, n * 100 // percent, side="right"))
-        if lo >= hi or not among[lo:hi].any():
-            return np.empty(0, np.int64)
+        wanted = (np.flatnonzero(among[lo:hi]) + lo).tolist()
+        if not wanted:
+            return
         at = np.searchsorted(self.tokens, s)
         at = at[at < len(self.tokens)]
         lists = at[self.tokens[at] == s[: len(at)]]
-        required = -(-(n + int(self.sizes[lo])) * percent // (100 + percent))
+        required = -(-(n + int(self.sizes[wanted[0]])) * percent // (100 + percent))
         if len(lists) < required:
-            return np.empty(0, np.int64)
+            return
         lengths = self.cuts[lists + 1] - self.cuts[lists]
         lists = lists[np.argsort(lengths, kind="stable")]
-        longest = int(lengths.max())
-        aside = min(required - 1, int(required / (MU * np.log2(max(2, longest)) + 1)))
-        short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-        starts, stops = self.cuts[short], self.cuts[short + 1]
-        total = stops - starts
-        place = np.arange(int(total.sum())) - np.repeat(np.cumsum(total) - total, total) + np.repeat(starts, total)
-        merged = self.entries[place] - np.repeat(short * m, total)
-        seen = np.bincount(merged, minlength=m)
-        found = np.flatnonzero(seen >= max(1, required - aside))
-        found = found[(found >= lo) & (found < hi) & among[found]]
-        if not len(found):
-            return found
-        overlap = seen[found]
-        if len(long):
-            probe = (long[:, None] * m + found[None, :]).ravel()
-            hit = np.searchsorted(self.entries, probe)
-            hit = (hit < len(self.entries)) & (self.entries[np.minimum(hit, len(self.entries) - 1)] == probe)
-            overlap = overlap + hit.reshape(len(long), -1).sum(axis=0)
-        return found[(100 + percent) * overlap >= percent * (n + self.sizes[found])]
+        aside = min(required - 1, int(required / (MU * np.log2(max(2, int(lengths.max()))) + 1)))
+        spans = list(zip(self.cuts[lists].tolist(), self.cuts[lists + 1].tolist()))
+        short, long = spans[: len(lists) - aside], spans[len(lists) - aside :]
+        least = required - aside
+        owners, last = self.owners, wanted[-1]
+        heap: list[tuple[int, int, int]] = []
+
+        def move(span: tuple[int, int], to: int) -> None:
+            """Put a list back at its first set from ``to`` on."""
+            place = bisect_left(owners, to, *span)
+            if place < span[1] and owners[place] <= last:
+                heapq.heappush(heap, (owners[place], place, span[1]))
+
+        for span in short:
+            move(span, wanted[0])
+        while len(heap) >= least:  # what fewer lists hold is out
+            j = heap[0][0]
+            place = bisect_left(wanted, j)
+            if place == len(wanted):
+                return
+            if wanted[place] != j:  # nobody asks for j: all lists go on to the next set
+                while heap and heap[0][0] < wanted[place]:
+                    _, start, stop = heapq.heappop(heap)
+                    move((start, stop), wanted[place])
+                continue
+            popped = []
+            while heap and heap[0][0] == j:
+                popped.append(heapq.heappop(heap))
+            to = j + 1
+            if len(popped) < least:  # sets before the next top are in fewer lists than needed
+                while heap and len(popped) < least - 1:
+                    popped.append(heapq.heappop(heap))
+                to = max(to, heap[0][0]) if heap else last + 1
+            else:
+                size = int(self.sizes[j])
+                missing = -(-percent * (n + size) // (100 + percent)) - len(popped)
+                for k, (start, stop) in enumerate(long):
+                    if missing <= 0 or missing > len(long) - k:
+                        break
+                    place = bisect_left(owners, j, start, stop)
+                    missing -= place < stop and owners[place] == j
+                if missing <= 0:
+                    yield j
+                    wanted = (np.flatnonzero(among[j + 1 : hi]) + j + 1).tolist()
+                    if not wanted:
+                        return
+            for _, start, stop in popped:
+                move((start, stop), to)
 
 
 def _clusters_within(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -239,10 +300,10 @@ def _clusters_within(ids: list[int], sets: list[np.ndarray], percent: int) -> li
     for i, s in enumerate(index.sets):
         among = root != root[i]
         among[i:] = False  # the others look back at this one
-        for j in index.partners(s, percent, among):
-            if root[j] != root[i]:
-                root[root == root[j]] = root[i]
-                links.append((int(index.ids[i]), int(index.ids[j])))
+        for j in index.linked(s, percent, among):
+            root[root == root[j]] = root[i]
+            np.not_equal(root[:i], root[i], out=among[:i])
+            links.append((int(index.ids[i]), int(index.ids[j])))
     return links
 
 
@@ -325,6 +386,7 @@ def jaccard_components(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     signed = stored(signatures(rows, k), "signatures")

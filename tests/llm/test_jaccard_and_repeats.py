@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from brinkcast.llm.arrow import bounded_batches
 from brinkcast.llm.components import connected_components
 from brinkcast.llm.jaccard_join import InvertedIndex, jaccard_components
 from brinkcast.llm.sketch import merged_sketch
@@ -60,6 +61,39 @@ def test_rows_without_id_have_no_component(spark):
     assert got == [(3, 3), (4, 4), (None, None), (None, None)]
 
 
+@pytest.mark.parametrize("percent", [30, 75, 100])
+def test_merge_of_lists_passes_over_what_is_taken_out(percent):
+    for seed in range(25):
+        rnd = np.random.default_rng(seed)
+        base = rnd.integers(0, 60, rnd.integers(1, 60)).astype(np.uint64)
+        sets = [np.unique(np.concatenate([rnd.choice(base, rnd.integers(1, 60)), rnd.integers(0, 500, n).astype(np.uint64)])) for n in rnd.integers(0, 12, 30)]
+        index = InvertedIndex(list(range(30)), sets)
+        for i, s in enumerate(index.sets):
+            among = rnd.random(30) < 0.7
+            linked = [100 * len(np.intersect1d(s, t)) >= percent * len(np.union1d(s, t)) for t in index.sets]
+            assert index.partners(s, percent, among.copy()).tolist() == [j for j in range(30) if among[j] and linked[j]]
+            found = []
+            for j in index.linked(s, percent, among):  # every other one is no longer asked for
+                found.append(j)
+                among[j + 1 : j + 2] = False
+            assert all(linked[j] for j in found) and all(b - a > 1 for a, b in zip(found, found[1:]))
+
+
+def test_batches_are_bounded_but_a_lower_setting_stays(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for low in ("1000000", "900k", "2m"):
+            spark.conf.set(setting, low)
+            bounded_batches(spark)
+            assert spark.conf.get(setting) == low
+        spark.conf.set(setting, "8mb")
+        bounded_batches(spark)
+        assert spark.conf.get(setting) == "4000000"
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_inverted_index_finds_what_comparison_finds():
     rnd = np.random.default_rng(1)
     base = rnd.integers(0, 300, 80).astype(np.uint64)
