@@ -10,6 +10,7 @@ from brinkcast.catalog.scoring import BY, CUMULATIVE, scored_of, split_of
 from brinkcast.functions import text
 from brinkcast.functions.scores import PROB_COLUMNS
 from brinkcast.functions.times import time_literal
+from brinkcast.operators import aliases
 from brinkcast.operators import baselines as B
 from brinkcast.operators import diagnostics as X
 from brinkcast.operators import drift as D
@@ -288,6 +289,31 @@ def _(spark, d):
     return FM.entity_pairs(_naming(spark, d), spine_of(spark, d))
 
 
+_TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+
+
+@case(
+    "x08_alias_mentions",
+    """select entity, count(*)::bigint as mentions, count(distinct doc_id) as posts from alias_hits h
+       where not exists (select 1 from alias_hits o where o.doc_id = h.doc_id and o.n > h.n
+         and o.start <= h.start and o.start + o.n >= h.start + h.n) group by entity""",
+    named_words=f"select item_id as entity, unnest([w[1:2], w[1:4]]) as words from (select item_id, {_TOKENS} as w from benchmark)",
+    named="select distinct entity, len(words)::int as n, array_to_string(words, ' ') as gram from named_words where len(words) > 0",
+    doc_words=f"select doc_id, {_TOKENS} as w from documents",
+    doc_grams="""select doc_id, n, start::int as start, array_to_string(w[start:start + n - 1], ' ') as gram from (
+        select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as start from doc_words, (select distinct n from named) l)""",
+    alias_hits="select doc_id, start, n, entity from doc_grams join named using (n, gram)",
+)
+def _(spark, d):
+    """Passages by their first two or four words: the alias table comes out of ``benchmark``."""
+    words = aliases.tokens(F.col("text"))
+    listed = given(spark, d, "benchmark").select(
+        F.col("item_id").alias("entity"),
+        F.explode(F.array(*[F.array_join(F.slice(words, 1, n), " ") for n in (2, 4)])).alias("alias"),
+    )
+    return aliases.alias_mentions(given(spark, d, "documents"), listed, "doc_id", "text")
+
+
 _ROLL = {
     "day_scored": """select model_version, t.target, t.prob, t.label, window_end::date as day from (
         select p.model_version, window_end, unnest([

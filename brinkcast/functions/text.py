@@ -105,26 +105,36 @@ def segments(text: Column, sep: str = "\n\n", max_chars: int = 1200) -> Column:
     """
     pieces = F.split(text, _literal_regex(sep), -1)
     paragraphs = F.filter(F.transform(pieces, strip), lambda p: p != "")
-    state = F.struct(
-        F.array().cast("array<string>").alias("done"),
-        F.lit(None).cast("string").alias("buf"),
-        F.lit(0).alias("size"),
-    )
+    # A lambda's variable holds what would be computed again at each use.  The fold
+    # carries numbers only; text is copied once, when its chunk is put together.
+    return F.transform(F.array(paragraphs), lambda held: _joined(held, _borders(held, max_chars)))[0]
+
+
+def _borders(paragraphs: Column, max_chars: int) -> Column:
+    """Number (from 1) of the first paragraph of each chunk, then of one past the last."""
+    state = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(1).alias("at"), F.lit(0).alias("size"))
 
     def take(acc: Column, p: Column) -> Column:
-        full = acc["buf"].isNotNull() & (acc["size"] + F.length(p) > max_chars)
+        begins = (acc["at"] == 1) | (acc["size"] + F.length(p) > max_chars)
         return F.struct(
-            F.when(full, F.array_append(acc["done"], acc["buf"])).otherwise(acc["done"]).alias("done"),
-            F.when(full | acc["buf"].isNull(), p)
-            .otherwise(F.concat(acc["buf"], F.lit("\n\n"), p))
-            .alias("buf"),
-            F.when(full, F.length(p)).otherwise(acc["size"] + F.length(p) + 2).alias("size"),
+            F.when(begins, F.array_append(acc["starts"], acc["at"])).otherwise(acc["starts"]).alias("starts"),
+            (acc["at"] + 1).alias("at"),
+            F.when(begins & (acc["at"] > 1), F.length(p)).otherwise(acc["size"] + F.length(p) + 2).alias("size"),
         )
 
-    def close(acc: Column) -> Column:
-        return F.when(acc["buf"].isNull(), acc["done"]).otherwise(F.array_append(acc["done"], acc["buf"]))
+    return F.aggregate(paragraphs, state, take, lambda acc: F.array_append(acc["starts"], acc["at"]))
+
+
+def _joined(paragraphs: Column, borders: Column) -> Column:
+    """Paragraphs from each border up to the next, as one text."""
+
+    def chunks(ends: Column) -> Column:
+        starts = F.slice(ends, 1, F.size(ends) - 1)
+        return F.transform(
+            starts, lambda start, i: F.array_join(F.slice(paragraphs, start, F.element_at(ends, i + 2) - start), "\n\n")
+        )
 
-    return F.aggregate(paragraphs, state, take, close)
+    return F.transform(F.array(borders), chunks)[0]
 
 
 def segment_documents(

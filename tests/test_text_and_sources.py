@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from brinkcast.functions import text as TX
 from brinkcast.functions import times as TM
+from brinkcast.functions.text import segments
+from brinkcast.operators.aliases import alias_matches, alias_mentions
 from brinkcast.sources import feeds, files
 from brinkcast.sources.months import backfill_months, month_spine
 
@@ -200,3 +202,35 @@ def test_atom_entries(spark, tmp_path):
         ("http://only", None, "short", "http://only"),
         ("u1", "Ann", "body", "http://l"),
     ]
+
+
+def _chunks_by_hand(text, sep, budget):
+    done, held, size = [], [], 0
+    for p in [p.strip() for p in text.split(sep)]:
+        if p and held and size + len(p) > budget:
+            done, held, size = [*done, "\n\n".join(held)], [p], len(p)
+        elif p:
+            held, size = [*held, p], size + len(p) + 2
+    return done + (["\n\n".join(held)] if held else [])
+
+
+def test_segments_equal_packing_by_hand_also_for_a_long_text(spark):
+    texts = ["", "a", " \n\n \n\n", "x" * 50 + "\n\n" + "y" * 50 + "\n\nz", "\n\n".join("w" * (i % 17) for i in range(60)), "word word\n\n" * 100_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "id int, t string")
+    for budget in (1, 20, 1200):
+        rows = df if budget == 1200 else df.where("id <> 5")  # as many chunks as paragraphs take long
+        got = {r.id: r.s for r in rows.select("id", segments(F.col("t"), "\n\n", budget).alias("s")).collect()}
+        want = {i: _chunks_by_hand(t, "\n\n", budget) for i, t in enumerate(texts)} | {6: None}
+        assert got == {i: want[i] for i in got} and len(got) == rows.count()
+
+
+def test_aliases_are_whole_words_and_the_longest_wins(spark):
+    rows = [(1, "Money, one New York Times; new york"), (2, None), (3, ""), (None, "one"), (4, "one One")]
+    posts = spark.createDataFrame(rows, "id long, clean_text string")
+    listed = [("city", "New York"), ("paper", "new york times"), ("times", "Times"), ("1", "one"), ("uno", "ONE"), ("1", "One"), ("x", None), ("y", "?")]
+    aliases = spark.createDataFrame(listed, "entity string, alias string")
+    got = sorted(tuple(r) for r in alias_matches(posts, aliases, "id").collect())
+    assert got == [(1, "1", 2, 1), (1, "city", 6, 2), (1, "paper", 3, 3), (1, "uno", 2, 1), (4, "1", 1, 1), (4, "1", 2, 1), (4, "uno", 1, 1), (4, "uno", 2, 1)]
+    assert sorted(tuple(r) for r in alias_mentions(posts, aliases, "id").where("entity = '1'").collect()) == [("1", 3, 2)]
+    assert alias_matches(posts, aliases.limit(0), "id").count() == 0
+    assert alias_matches(posts.limit(0), aliases, "id").count() == 0
