@@ -420,10 +420,11 @@ _STRIP = (
     r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
     r"'(?is)<script[^>]*>.*?</script\s*>', '', 'g'), '(?is)<style[^>]*>.*?</style\s*>', '', 'g'), '<[^>]*>', chr(10), 'g')"
 )
-# Every name of a Latin-1 character, one replacement each, the ampersand last.
-for _e, _c in sorted(name2codepoint.items(), key=lambda x: x[0] == "amp"):
+# Every name of a Latin-1 character with or without semicolon, one replacement each,
+# longer names first, the ampersand last.
+for _e, _c in sorted(name2codepoint.items(), key=lambda x: (x[0] == "amp", -len(x[0]))):
     if _c < 256:
-        _STRIP = f"replace({_STRIP}, '&{_e};', chr({_c}))"
+        _STRIP = f"regexp_replace({_STRIP}, '&{_e};?', chr({_c}), 'g')"
 
 
 @case("p01_strip_html", f"select page_id, {_STRIP} as body from pages")

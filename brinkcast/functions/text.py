@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
@@ -15,8 +16,14 @@ WHITESPACE = f"[ {_OTHER}]"
 # the look-ahead passes over printable ASCII quickly.
 UNEVEN = f"(?![!-~])(?:[{_OTHER}]{WHITESPACE}*| {WHITESPACE}+)"
 
+# Names that pages may also write without a semicolon, longest first.
+_BARE = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name)))
 # A character reference by number or by name.
-REFERENCE = r"&(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+REFERENCE = (
+    r"&(#[0-9]{1,8}(?![0-9]);?|#[xX][0-9a-fA-F]{1,7}(?![0-9a-fA-F]);?|[A-Za-z][A-Za-z0-9]*;|(?:" + _BARE + "))"
+)
+# Names that make up most references of pages; they are looked up first.
+_COMMON = ("amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "mdash", "ndash", "rsquo", "lsquo", "hellip")
 # What numbers 128 to 159 stand for in pages (windows-1252); the
 # five that it leaves open stay as they are.
 WINDOWS = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
@@ -32,16 +39,27 @@ def _character(code: Column) -> Column:
 
 def decode_references(text: Column) -> Column:
     """Character references of HTML, by number or by any of its names, become
-    characters; unknown names stay.  Each reference is read once, so ``&amp;lt;``
-    gives ``&lt;``."""
-    named = "\x02".join(f"{name[:-1]}\x01{char}" for name, char in html5.items() if name.endswith(";"))
-    names = F.str_to_map(F.lit(named), F.lit("\x02"), F.lit("\x01"))
+    characters; unknown names stay.  Numbers and the names of old need no semicolon:
+    the longest such name that a text goes on with counts.  Each reference is read
+    once, so ``&amp;lt;`` gives ``&lt;``."""
+
+    def table(listed: Iterable[str]) -> Column:
+        entries = "\x02".join(f"{name}\x01{html5[name + ';']}" for name in listed)
+        return F.str_to_map(F.lit(entries), F.lit("\x02"), F.lit("\x01"))
+
+    common, names = table(_COMMON), table(name[:-1] for name in html5 if name.endswith(";"))
+
+    def named(name: Column) -> Column:
+        return F.coalesce(F.try_element_at(common, name), F.try_element_at(names, name))
 
     def decoded(ref: Column) -> Column:
-        hexadecimal = F.conv(F.substring(ref, 3, 8), 16, 10).cast("long")
-        code = F.when(ref.rlike("^#[xX]"), hexadecimal).otherwise(F.substring(ref, 2, 9).try_cast("long"))
+        name = F.rtrim(ref, F.lit(";"))
+        hexadecimal = F.conv(F.substring(name, 3, 8), 16, 10).cast("long")
+        code = F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(F.substring(name, 2, 9).try_cast("long"))
+        bare = F.regexp_extract(ref, f"^({_BARE})", 1)  # of a longer, unknown name
+        opened = F.when(bare != "", F.concat(named(bare), F.right(ref, F.length(ref) - F.length(bare))))
         return F.when(ref.startswith("#"), _character(code)).otherwise(
-            F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";")))
+            F.coalesce(named(name), opened, F.concat(F.lit("&"), ref))
         )
 
     pieces = F.zip_with(
