@@ -8,36 +8,28 @@ from typing import Any
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brinkcast.functions.scores import clip
+from brinkcast.functions.keys import feature_hash
+from brinkcast.functions.scores import PROB_COLUMNS
 from brinkcast.operators.baselines import chrono_holdout
+from brinkcast.operators.isotonic import isotonic_blocks, with_isotonic
 from brinkcast.operators.metrics import average_precision, brier_score
+from brinkcast.operators.ordered import stored
 from brinkcast.session import ensure_checkpoint_dir
 
+_ABOUT = "k int, features array<string>, report map<string,double>"
 
-def fit_isotonic(df: DataFrame, prob: str = "prob", label: str = "label") -> IsotonicRegressionModel:
-    """Monotone map from raw to calibrated probability.
 
-    Equal scores are pooled with their weight first: the same fit on one row per
-    distinct score.
-    """
-    pooled = df.groupBy(F.col(prob).cast("double").alias("p")).agg(
-        F.avg(F.col(label).cast("double")).alias("y"), F.count("*").cast("double").alias("w")
-    )
-    return IsotonicRegression(
-        featuresCol="p", labelCol="y", weightCol="w", predictionCol="fitted"
-    ).fit(pooled)
+def fit_isotonic(df: DataFrame, prob: str = "prob", label: str = "label") -> DataFrame:
+    """Monotone map from raw to calibrated probability, as blocks of equal value."""
+    return isotonic_blocks(df, prob, label)
 
 
-def apply_isotonic(
-    model: IsotonicRegressionModel, df: DataFrame, prob: str = "prob", name: str = "calibrated"
-) -> DataFrame:
+def apply_isotonic(model: DataFrame, df: DataFrame, prob: str = "prob", name: str = "calibrated") -> DataFrame:
     """Calibrated probability; scores outside the fitted range take the end value."""
-    out = model.transform(df.withColumn("p", F.col(prob).cast("double")))
-    return out.withColumn(name, clip(F.col("fitted"), 0.0, 1.0)).drop("p", "fitted")
+    return with_isotonic(model, df, prob, name)
 
 
 @dataclass
@@ -47,21 +39,29 @@ class ThresholdModel:
     k: int
     features: list[str]
     trees: GBTClassificationModel
-    isotonic: IsotonicRegressionModel
+    isotonic: DataFrame
     report: dict[str, float]
 
     def save(self, path: str) -> None:
+        """Trees, calibration, and one line of JSON with what else the model is."""
         self.trees.write().overwrite().save(f"{path}/trees")
-        self.isotonic.write().overwrite().save(f"{path}/isotonic")
+        self.isotonic.write.mode("overwrite").parquet(f"{path}/isotonic")
+        about = self.isotonic.sparkSession.createDataFrame([(self.k, self.features, self.report)], _ABOUT)
+        about.coalesce(1).write.mode("overwrite").json(f"{path}/about")
 
 
-def load_threshold_model(path: str, k: int, features: list[str]) -> ThresholdModel:
+def load_threshold_model(path: str, k: int | None = None, features: list[str] | None = None) -> ThresholdModel:
+    """A saved model; ``k`` or ``features``, where given, must be those it was saved with."""
+    spark = SparkSession.active()
+    about = spark.read.schema(_ABOUT).json(f"{path}/about").first()
+    if k not in (None, about["k"]) or (features is not None and list(features) != about["features"]):
+        raise ValueError(f"the model at {path} is for level {about['k']} and features {about['features']}")
     return ThresholdModel(
-        k,
-        features,
+        about["k"],
+        about["features"],
         GBTClassificationModel.load(f"{path}/trees"),
-        IsotonicRegressionModel.load(f"{path}/isotonic"),
-        {},
+        spark.read.parquet(f"{path}/isotonic"),
+        about["report"],
     )
 
 
@@ -111,7 +111,7 @@ def train_threshold(
         seed=seed,
         **params,
     ).fit(assembled.select("_features", "label"))
-    scored = _raw_scores(fitted, features, held)
+    scored = stored(_raw_scores(fitted, features, held))  # fitted on, judged on
     fit_part = score_part = scored
     if calibration_share is not None:
         parts = chrono_holdout(scored, "window_start", ["window_end"], 1.0 - calibration_share)
@@ -128,3 +128,33 @@ def score_model(model: ThresholdModel, df: DataFrame) -> DataFrame:
     """Calibrated probability per window in ``c2_<k>_prob``."""
     out = apply_isotonic(model.isotonic, _raw_scores(model.trees, model.features, df))
     return out.withColumnRenamed("calibrated", f"c2_{model.k}_prob").drop("prob")
+
+
+def model_prediction_rows(
+    model: ThresholdModel,
+    df: DataFrame,
+    model_version: str,
+    feature_set_version: str,
+    made_at: Column | None = None,
+) -> DataFrame:
+    """Scores as forecast rows of the predictions table, ready to be stored and scored.
+
+    ``df`` has the window and the model's features.  Only the column of the model's own
+    threshold is filled; the payload keeps features and probability.  ``made_at``: by
+    default the window's start.
+    """
+    name = f"c2_{model.k}_prob"
+    payload = F.struct(
+        F.struct(*model.features).alias("features"), F.struct(F.col(name)).alias("probs")
+    )
+    return score_model(model, df).select(
+        (F.col("window_start") if made_at is None else made_at).alias("made_at"),
+        "window_start",
+        "window_end",
+        F.lit(model_version).alias("model_version"),
+        F.lit(feature_set_version).alias("feature_set_version"),
+        feature_hash(F.col("window_start"), tuple(model.features)).alias("feature_hash"),
+        F.lit(None).cast("double").alias("c1_value"),
+        *[(F.col(c) if c == name else F.lit(None).cast("double")).alias(c) for c in PROB_COLUMNS],
+        F.to_json(payload).alias("payload"),
+    )
