@@ -46,7 +46,8 @@ class ThresholdModel:
         """Trees, calibration, and one line of JSON with what else the model is."""
         self.trees.write().overwrite().save(f"{path}/trees")
         self.isotonic.write.mode("overwrite").parquet(f"{path}/isotonic")
-        about = self.isotonic.sparkSession.createDataFrame([(self.k, self.features, self.report)], _ABOUT)
+        report = {name: None if v is None else float(v) for name, v in self.report.items()}
+        about = self.isotonic.sparkSession.createDataFrame([(self.k, self.features, report)], _ABOUT)
         about.coalesce(1).write.mode("overwrite").json(f"{path}/about")
 
 
