@@ -28,7 +28,9 @@ from brinkcast.operators import windows as WN
 from brinkcast.operators import writes as W
 from brinkcast.session import ensure_checkpoint_dir
 from brinkcast.sources import feeds, files
+from brinkcast.sources.keyindex import KeyIndex
 from brinkcast.sources.months import backfill_months
+from brinkcast.sources.tables import RAW_KEY, TableStore
 
 
 def scratch(spark, name: str) -> str:
@@ -70,6 +72,24 @@ def _(spark, d):
     return new_raw_of(spark, d)
 
 
+@case(
+    "w02_key_index",
+    """select raw_item_id::varchar as raw_item_id, source_id::varchar as source_id, external_id, captured_at from new_raw""",
+    new_raw=_NEW_RAW,
+)
+def _(spark, d):
+    """The same through a store: both loads come as batches, the second one twice."""
+    store = TableStore(spark, scratch(spark, "keys"))
+    index = KeyIndex(store, "raw_items", RAW_KEY)
+    before = table(spark, d, "raw_existing")
+    for batch in (before, table(spark, d, "raw_incoming"), table(spark, d, "raw_incoming")):
+        index.append_new(batch, ["captured_at", "raw_item_id"])
+    known = before.select(F.col("raw_item_id").cast("string").alias("raw_item_id"))
+    return store.read("raw_items").join(known, "raw_item_id", "left_anti").select(
+        "raw_item_id", "source_id", "external_id", F.col("captured_at").cast("timestamp_ntz").alias("captured_at")
+    )
+
+
 @case(
     "w03_upsert_items",
     """select item_id, raw_item_id, clean_text from items join new_raw using (raw_item_id)""",

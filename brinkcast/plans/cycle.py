@@ -18,11 +18,10 @@ from brinkcast.operators.writes import (
     insert_absent,
     new_outcomes,
     new_predictions,
-    new_raw_items,
     raw_item_rows,
-    upsert_items,
 )
-from brinkcast.sources.tables import TableStore
+from brinkcast.sources.keyindex import KeyIndex
+from brinkcast.sources.tables import RAW_KEY, TableStore
 
 
 def utc(t: datetime | str) -> datetime:
@@ -52,7 +51,7 @@ def ingest(store: TableStore, payload: DataFrame, now: datetime, kind: str = "rs
     store.append("sources", insert_absent(store.read("sources"), sources, ["name"], ["source_id"]))
     # The id follows from the name, so raw rows need no join to the sources.
     raw = raw_item_rows(payload, stable_id(F.col("source")), time_literal(now, "timestamp"))
-    n_raw = store.append("raw_items", new_raw_items(store.read("raw_items"), raw))
+    n_raw = KeyIndex(store, "raw_items", RAW_KEY).append_new(raw, ["published_at", "raw_item_id"])
     lo = raw.agg(F.min(micros(F.col("published_at")))).first()[0]
     # Items are made from the raw rows that were stored, so that both come from the
     # same copy of a post.
@@ -68,7 +67,7 @@ def ingest(store: TableStore, payload: DataFrame, now: datetime, kind: str = "rs
         clean.alias("clean_text"),
         token_count(clean).alias("token_count"),
     )
-    n_items = store.append("items", upsert_items(store.read("items"), items))
+    n_items = KeyIndex(store, "items", ["raw_item_id"]).append_new(items, ["raw_item_id"])
     return {"new_raw": n_raw, "new_items": n_items}
 
 

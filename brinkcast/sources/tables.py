@@ -23,6 +23,9 @@ TABLES = {
     "confidence double",
 }
 
+# What makes a raw row the same post again.
+RAW_KEY = ["source_id", "external_id"]
+
 # Time column whose date partitions the table, so that trailing windows prune.
 PARTITION_TIME = {
     "raw_items": "published_at",

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brinkcast.functions.times import from_epoch, micros
-from brinkcast.operators.writes import new_raw_items
 from brinkcast.plans.cycle import run_tick
-from brinkcast.sources.tables import TableStore
+from brinkcast.sources.keyindex import KeyIndex
+from brinkcast.sources.tables import RAW_KEY, TableStore
 
 
 def drop_repeats(payload: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -30,14 +30,13 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Append new raw rows of a stream to the store.
 
-    The stream state drops recent repeats; the anti-join against the table drops
-    older ones and makes a repeated micro-batch harmless.
+    The stream state drops recent repeats; the key index drops older ones and makes a
+    repeated micro-batch harmless, without a look at the posts stored before.
     """
+    index = KeyIndex(store, "raw_items", RAW_KEY)
 
     def write(batch: DataFrame, _: int) -> None:
-        batch = batch.persist()  # read twice, and the state must not be
-        store.append("raw_items", new_raw_items(store.read("raw_items"), batch))
-        batch.unpersist()
+        index.append_new(batch, ["published_at", "raw_item_id"])
 
     return (
         drop_repeats(raw, delay)
