@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,6 +13,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: What operators keep in a worker process between their tasks: {operator: {key: value}}.
+_KEPT: dict[str, dict] = {}
+
+
+def begin(operator: str) -> None:
+    """Start of a task: a worker process serves the tasks of many operators in turn, so
+    what others kept in it goes, and memory that is free returns to the machine."""
+    for other in set(_KEPT) - {operator}:
+        del _KEPT[other]
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def kept(operator: str, key: str, make: Callable[[], object]):
+    """``make()``, once a worker process as long as only tasks of ``operator`` run there."""
+    mine = _KEPT.setdefault(operator, {})
+    if key not in mine:
+        mine[key] = make()
+    return mine[key]
+
+
 def chunks(batch: pa.RecordBatch, sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of ``batch`` whose ``sizes`` add up to about ``most``; a larger
     row has a range of its own."""

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brinkcast.llm.arrow import bounded_batches, runs_of, slices
+from brinkcast.llm.arrow import begin, bounded_batches, runs_of, slices
 from brinkcast.llm.components import connected_components
 from brinkcast.llm.hashing import WordHashes, run_hashes
 from brinkcast.llm.sketch import merged_sketch, sketch_bits
@@ -104,6 +104,7 @@ def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
     """(doc_id, key, n_shingles) of every row; key null without words."""
 
     def sign(batches):
+        begin("jaccard_join")
         hashes = WordHashes()
         for batch in slices(batches, 1):
             keys, sizes = [], []
@@ -127,6 +128,7 @@ def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: in
     """(doc_id, n, shingles) of the documents that may have a partner."""
 
     def shingles(batches):
+        begin("jaccard_join")
         hashes, firsts = WordHashes(), _Firsts()
         held, n = [], 0
         for batch in slices(batches, 1):
@@ -142,6 +144,7 @@ def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: in
     sketch = merged_sketch(docs, shingles, sketch_bits(total, 1.6, most_bits))
 
     def keep(batches):
+        begin("jaccard_join")
         hashes, firsts = WordHashes(), _Firsts()
         for batch in slices(batches, 1):
             ids, sizes, sets = [], [], []
@@ -163,6 +166,7 @@ def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int) -
     """Edges (a, b) that connect all sets which may be linked."""
 
     def shingles(batches):
+        begin("jaccard_join")
         held, n = [], 0
         for batch in batches:
             for s in batch.column(2).to_pylist():
@@ -177,6 +181,7 @@ def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int) -
     counts = merged_sketch(sets, shingles, sketch_bits(total, 1.5, most_bits - 3), counts=True)
 
     def tie(batches):
+        begin("jaccard_join")
         holder: dict[int, int] = {}
         ties: set[tuple[int, int]] = set()
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brinkcast.llm.arrow import chunks, with_columns_schema
+from brinkcast.llm.arrow import begin, chunks, with_columns_schema
 
 UNKNOWN = "und"
 #: Characters that are held as arrays at a time, trigrams that are bound at a time.
@@ -142,6 +142,7 @@ def learn_profiles(
     """
 
     def bundle(batches):
+        begin("language_id")
         encoder = Encoder(dims, seed)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -181,6 +182,7 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
     names, seed, dims = profiles.langs, profiles.seed, profiles.vectors.shape[1]
 
     def judge(batches):
+        begin("language_id")
         encoder = Encoder(dims, seed)
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]

@@ -44,6 +44,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brinkcast.llm.arrow import begin
 from brinkcast.llm.hashing import WordHashes
 from brinkcast.llm.storage import stored
 
@@ -117,6 +118,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, text: str = "text", labelled
         return Vectors.sparse(size, at, [1.0] * len(buckets) + list(shape))
 
     def features(batches):
+        begin("mixing")
         made = Featurizer()
         for batch in batches:
             _, found, shape = zip(*map(made.of, batch.column(0).to_pylist())) if batch.num_rows else ((), (), ())

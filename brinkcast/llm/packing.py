@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brinkcast.llm.arrow import with_columns_schema
+from brinkcast.llm.arrow import begin, kept, with_columns_schema
 from brinkcast.llm.storage import stored
 
 #: Word pieces a worker remembers, texts it looks up at a time.
@@ -100,15 +100,10 @@ class PieceIds(dict):
         return out
 
 
-_KNOWN: dict[str, PieceIds] = {}
-
-
 def piece_ids(tokenizer: str) -> PieceIds:
-    """The ids of a tokenizer file, kept while a worker process lives."""
-    if tokenizer not in _KNOWN:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        _KNOWN[tokenizer] = PieceIds(tokenizer)
-    return _KNOWN[tokenizer]
+    """The ids of a tokenizer file, kept by a worker process until it serves another operator."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return kept("packing", tokenizer, lambda: PieceIds(tokenizer))
 
 
 def token_pieces(
@@ -119,6 +114,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
+        begin("packing")
         encode = piece_ids(tokenizer)
         for batch in batches:
             for lo in range(0, batch.num_rows, TEXTS):

@@ -122,3 +122,21 @@ def test_packing_nulls_repeats_and_nothing(spark):
     assert {r.sequence_id for r in packed}.__len__() == 1 and sorted(r.offset for r in packed) == [0, 3, 6]
     assert {r.c for r in packed if r.doc_id is None} == {zlib.crc32(bytes(4))}
     assert pack_documents(df.limit(0), tokenizer_file()).count() == 0
+
+
+def test_a_worker_forgets_what_other_operators_kept():
+    from brinkcast.llm.arrow import begin, kept
+
+    made = []
+
+    def make():
+        made.append(1)
+        return len(made)
+
+    begin("a")
+    assert [kept("a", "x", make), kept("a", "x", make), kept("a", "y", make)] == [1, 1, 2]
+    begin("a")
+    assert kept("a", "x", make) == 1
+    begin("b")
+    begin("a")
+    assert kept("a", "x", make) == 3
