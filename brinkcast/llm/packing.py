@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from pyspark.sql import types as T
 from brinkcast.llm.arrow import begin, kept, with_columns_schema
 from brinkcast.llm.storage import stored
 
-#: Word pieces a worker remembers, texts it looks up at a time.
-KEPT_PIECES, TEXTS = 600_000, 500
+#: Word pieces a worker remembers, texts it cuts and pieces it looks up at a time.
+KEPT_PIECES, TEXTS, LOOKUPS = 600_000, 100, 1_000
 #: Pieces that one task packs.
 GROUP = 50_000
 
@@ -42,13 +43,14 @@ class PieceIds(dict):
     """Byte-level BPE by word piece: ids (little-endian, 32 bits) of each piece.
 
     A merge never crosses the border of two pieces, so a text's ids are those of
-    its pieces; frequent ones are remembered.  Texts with other characters than
+    its pieces; about ``most`` are remembered.  Texts with other characters than
     ``PLAIN``, or with the name of a special token, go through the tokenizer whole.
     """
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, most: int = KEPT_PIECES):
         from tokenizers import Tokenizer
 
+        self.most = most
         self.whole = Tokenizer.from_file(tokenizer)
         self.split = re.compile(PIECES).findall
         self.plain = re.compile(PLAIN).fullmatch
@@ -77,8 +79,11 @@ class PieceIds(dict):
     def _joined(self, texts: list[str]) -> list[bytes]:
         cut = [self.split(t) for t in texts]
         new = list({p for pieces in cut for p in pieces if p not in self})
-        ids = [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(new, add_special_tokens=False)]
-        if len(self) < KEPT_PIECES:
+        ids = []
+        for lo in range(0, len(new), LOOKUPS):  # an encoding takes far more memory than its ids
+            found = self.whole.encode_batch_fast(new[lo : lo + LOOKUPS], add_special_tokens=False)
+            ids += [struct.pack(f"<{len(e)}I", *e.ids) for e in found]
+        if len(self) < self.most:
             self.update(zip(new, ids))
         else:
             self.rare = dict(zip(new, ids))
@@ -100,22 +105,29 @@ class PieceIds(dict):
         return out
 
 
-def piece_ids(tokenizer: str) -> PieceIds:
+def piece_ids(tokenizer: str, most: int) -> PieceIds:
     """The ids of a tokenizer file, kept by a worker process until it serves another operator."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return kept("packing", tokenizer, lambda: PieceIds(tokenizer))
+    return kept("packing", f"{most} {tokenizer}", lambda: PieceIds(tokenizer, most))
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", length: int = 2048, end_id: int = 0
+    docs: DataFrame,
+    tokenizer: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    length: int = 2048,
+    end_id: int = 0,
+    most: int = KEPT_PIECES,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids) of all documents; ``tokenizer`` is a file
-    that every executor has."""
+    that every executor has.  ``most`` word pieces (some 250 bytes each) are remembered by
+    a worker; fewer cost time, not results."""
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
         begin("packing")
-        encode = piece_ids(tokenizer)
+        encode = piece_ids(tokenizer, most)
         for batch in batches:
             for lo in range(0, batch.num_rows, TEXTS):
                 docs_, texts = (c.to_pylist() for c in batch.slice(lo, TEXTS).columns)
