@@ -91,7 +91,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: every piece with its ids, sequence and place.  A null or empty text
     is the one id that ends it; copies are packed each by itself; other columns end here."""
     bounded_batches(spark)
-    return pack(token_pieces(docs.select("doc_id", "text"), tokenizer_file()), aside=("ids",))
+    return pack(token_pieces(docs.select("doc_id", "text"), tokenizer_file(), most=150_000), aside=("ids",))
 
 
 STAGES = [
