@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from brinkcast.catalog.bridge import given, table
@@ -9,7 +11,7 @@ from brinkcast.catalog.core import case, panes_of, posts_of, predictions_from, r
 from brinkcast.catalog.scoring import BY, CUMULATIVE, scored_of, split_of
 from brinkcast.functions import text
 from brinkcast.functions.scores import PROB_COLUMNS
-from brinkcast.functions.times import time_literal
+from brinkcast.functions.times import grid_spine, time_literal
 from brinkcast.operators import aliases
 from brinkcast.operators import baselines as B
 from brinkcast.operators import diagnostics as X
@@ -18,6 +20,8 @@ from brinkcast.operators import families as FM
 from brinkcast.operators import metrics as M
 from brinkcast.operators import predictions as P
 from brinkcast.operators import windows as WN
+from brinkcast.operators.annotations import items_with_latest
+from brinkcast.operators.ordered import stored
 from brinkcast.plans import backtest as BT
 
 
@@ -467,8 +471,6 @@ def _(spark, d):
 
 
 def _as_of(spark, d, h: str):
-    from brinkcast.functions.times import grid_spine
-
     t = lambda n: table(spark, d, n)
     return FM.features_as_of(t("raw_items"), t("items"), t("sources"), t("annotations"), h, grid_spine(spark, h, h))
 
@@ -493,7 +495,60 @@ def _(spark, d):
     return r9(_as_of(spark, d, "2024-01-20 12:00:00"), "eco_mean_6h", "primary_mean_24h")
 
 
+def _moment(spark, d):
+    """Noon, ten days before the last post."""
+    last = given(spark, d, "events").agg(F.date_format(F.max("ts"), "yyyy-MM-dd")).first()[0]
+    return datetime.fromisoformat(last) - timedelta(days=9, hours=12)
+
+
+def _then_and_now(spark, d):
+    """Features of the day before a moment, as stored from tables that held only what was
+    known then; the full tables, with later captures and labels; the moment; the day."""
+    h = _moment(spark, d)
+    day = grid_spine(spark, h - timedelta(days=1), h)
+    raw, items, sources, ann = (table(spark, d, n) for n in ("raw_items", "items", "sources", "annotations"))
+    at = time_literal(h)
+    raw_then = stored(raw.where(F.col("captured_at") <= at))
+    ann_then = stored(ann.where(F.col("annotated_at") <= at))
+    once = stored(WN.features_at(items_with_latest(raw_then, items, sources, ann_then), day))
+    return once, (raw, items, sources, ann), h, day
+
+
 @case("x14_not_reproduced", "select h, 'stored' as side from features where false")
 def _(spark, d):
-    once, again = (_as_of(spark, d, "2024-01-20 12:00:00") for _ in range(2))
-    return FM.not_reproduced(once, again).select("h", "side")
+    """Rows captured or labelled after the moment change nothing of what is recomputed as of it."""
+    once, full, h, day = _then_and_now(spark, d)
+    return FM.not_reproduced(once, FM.features_as_of(*full, h, day)).select("h", "side")
+
+
+_STATE = ["eco_mean_6h", "eco_n_6h", "primary_mean_24h", "primary_n_24h", "primary_posts_6h"]
+
+
+@case(
+    "x14_leak_found",
+    f"""select side, h, round(eco_mean_6h, 9) as eco_mean_6h, eco_n_6h, round(primary_mean_24h, 9) as primary_mean_24h, primary_n_24h, primary_posts_6h
+        from ((select 'stored' as side, h, {", ".join(_STATE)} from state where side = 'stored'
+               and (h, {", ".join(_STATE)}) not in (select (h, {", ".join(_STATE)}) from state where side = 'again'))
+        union all (select 'again' as side, h, {", ".join(_STATE)} from state where side = 'again'
+               and (h, {", ".join(_STATE)}) not in (select (h, {", ".join(_STATE)}) from state where side = 'stored')))""",
+    moment="select date_trunc('day', max(ts)) - interval 9 days - interval 12 hours as h0 from events",
+    known_then="""select item_id, valence_level from (select *, row_number() over (partition by item_id order by annotated_at desc,
+           labeler_version desc nulls first, annotator desc, valence_level desc) as rn
+         from annotations, moment where annotated_at <= h0) where rn = 1""",
+    both_sides="""select 'stored' as side, r.published_at, f.is_primary, a.valence_level as lvl from moment, raw_items r join flagged f using (source_id)
+           left join known_then a on a.item_id = r.raw_item_id where r.captured_at <= h0
+         union all select 'again', r.published_at, f.is_primary, a.valence_level from raw_items r join flagged f using (source_id)
+           left join latest a on a.item_id = r.raw_item_id""",
+    state="""select side, h, coalesce(avg(lvl::double) filter (not is_primary and published_at > h - interval 6 hours), 0.0) as eco_mean_6h,
+           count(lvl) filter (not is_primary and published_at > h - interval 6 hours) as eco_n_6h,
+           coalesce(avg(lvl::double) filter (is_primary), 0.0) as primary_mean_24h, count(lvl) filter (is_primary) as primary_n_24h,
+           count(published_at) filter (is_primary and published_at > h - interval 6 hours) as primary_posts_6h
+         from (select unnest(generate_series(h0 - interval 24 hours, h0, interval 15 minutes)) as h from moment)
+         cross join (select unnest(['stored', 'again']) as side)
+         left join both_sides using (side) where published_at > h - interval 24 hours and published_at <= h group by side, h""",
+)
+def _(spark, d):
+    """What a recomputation that looks at all rows gets wrong: the leak must show."""
+    once, full, _, day = _then_and_now(spark, d)
+    leaky = WN.features_at(items_with_latest(*full), day)
+    return r9(FM.not_reproduced(once, leaky).select("side", "h", *_STATE), "eco_mean_6h", "primary_mean_24h")
