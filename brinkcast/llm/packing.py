@@ -27,7 +27,7 @@ from brinkcast.llm.arrow import begin, kept, with_columns_schema
 from brinkcast.llm.storage import stored
 
 #: Word pieces a worker remembers, texts it cuts and pieces it looks up at a time.
-KEPT_PIECES, TEXTS, LOOKUPS = 600_000, 100, 1_000
+KEPT_PIECES, TEXTS, LOOKUPS = 600_000, 300, 1_000
 #: Pieces that one task packs.
 GROUP = 50_000
 
