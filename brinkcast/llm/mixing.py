@@ -37,7 +37,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -266,13 +265,20 @@ def fit_rates(
 
 
 def with_rates(rows: DataFrame, fit: Rates) -> DataFrame:
-    """``rows`` (with ``posterior``) and their ``rate``."""
-
-    @F.pandas_udf("double")
-    def rate(posterior):
-        return pd.Series(fit.of(np.stack(posterior)) if len(posterior) else [], dtype=float)
-
-    return rows.withColumn("rate", rate("posterior"))
+    """``rows`` (with ``posterior``) and their ``rate``, what ``fit.of`` gives as column
+    expressions: a second Python function in a task is a second worker process, and
+    those stay with their memory."""
+    share = lambda i: F.get("posterior", F.lit(i))
+    point = 1 - sum((share(i) * e for i, e in enumerate(fit.errors)), F.lit(0.0)) / fit.pull
+    rate = F.greatest(F.lit(0.0), point)
+    if fit.whole is not None:
+        most = F.array_max("posterior")
+        leads = share(fit.whole) >= most  # of equal shares the first domain's leads
+        unwanted = [i for i, t in enumerate(fit.targets) if t == 0 and i != fit.whole]
+        sure = leads & (sum((share(i) for i in unwanted), F.lit(0.0)) <= 0.25)
+        never = ~leads & (F.array_position("posterior", most) - 1).isin(unwanted)
+        rate = F.when(sure, F.greatest(F.lit(1.0), point)).when(never, 0.0).otherwise(rate)
+    return rows.withColumn("rate", rate)
 
 
 def drawn_copies(rate: str = "rate", *by: str):
