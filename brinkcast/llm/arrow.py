@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import ctypes
-import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brinkcast.session import bounded_batches  # noqa: F401 - operators take it from here
+
 
 #: What operators keep in a worker process between their tasks: {operator: {key: value}}.
 _KEPT: dict[str, dict] = {}
@@ -58,15 +59,6 @@ def slices(batches: Iterable[pa.RecordBatch], column: int, most: int = 4_000_000
             yield batch.slice(a, b - a)
 
 
-def bounded_batches(spark: SparkSession, most: int = 4_000_000) -> None:
-    """From now on in this session an Arrow batch takes about ``most`` bytes, unless the
-    session asks for less: a task holds each batch several times, on both sides."""
-    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
-    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(setting).strip().lower()).groups()
-    if int(number) * 1024 ** " kmgtp".index(unit or " ") > most:
-        spark.conf.set(setting, str(most))
-
-
 def with_columns_schema(df: DataFrame, extra: dict[str, T.DataType]) -> tuple[DataFrame, T.StructType]:
     """``df`` without the columns that ``extra`` names (any case), and the schema with them."""
     taken = {name.lower() for name in extra}

@@ -7,6 +7,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -16,6 +17,7 @@ from brinkcast.functions.text import excerpt
 from brinkcast.operators.annotations import valid_label
 from brinkcast.operators.ordered import stored
 from brinkcast.operators.writes import first_per_key, join_label_cache
+from brinkcast.session import bounded_batches
 
 LABEL_SCHEMA = (
     "label_key string, level int, target_type string, target_name string, "
@@ -77,6 +79,7 @@ def label_batch(
     Every row keeps ``status``: ok, invalid (label rejected) or failed.  Only
     valid labels go into the cache.
     """
+    bounded_batches(df.sparkSession)
     rows = df.where(F.col(text) != "")
     if max_chars is not None:
         rows = rows.withColumn(text, excerpt(F.col(text), max_chars))
@@ -100,19 +103,28 @@ def label_batch(
 def embed_batch(
     df: DataFrame, encoder: Callable[[list[str]], Any], text: str = "clean_text", batch: int = 32
 ) -> DataFrame:
-    """Add unit-length ``embedding`` vectors from an encoder over lists of texts."""
+    """Add unit-length ``embedding`` vectors from an encoder over lists of texts.
 
-    @F.pandas_udf(ArrayType(FloatType()))
-    def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    A worker holds an Arrow batch of bounded size and the texts of one call; each text
+    is encoded once.
+    """
+
+    bounded_batches(df.sparkSession)
+
+    @F.arrow_udf(ArrayType(FloatType()))
+    def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            out: list[list[float]] = []
+            out = [pa.array([], pa.list_(pa.float32()))]
             for i in range(0, len(part), batch):
-                vec = np.asarray(encoder(list(part.iloc[i : i + batch])), dtype="float64")
+                vec = np.asarray(encoder(part.slice(i, batch).to_pylist()), dtype="float64")
                 norm = np.linalg.norm(vec, axis=1, keepdims=True)
-                out += (vec / np.where(norm > 0, norm, 1.0)).astype("float32").tolist()
-            yield pd.Series(out)
+                unit = (vec / np.where(norm > 0, norm, 1.0)).astype("float32")
+                cuts = np.arange(len(unit) + 1, dtype="int32") * unit.shape[1]
+                out.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(unit.ravel())))
+            yield pa.concat_arrays(out)
 
-    return df.withColumn("embedding", encode(F.col(text)))
+    # not deterministic: else a filter that Spark infers on the vectors encodes each text again
+    return df.withColumn("embedding", encode.asNondeterministic()(F.col(text)))
 
 
 def ablate_features(
