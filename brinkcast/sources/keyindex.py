@@ -50,6 +50,13 @@ class KeyIndex:
                 raise
             return spark.createDataFrame([], schema)
 
+    def _kept(self, rows: DataFrame, name: str) -> DataFrame:
+        """``rows`` written beside the index, over those of the batch before: later steps
+        read the columns that they need."""
+        path = f"{self.root}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.store.spark.read.schema(rows.schema).parquet(path)
+
     def _typed(self, rows: DataFrame) -> DataFrame:
         """The table's columns in its types: a number and its digits hash differently."""
         return rows.select(*[F.col(c).cast(t).alias(c) for c, t in self.types.items() if c in rows.columns])
@@ -102,17 +109,18 @@ class KeyIndex:
         self._add(stored(arrived.join(self.among(noted, build), self.keys, "left_anti")), build)
         self._note(None)
 
-    def append_new(self, batch: DataFrame, order: list[str]) -> int:
-        """Append the batch rows whose key the table lacks, the first of each in ``order``.
+    def append_new(self, batch: DataFrame, order: list[str] | None) -> int:
+        """Append the batch rows whose key the table lacks, the first of each in ``order``;
+        None: the batch holds each key once.
 
         The batch is read once and reduced to what is new, which is stored; returns the
         number of rows appended.
         """
         build = self._built() or self.build()
         self._settle(build)
-        first = stored(self._typed(first_per_key(batch, self.keys, order)))
+        first = self._kept(self._typed(batch if order is None else first_per_key(batch, self.keys, order)), "batch")
         known = self.among(first, build)
-        fresh = stored(first.join(known, self.keys, "left_anti"))
+        fresh = first if known.isEmpty() else self._kept(first.join(known, self.keys, "left_anti"), "fresh")
         if fresh.isEmpty():
             return 0
         self._note(fresh)

@@ -36,7 +36,7 @@ def stream_ingest(
     index = KeyIndex(store, "raw_items", RAW_KEY)
 
     def write(batch: DataFrame, _: int) -> None:
-        index.append_new(batch, ["published_at", "raw_item_id"])
+        index.append_new(batch, None)  # each key once, by drop_repeats
 
     return (
         drop_repeats(raw, delay)

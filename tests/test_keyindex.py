@@ -86,3 +86,24 @@ def test_a_table_from_before_the_index(spark, tmp_path, rows):
     # without a key a row is compared with nothing
     assert index.append_new(spark.createDataFrame([row(3), row(None, text="z")], RAW_ITEMS), ORDER) == 1
     assert rows(store.read("raw_items"), "raw_content") == [("text 1",), ("text 2",), ("text 3",), ("x",), ("z",)]
+
+
+def test_a_batch_is_kept_in_columns_beside_the_index_until_the_next(spark, tmp_path, monkeypatch):
+    from brinkcast.sources import keyindex
+
+    store = TableStore(spark, str(tmp_path / "s"))
+    index = KeyIndex(store, "raw_items", RAW_KEY, 4)
+    noted = []
+    monkeypatch.setattr(index, "_note", lambda rows: noted.append(rows) or KeyIndex._note(index, rows))
+    assert index.append_new(spark.createDataFrame([row(n) for n in range(20)], RAW_ITEMS), ORDER) == 20
+    assert f"{index.root}/batch" in noted[-2].inputFiles()[0]  # nothing is known: not stored a second time
+    assert index.append_new(spark.createDataFrame([row(n) for n in range(15, 30)], RAW_ITEMS), ORDER) == 10
+    assert f"{index.root}/fresh" in noted[-2].inputFiles()[0]
+
+    def never(*_):
+        raise AssertionError("the batch holds each key once")
+
+    monkeypatch.setattr(keyindex, "first_per_key", never)
+    assert index.append_new(spark.createDataFrame([row(n) for n in range(25, 35)], RAW_ITEMS), None) == 5
+    assert spark.read.parquet(f"{index.root}/batch").count() == 10
+    assert store.read("raw_items").select(*RAW_KEY).distinct().count() == store.read("raw_items").count() == 35
