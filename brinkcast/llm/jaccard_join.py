@@ -125,7 +125,7 @@ def _needed(n, percent: int):
 
 
 def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: int) -> DataFrame:
-    """(doc_id, n, shingles) of the documents that may have a partner."""
+    """(doc_id, n, shingles) of the documents that may have a partner, stored."""
 
     def shingles(batches):
         begin("jaccard_join")
@@ -159,7 +159,9 @@ def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: in
                 ["doc_id", "n", "shingles"],
             )
 
-    return docs.mapInArrow(keep, "doc_id long, n long, shingles binary")
+    found = stored(docs.mapInArrow(keep, "doc_id long, n long, shingles binary"), "candidates")
+    sketch.drop()
+    return found
 
 
 def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int) -> DataFrame:
@@ -204,6 +206,7 @@ def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int) -
         )
 
     rows = stored(sets.mapInArrow(tie, "shingle long, a long, b long"), "ties")
+    counts.drop()
     held = rows.where("shingle is not null").select("shingle", "a")
     first = held.groupBy("shingle").agg(F.min("a").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
     return rows.where("shingle is null").select("a", "b").union(held.join(first, "shingle").select("a", "b").where("a <> b"))
@@ -397,7 +400,7 @@ def jaccard_components(
     signed = stored(signatures(rows, k), "signatures")
     classes = signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("first"))
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
-    shipped = stored(_candidates(rows, total, k, percent, most_bits), "candidates")
+    shipped = _candidates(rows, total, k, percent, most_bits)
     # ids travel to find those that stand for their class; the sets stay where they are
     standing = stored(shipped.select("doc_id").join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").distinct(), "standing")
     sets = stored(shipped.join(broadcast_if_small(standing), "doc_id", "left_semi"), "sets")

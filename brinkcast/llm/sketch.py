@@ -6,6 +6,8 @@ batch, in one array of fixed size.  The merged sketch holds one bit a cell ("hit
 at least twice") or, where counts are asked for, one byte a cell (up to 255).
 Its size is bounded by ``bits`` and ``depth`` whatever the input, so it can be
 broadcast; a crowded sketch only overestimates, so nothing repeated is lost.
+It is stored by ranges, of which the driver fetches a few at a time; it goes from
+driver and executors as soon as its reader says so.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from brinkcast.llm.storage import stored
+
 #: Odd multipliers, one for each row of the sketch.
 ROWS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 RANGE_BITS = 8
@@ -103,7 +107,7 @@ def merged_sketch(
     )
     size = (1 << inside) // (1 if counts else 8)
     table = np.zeros((depth << RANGE_BITS) * size, np.uint8)
-    for slot, packed in rows.collect():  # depth * 2^bits bits or bytes in all
+    for slot, packed in stored(rows, "sketch").toLocalIterator():  # depth * 2^bits bits or bytes in all, a partition at a time
         table[slot * size : (slot + 1) * size] = np.frombuffer(packed, np.uint8)
     return Sketch(spark.sparkContext.broadcast(table), bits, depth)
 
@@ -114,6 +118,10 @@ class Sketch:
     def __init__(self, table, bits: int, depth: int):
         self.table, self.bits, self.depth = table, bits, depth
 
+    def drop(self) -> None:
+        """No task needs the table any more."""
+        self.table.destroy()
+
     def repeated(self, h: np.ndarray) -> np.ndarray:
         """False only for hashes that occurred once (sketch of bits)."""
         table = self.table.value

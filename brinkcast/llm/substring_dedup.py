@@ -278,6 +278,7 @@ def remove_repeats(
     found = _grouped(_flagged(rows, sketch, k, parts, groups), parts, groups)
     by_range = found.repartition(max(1, groups // 2), "grp").sortWithinPartitions("grp")
     marks = stored(by_range.mapInArrow(_marks, MARKS), "marks")
+    sketch.drop()
     # texts that lose nothing stay where they are, if the list of the others is short
     if marks.limit(most_touched + 1).count() > most_touched:
         return rows.join(marks, ["doc_id", "sub"], "left").select("doc_id", "sub", "text", "starts").mapInArrow(_cut(k), KEPT)

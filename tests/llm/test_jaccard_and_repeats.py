@@ -124,6 +124,27 @@ def test_sketch_never_underestimates(spark, counts):
     assert seen[:300].all() and seen[300:].mean() < 0.2
 
 
+def test_sketch_comes_to_the_driver_in_parts(spark):
+    def hashes(batches):
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                yield np.random.default_rng(i).integers(0, 1 << 63, 1_000_000, np.uint64) * np.uint64(2)
+
+    df = spark.range(8).select("id").repartition(4)
+    limits = spark.sparkContext._jsc.sc().conf()
+    most = limits.get("spark.driver.maxResultSize", "1g")
+    limits.set("spark.driver.maxResultSize", "3m")  # of the results of a job, the table has 8 MB
+    try:
+        sketch = merged_sketch(df, hashes, 23, counts=True)
+    finally:
+        limits.set("spark.driver.maxResultSize", most)
+    table = sketch.table.value
+    assert table.nbytes == 1 << 23 and table.sum(dtype=np.int64) == 8_000_000
+    x = next(hashes([df.where("id = 3").toArrow()]))
+    assert (sketch.estimates(x) > 0).all()
+    sketch.drop()
+
+
 def kept_by_hand(rows, k):
     first, out = {}, {}
     for i, text in sorted(rows):
