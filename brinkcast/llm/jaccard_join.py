@@ -7,9 +7,8 @@ never listed.
 1. *Signatures*: per document a 128-bit key of its words and the size of its set.
    Documents with equal words form a class; its smallest id stands for it.
 2. *Repeated shingles*: a document can only link if ``percent`` of its shingles
-   occur elsewhere.  A merged count sketch (bounded size, never underestimates)
-   lets tasks keep the few documents for which that may hold.  Their sets are
-   written once.
+   occur elsewhere.  A merged count sketch (never underestimates) lets tasks keep
+   the few documents for which that may hold.  Their sets are written once.
 3. *Candidate groups*: shingles are ordered by estimated count, rarest first.
    Linked sets share one of their first ``n - ceil(percent n / 100) + 1`` in that
    order, so tying every set to the first holder of each such shingle puts all
@@ -30,8 +29,9 @@ never listed.
 A null or wordless text has no shingles and links with nothing, a text of fewer
 words than a shingle has is one shingle.  Rows that share an id are one document.
 A row without id links with nothing and has no component.  Further columns are
-ignored.  The sketches' sizes follow the input up to ``most_bits``; beyond, more
-documents go to steps 3 to 5, with the same result.
+ignored.  The sketches' sizes follow the input up to ``most_bits``, as a crowded one
+would let most sets through; beyond, more documents go to steps 3 to 5, with the same
+result.  Driver and tasks hold ``whole_bits`` of a sketch at a time.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from __future__ import annotations
 import heapq
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -124,7 +124,33 @@ def _needed(n, percent: int):
     return -(-percent * n // 100)
 
 
-def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: int) -> DataFrame:
+def _gathered(rows: Iterator[tuple[int, np.ndarray]], most: int) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Documents with their sets, about ``most`` shingles at a time."""
+    held, n = [], 0
+    for doc, s in rows:
+        held.append((doc, s))
+        n += len(s)
+        if n >= most:
+            yield held
+            held.clear()  # sets that were worked on go before others come
+            n = 0
+    if held:
+        yield held
+
+
+def _looked_up(held: list[tuple[int, np.ndarray]], look: Callable[[np.ndarray], np.ndarray]) -> list[np.ndarray]:
+    """``look`` of every set, asked for all at once."""
+    return np.split(look(np.concatenate([s for _, s in held])), np.cumsum([len(s) for _, s in held])[:-1])
+
+
+def _bits(total: int, cells: float, fewer: float, most_bits: int, whole_bits: int) -> int:
+    """log2 of a sketch's cells, ``cells`` for each shingle, or ``fewer`` if that is too much
+    for one piece."""
+    bits = sketch_bits(total, cells, most_bits)
+    return bits if bits <= whole_bits else sketch_bits(total, fewer, most_bits)
+
+
+def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: int, whole_bits: int) -> DataFrame:
     """(doc_id, n, shingles) of the documents that may have a partner, stored."""
 
     def shingles(batches):
@@ -141,30 +167,31 @@ def _candidates(docs: DataFrame, total: int, k: int, percent: int, most_bits: in
         if held:
             yield np.concatenate(held)
 
-    sketch = merged_sketch(docs, shingles, sketch_bits(total, 1.6, most_bits))
+    sketch = merged_sketch(docs, shingles, _bits(total, 1.6, 1.2, most_bits, whole_bits), whole=1 << whole_bits >> 3)
 
     def keep(batches):
         begin("jaccard_join")
         hashes, firsts = WordHashes(), _Firsts()
-        for batch in slices(batches, 1):
-            ids, sizes, sets = [], [], []
-            for doc, words in firsts.of(batch):
-                s = _set(words, hashes, k)
-                if int(sketch.repeated(s).sum()) >= _needed(len(s), percent):
-                    ids.append(doc)
-                    sizes.append(len(s))
-                    sets.append(s.astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary())],
-                ["doc_id", "n", "shingles"],
-            )
+        rows = ((doc, _set(words, hashes, k)) for batch in slices(batches, 1) for doc, words in firsts.of(batch))
+        for held in _gathered(rows, sketch.at_once):
+            again = _looked_up(held, sketch.repeated)
+            few = ((doc, s) for (doc, s), r in zip(held, again) if int(r.sum()) >= _needed(len(s), percent))
+            for some in _gathered(few, WORDS // 8):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([doc for doc, _ in some], pa.int64()),
+                        pa.array([len(s) for _, s in some], pa.int64()),
+                        pa.array([s.astype("<u8").tobytes() for _, s in some], pa.binary()),
+                    ],
+                    ["doc_id", "n", "shingles"],
+                )
 
     found = stored(docs.mapInArrow(keep, "doc_id long, n long, shingles binary"), "candidates")
     sketch.drop()
     return found
 
 
-def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int) -> DataFrame:
+def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int, whole_bits: int) -> DataFrame:
     """Edges (a, b) that connect all sets which may be linked."""
 
     def shingles(batches):
@@ -180,16 +207,15 @@ def _candidate_ties(sets: DataFrame, total: int, percent: int, most_bits: int) -
         if held:
             yield np.concatenate(held)
 
-    counts = merged_sketch(sets, shingles, sketch_bits(total, 1.5, most_bits - 3), counts=True)
+    counts = merged_sketch(sets, shingles, _bits(total, 1.5, 0.8, most_bits - 3, whole_bits - 3), counts=True, whole=1 << whole_bits >> 3)
 
     def tie(batches):
         begin("jaccard_join")
         holder: dict[int, int] = {}
         ties: set[tuple[int, int]] = set()
-        for batch in batches:
-            for doc, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-                s = np.frombuffer(s, "<u8")
-                c = counts.estimates(s)
+        rows = ((doc, np.frombuffer(s, "<u8")) for batch in batches for doc, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+        for held in _gathered(rows, counts.at_once):
+            for (doc, s), c in zip(held, _looked_up(held, counts.estimates)):
                 first = np.lexsort((s, c))[: len(s) - _needed(len(s), percent) + 1]
                 for t in s[first[c[first] > 1]].view(np.int64).tolist():
                     other = holder.setdefault(t, doc)
@@ -390,7 +416,8 @@ def jaccard_components(
     k: int = 5,
     percent: int = 75,
     block_shingles: int = 1 << 16,
-    most_bits: int = 29,
+    most_bits: int = 36,
+    whole_bits: int = 28,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     spark = docs.sparkSession
@@ -400,12 +427,12 @@ def jaccard_components(
     signed = stored(signatures(rows, k), "signatures")
     classes = signed.where("key is not null and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("first"))
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
-    shipped = _candidates(rows, total, k, percent, most_bits)
+    shipped = _candidates(rows, total, k, percent, most_bits, whole_bits)
     # ids travel to find those that stand for their class; the sets stay where they are
     standing = stored(shipped.select("doc_id").join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").distinct(), "standing")
     sets = stored(shipped.join(broadcast_if_small(standing), "doc_id", "left_semi"), "sets")
     held = sets.agg(F.sum("n")).first()[0] or 0
-    groups = connected_components(_candidate_ties(sets, held, percent, most_bits))
+    groups = connected_components(_candidate_ties(sets, held, percent, most_bits, whole_bits))
     grouped = sets.select("doc_id", "n").join(groups.toDF("doc_id", "grp"), "doc_id")
     totals = grouped.groupBy("grp").agg(F.sum("n").alias("total"))
     grouped = stored(grouped.join(totals, "grp").select("doc_id", "grp", "total").distinct(), "groups")

@@ -1,4 +1,5 @@
 import hashlib
+import inspect
 import re
 from collections import defaultdict
 
@@ -7,8 +8,8 @@ import pytest
 
 from brinkcast.llm.arrow import bounded_batches
 from brinkcast.llm.components import connected_components
-from brinkcast.llm.jaccard_join import InvertedIndex, jaccard_components
-from brinkcast.llm.sketch import merged_sketch
+from brinkcast.llm.jaccard_join import InvertedIndex, _candidates, jaccard_components
+from brinkcast.llm.sketch import _packed, _unpacked, merged_sketch, sketch_bits
 from brinkcast.llm.substring_dedup import remove_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -145,6 +146,52 @@ def test_sketch_comes_to_the_driver_in_parts(spark):
     sketch.drop()
 
 
+@pytest.mark.parametrize("counts", [False, True])
+def test_sketch_in_pieces_answers_as_a_whole(spark, counts):
+    def hashes(batches):
+        for batch in batches:
+            yield np.array(batch.column(0).to_pylist(), np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+    df = spark.createDataFrame([(i % 7000,) for i in range(10000)], "x long").repartition(3)
+    x = np.arange(9000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    whole = merged_sketch(df, hashes, 18, depth=2, counts=counts)
+    cut = merged_sketch(df, hashes, 18, depth=2, counts=counts, whole=1 << 15)
+    assert len(whole.pieces) == 1 and len(cut.pieces) == (64 if counts else 8)
+    look = lambda sketch: (sketch.estimates if counts else sketch.repeated)(x)
+    assert look(whole).any() and (look(cut) == look(whole)).all() and (look(cut) == look(whole)).all()
+    assert not any("_value" in vars(piece) for piece in cut.pieces)  # one is held at a time
+    cut.drop()
+
+
+def test_cells_are_packed_whatever_their_distances():
+    for gap in (0, 1, 255, 3839, 3840, 65534, 65535, 65536, 4_000_000):
+        for n in (1, 2, 501):
+            cells = np.cumsum(np.full(n, gap, np.uint64)) + np.uint64(3)
+            assert (_unpacked(_packed(cells)) == cells).all()
+    far = np.sort(np.random.default_rng(2).integers(0, 1 << 22, 1000, np.uint64))
+    assert (_unpacked(_packed(far)) == far).all() and len(_packed(far)) <= 4 + 2 * len(far)
+
+
+def test_sketch_of_shingles_follows_the_input_beyond_what_a_task_holds(spark):
+    shingles = 1_500_000_000  # of 6 GB of documents
+    most = inspect.signature(jaccard_components).parameters["most_bits"].default
+    assert 1 << sketch_bits(shingles, 1.2, most) > 1.2 * shingles
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(1000)) for i in range(150)]
+    texts += [texts[0] + " end", texts[1] + " end"]
+    df = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "doc_id long, text binary").repartition(3)
+    few = _candidates(df, 150_000, 5, 75, most, whole_bits=14)  # alone, what a task holds would let all sets through
+    assert sorted(r.doc_id for r in few.collect()) == [0, 1, 150, 151]
+
+
+@pytest.mark.parametrize("block", [1 << 16, 300])
+def test_components_with_sketches_in_pieces_equal_brute_force(spark, documents, corpus, block):
+    want = components_by_hand([(i, t) for i, t, *_ in corpus])
+    got = jaccard_components(documents, block_shingles=block, whole_bits=12).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert len(got) == len(corpus)
+
+
 def kept_by_hand(rows, k):
     first, out = {}, {}
     for i, text in sorted(rows):
